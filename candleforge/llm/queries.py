@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from candleforge.llm.decontam import OP8_SQL, op8_benchmark_decontamination
+from candleforge.llm.langid import op9_language_id
 from candleforge.llm.lines import OP6_SQL, op6_line_dedup
+from candleforge.llm.packing import op7_packing
 
 QUERIES = {
     "op6_line_dedup": op6_line_dedup,
+    "op7_packing": op7_packing,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_language_id": op9_language_id,
 }
 SQL = {
     "op6_line_dedup": OP6_SQL,
+    "op8_benchmark_decontamination": OP8_SQL,
 }

@@ -87,27 +87,28 @@ def shards(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
             a = b
 
 
+def word_bounds(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where in the bytes each word begins and ends; no word goes over the end of its text."""
+    ok = is_word_byte(kind)[data]
+    first, last = ok.copy(), ok.copy()
+    first[1:] &= ~ok[:-1]
+    last[:-1] &= ~ok[1:]
+    cut = offsets[:-1][offsets[:-1] < len(data)]
+    first[cut] = ok[cut]
+    cut = offsets[1:][offsets[1:] > 0] - 1
+    last[cut] = ok[cut]
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
 def words(data: np.ndarray, offsets: np.ndarray, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each word with A-Z lower-cased, its text's index, where each text's words begin).
 
     The hash is a polynomial of random byte codes modulo 2**64, mixed with the length.
     """
-    n = len(data)
-    n_texts = len(offsets) - 1
+    n, n_texts = len(data), len(offsets) - 1
     if not n:
         return np.zeros(0, U), np.zeros(0, np.int64), np.zeros(n_texts + 1, np.int64)
-    ok = is_word_byte(kind)[data]
-    first = ok.copy()
-    first[1:] &= ~ok[:-1]
-    cut = offsets[:-1]
-    cut = cut[cut < n]
-    first[cut] = ok[cut]
-    last = ok.copy()
-    last[:-1] &= ~ok[1:]
-    cut = offsets[1:] - 1
-    cut = cut[cut >= 0]
-    last[cut] = ok[cut]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    begin, end = word_bounds(data, offsets, kind)
     up, down = powers(n)
     sums = np.zeros(n + 1, U)
     np.cumsum(letter_codes()[data] * up[:n], out=sums[1:])
