@@ -18,9 +18,12 @@ are packed one by one. Other columns are passed over. An empty table gives an em
 from __future__ import annotations
 
 import heapq
+import unicodedata
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,31 +41,58 @@ _CACHE = 1 << 19
 _SLICE = 4 << 20
 
 
+@cache
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself, if it is a printable
+    Latin-1 character other than the space, else the next free one from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    free = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(free)) for b in range(256)]
+
+
 class WordTokens(dict):
     """Ids, as little-endian 32-bit numbers, of what stands between white space.
 
     The tokenizer's pattern never matches across white space, which it drops, so a text's ids are
-    its words' ids in a row. Words recur, so most ids come from this table.
+    its words' ids in a row. Words recur, so most ids come from this table. A new word of lower-case
+    letters in normal form is one piece of the pattern and goes to the BPE model at once; one that ends
+    with a single mark is two; all else takes the tokenizer's whole way.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > _CACHE:
             self.clear()
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        self[word] = out = np.array(ids, "<u4").tobytes()
+        text = word.decode()
+        if text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text):
+            if not text.isascii():
+                text = "".join([byte_letters()[b] for b in word])
+            out = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+        elif text[-1] in ".,;:!?" and text[:-1].isalpha():
+            out = self[word[:-1]] + self[word[-1:]]
+        else:
+            out = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = out
         return out
 
     def text(self, text: bytes) -> bytes:
-        return b"".join([self[w] for w in text.split()])
+        # The tokenizer lower-cases all but its special tokens, which begin with <|.
+        return b"".join([self[w] for w in (text if b"<|" in text else text.lower()).split()])
+
+
+@cache
+def word_tokens(path: str) -> WordTokens:
+    """One table for all tasks of a worker process."""
+    return WordTokens(path)
 
 
 def _pieces(tokenizer: str, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens, seen, part = WordTokens(tokenizer), Counter(), TaskContext.get().partitionId()
+    tokens, seen, part = word_tokens(tokenizer), Counter(), TaskContext.get().partitionId()
     closing = np.array([CLOSING], "<u4").tobytes()
     for batch in shards(batches, "text", _SLICE):
         rows: list[tuple] = []
