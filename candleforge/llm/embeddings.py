@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.llm.graph import components
-from candleforge.llm.shared import Spilled, parts
+from candleforge.llm.shared import Spilled, grouped, local_roots, parts
 from candleforge.llm.text import U, mix
 
 THRESHOLD, MISS, BLOCK, SEED = 0.93, 1e-3, 1024, 11
@@ -77,18 +77,6 @@ def _signed(bits: int, tables: int, batches: Iterator[pa.RecordBatch]) -> Iterat
             )
 
 
-def _local_roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each row the smallest id that the pairs (i, j) reach."""
-    root = ids.copy()
-    while True:
-        new = root.copy()
-        np.minimum.at(new, i, root[j])
-        np.minimum.at(new, j, root[i])
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _compare(threshold: float, rows: list[tuple]) -> list[tuple[int, int, int]]:
     """(class, links, an id of its component) of one bucket, or of two blocks of one."""
     nth, first = rows[0][1], rows[0][2]
@@ -109,25 +97,13 @@ def _compare(threshold: float, rows: list[tuple]) -> list[tuple[int, int, int]]:
     if not len(i):
         return []
     n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-    root = _local_roots(ids, i, j)
+    root = local_roots(ids, i, j)
     return [(int(c), int(k), int(r)) for c, k, r in zip(ids, n, root, strict=True) if k]
 
 
 def _buckets(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def groups():
-        key, held = None, []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[:4] != key:
-                    if len(held) > 1:
-                        yield held
-                    key, held = row[:4], []
-                held.append(row)
-        if len(held) > 1:
-            yield held
-
     out: list[tuple] = []
-    for rows in groups():
+    for rows in grouped(batches, 4):
         out += _compare(threshold, rows)
         if len(out) > 50_000:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "links", "root"])

@@ -69,7 +69,7 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept.append(text or b"")
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
-            ["doc_id", "n_lines", "n_dropped", "text"],
+            ["key", "n_lines", "n_dropped", "text"],
         )
 
 
@@ -123,14 +123,14 @@ class LineRuns:
         self._commit()  # the old runs' files stay: a reader may have listed them
 
 
-def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, folder: str | None = None) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, text) for each row of docs(doc_id, text); see the module's text.
+def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, folder: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns `keep`, n_lines, n_dropped and the new text for each row of docs(doc_id, text).
 
     The table goes in as so many batches of rising ids, equal spans of the ids' range, so that each
     key's owner is the smallest id that holds it.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*keep).alias("key"))
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     runs, drops = LineRuns(spark, folder, fanout), None
     if low is not None:
@@ -140,7 +140,9 @@ def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, folder: str
             drops = one if drops is None else drops.unionByName(one)
     if drops is None:
         drops = spark.createDataFrame([], "doc_id long, drops array<struct<h1: long, h2: long>>")
-    return docs.join(drops, "doc_id", "left").select("doc_id", "text", "drops").mapInArrow(_strip, "doc_id long, n_lines long, n_dropped long, text string")
+    joined = docs.join(drops, "doc_id", "left").select("key", "text", "drops")
+    out = joined.select("key", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), "text")
+    return joined.mapInArrow(_strip, out.schema).select("key.*", "n_lines", "n_dropped", "text")
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

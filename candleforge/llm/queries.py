@@ -5,6 +5,7 @@ from __future__ import annotations
 from candleforge.llm.chat import OP5_SQL, op5_chat_formatting
 from candleforge.llm.decontam import OP8_SQL, op8_benchmark_decontamination
 from candleforge.llm.embeddings import OP1_SQL, op1_embedding_dedup
+from candleforge.llm.jaccard import OP2_SQL, op2_ngram_jaccard
 from candleforge.llm.langid import op9_language_id
 from candleforge.llm.licenses import op10_license_scan
 from candleforge.llm.lines import OP6_SQL, op6_line_dedup
@@ -14,6 +15,7 @@ from candleforge.llm.warc import OP3_SQL, op3_warc
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_warc": op3_warc,
     "op4_url_filter": op4_url_filter,
     "op5_chat_formatting": op5_chat_formatting,
@@ -25,6 +27,7 @@ QUERIES = {
 }
 SQL = {
     "op1_embedding_dedup": OP1_SQL,
+    "op2_ngram_jaccard": OP2_SQL,
     "op3_warc": OP3_SQL,
     "op5_chat_formatting": OP5_SQL,
     "op6_line_dedup": OP6_SQL,

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: dict[str, str] = {}
@@ -78,3 +81,29 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return bytes(stream.readAllBytes()).decode()
     finally:
         stream.close()
+
+
+def grouped(batches: Iterator[pa.RecordBatch], n_key: int) -> Iterator[list[tuple]]:
+    """Rows that follow each other with the same first columns; groups of one row are left out."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[:n_key] != key:
+                if len(held) > 1:
+                    yield held
+                key, held = row[:n_key], []
+            held.append(row)
+    if len(held) > 1:
+        yield held
+
+
+def local_roots(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each row the smallest id that the pairs of rows (i, j) reach."""
+    root = ids.copy()
+    while True:
+        new = root.copy()
+        np.minimum.at(new, i, root[j])
+        np.minimum.at(new, j, root[i])
+        if (new == root).all():
+            return root
+        root = new
