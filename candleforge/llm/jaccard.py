@@ -10,10 +10,11 @@ Small sets (under the boundary) enumerate subsets of fixed size: a linked pair w
 elements shares at least c = ceil(percent * m / 100) of them, so it shares a subset of c elements, and
 a set of a elements enumerates those of each c that a partner can ask for.
 
-Large sets scan inverted lists. With the elements of all sets in one order, the first common element
-of a linked pair is among the first (1 - percent / 100) * a + 1 elements of each (a: its own size), so
-lists of those elements find all pairs. Small sets that a large one can link with are in these lists,
-too. The order is: light elements before heavy ones, heavy ones by rising frequency, equals by hash.
+Large sets scan inverted lists. With the elements of all sets in one order, the first m + 1 common
+elements of a linked pair are among the first (1 - percent / 100) * a + 1 + m elements of each (a: its
+own size), so lists of those elements find all pairs; with m = a / SPARE, a set that shares fewer of its
+own than its smallest partner's m + 1 has no partner and goes. Small sets that a large one can link with are in these
+lists, too. The order is: light elements before heavy ones, heavy ones by rising frequency, equals by hash.
 Heavy are elements in over HEAVY documents, counted over all documents by 32 bits of their hashes; if
 they are more than MOST_HEAVY, which the tasks get as one array, only the most frequent count as
 heavy. Any choice of them gives all links; this one keeps lines and passages that many documents
@@ -57,7 +58,8 @@ LIST_COST = 2
 #: Ids of documents with candidates are broadcast up to this number, beyond it the texts are shuffled.
 MOST_BROADCAST = 1_000_000
 SHORT, BLOCK = 24, 512
-_SLICE = 4 << 20
+SPARE = 10
+_SLICE, _FLUSH = 1 << 20, 16 << 20
 
 
 def _sets(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -86,7 +88,7 @@ def overlaps(a: int, percent: int) -> list[int]:
 
 def reach(a: int, percent: int) -> int:
     """How many elements, from the smallest hash on, stand in inverted lists."""
-    return min(a, (100 - percent) * a // 100 + 1)
+    return min(a, (100 - percent) * a // 100 + 1 + a // SPARE)
 
 
 def boundary(sizes: dict[int, int], percent: int, most: int = 16) -> int:
@@ -130,11 +132,24 @@ def _unpacked(block: bytes) -> np.ndarray:
     return np.cumsum(steps.astype(np.int64))[steps < 65535].astype(np.uint32)
 
 
+def _many_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The sets of about _FLUSH bytes of texts at a time."""
+    held, size = [], 0
+    for batch in shards(batches, "text", _SLICE):
+        held += _sets(batch)
+        size += batch.column(1).nbytes
+        if size >= _FLUSH:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _elements(targets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each range of hashes the first 32 bits of all documents' elements in it, a number a document."""
     edges = np.array([t * (1 << 32) // targets for t in range(targets + 1)], np.int64)
-    for batch in shards(batches, "text", _SLICE):
-        every = np.sort((np.concatenate([*_sets(batch), np.zeros(0, U)]) >> U(32)).astype(np.uint32))
+    for sets in _many_sets(batches):
+        every = np.sort((np.concatenate(sets) >> U(32)).astype(np.uint32))
         cut = np.searchsorted(every, edges)
         which = [t for t in range(targets) if cut[t] < cut[t + 1]]
         blocks = [_packed(every[cut[t] : cut[t + 1]] - np.uint32(edges[t])) for t in which]
@@ -192,8 +207,8 @@ def least_linked(percent: int) -> int:
 
 def _postings(heavy, x: int, percent: int, targets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each target a block: its documents (digest, size, number of signatures) and their signatures."""
-    for batch in shards(batches, "text", _SLICE):
-        sets = [s for s in _sets(batch) if len(s) >= least_linked(percent)]
+    for sets in _many_sets(batches):
+        sets = [s for s in sets if len(s) >= least_linked(percent)]
         if not sets:
             continue
         own = [signatures(s, t, x, percent) for s, t in zip(sets, _times(sets, *heavy.value), strict=True)]
@@ -229,7 +244,7 @@ def _opened(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(list, digest, size) of the lists of several classes; equal lists have one name and come once."""
+    """(list, digest, size, times) of the lists of several classes; equal lists have one name and come once."""
     blocks = [_opened(b) for batch in batches for b in batch.column(1).to_pylist()]
     if not blocks:
         return
@@ -252,14 +267,14 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     length = np.diff(np.append(begin, len(sig)))
     name = mix(np.add.reduceat(mix(digest.view(U)), begin) + length.astype(U))
-    _, once = np.unique(name, return_index=True)
-    keep = np.zeros(len(begin), bool)
-    keep[once] = True
-    keep &= length > 1
-    rows = np.repeat(keep, length)
-    name, digest, size = np.repeat(name, length)[rows].view(np.int64), digest[rows], size[rows].astype(np.int64)
+    _, once, n = np.unique(name, return_index=True, return_counts=True)
+    times = np.zeros(len(begin), np.int64)
+    times[once] = n
+    times[length == 1] = 0
+    rows = np.repeat(times > 0, length)
+    name, digest, size, times = np.repeat(name, length)[rows].view(np.int64), digest[rows], size[rows].astype(np.int64), np.repeat(times, length)[rows]
     for a in range(0, len(name), 100_000):
-        yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in (name, digest, size)], ["list", "d1", "size"])
+        yield pa.RecordBatch.from_arrays([pa.array(x[a : a + 100_000]) for x in (name, digest, size, times)], ["list", "d1", "size", "times"])
 
 
 def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,8 +348,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     x, n = boundary(sizes, percent), parts(spark)
     heavy = spark.sparkContext.broadcast(heavy_elements(docs))
     postings = docs.where("doc_id is not null and text is not null").mapInArrow(lambda b: _postings(heavy, x, percent, n, b), "target int, block binary")
-    lists = postings.repartitionById(n, F.col("target")).mapInArrow(_lists, "list long, d1 long, size long").distinct()
-    members = Spilled(lists.join(classes.select("d1", "id"), "d1").select("list", "id", "size", "d1"), "lists").df
+    lists = Spilled(postings.repartitionById(n, F.col("target")).mapInArrow(_lists, "list long, d1 long, size long, times long"), "lists").df
+    shared = F.when(F.col("size") < x, 1).otherwise(F.floor(F.col("size") * percent / (100 * SPARE)) + 1)
+    enough = lists.groupBy("d1", "size").agg(F.sum("times").alias("times")).where(F.col("times") >= shared).select("d1", "size")
+    found = classes.select("d1", "id", "size").join(enough, ["d1", "size"])
+    members = lists.select("list", "d1", "size").distinct().join(found, ["d1", "size"]).select("list", "id", "size", "d1")
+    several = members.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
+    members = Spilled(members.join(several, "list"), "members").df
 
     ids = Spilled(members.select(F.col("id").alias("doc_id"), "d1").distinct(), "candidates").df
     wanted = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
