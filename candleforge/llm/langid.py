@@ -73,18 +73,25 @@ class Model:
         return (f @ self.weights) / np.sqrt(np.maximum(f.sum(axis=1), 1))[:, None]
 
 
-def fit(x: np.ndarray, lang: list[str], n_landmarks: int = N_LANDMARKS, ridge: float = RIDGE) -> Model:
-    """x: presences of the labelled texts, in a fixed order. Landmarks take turns among the languages."""
+def _unit(bits: np.ndarray) -> np.ndarray:
+    """Rows of presences as floats of length 1; bits: the presences, eight to a byte."""
+    f = np.unpackbits(bits, axis=1).astype(np.float32)
+    return f / np.sqrt(np.maximum(f.sum(axis=1, keepdims=True), 1))
+
+
+def fit(bits: np.ndarray, lang: list[str], n_landmarks: int = N_LANDMARKS, ridge: float = RIDGE) -> Model:
+    """bits: packed presences of the labelled texts, in a fixed order. Landmarks take turns among the languages."""
     languages = sorted(set(lang))
-    turn: dict[str, int] = {}
-    nth = [(turn.setdefault(y, 0), turn.__setitem__(y, turn[y] + 1))[0] for y in lang]
+    seen: dict[str, int] = {}
+    nth = []
+    for y in lang:
+        nth.append(seen.get(y, 0))
+        seen[y] = nth[-1] + 1
     chosen = sorted(range(len(lang)), key=lambda i: (nth[i], i))[:n_landmarks]
-    f = x.astype(np.float32)
-    f /= np.sqrt(np.maximum(f.sum(axis=1, keepdims=True), 1))
-    z = f[chosen]
+    z = _unit(bits[chosen])
     value, vector = np.linalg.eigh((z @ z.T).astype(np.float64))
     root = vector / np.sqrt(np.maximum(value, 1e-6 * value[-1]))
-    phi = (f @ z.T).astype(np.float64) @ root
+    phi = np.concatenate([(_unit(bits[a : a + _ROWS]) @ z.T).astype(np.float64) @ root for a in range(0, len(bits), _ROWS)])
     y = np.where(np.array(lang)[:, None] == np.array(languages)[None], 1.0, -1.0)
     # a language's rows weigh as much as all the rest's
     solved = []
@@ -121,8 +128,7 @@ def learn(docs: DataFrame, n_train: int = N_TRAIN) -> Model | None:
     got = sorted(got, key=lambda r: (r.place, r.lang, r.bits))[:n_train]
     if not got:
         return None
-    x = np.unpackbits(np.frombuffer(b"".join(r.bits for r in got), np.uint8).reshape(len(got), -1), axis=1)
-    return fit(x, [r.lang for r in got])
+    return fit(np.frombuffer(b"".join(r.bits for r in got), np.uint8).reshape(len(got), -1), [r.lang for r in got])
 
 
 def held_out() -> F.Column:
