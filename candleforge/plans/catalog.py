@@ -1,4 +1,452 @@
-"""Named queries over the supplied tables, each with the SQL that checks it."""
+"""Named queries over the supplied tables, each with the SQL that checks it.
 
-QUERIES = {}
-SQL = {}
+Floats are rounded to six places on both sides, so that the order of sums doesn't show.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from candleforge.functions import timegrid as G
+from candleforge.operators import features as FT
+from candleforge.operators import regime as R
+from candleforge.operators.align import gap_stats, missing_report, normalize_bars
+from candleforge.operators.issues import canonical_code, merge_issues, registry, summarize_issues
+from candleforge.operators.quality import QualityConfig, validate
+from candleforge.operators.report import daily_flagged, issues_by_code, late_series, over_threshold, quality_summary
+from candleforge.operators.resample import resample, resample_closed_right
+from candleforge.plans.sql import sql
+from candleforge.plans.tables import HOUR, dirty, event_bars, hourly, lineitem_bars, table
+from candleforge.schema import iso, last_wins
+from candleforge.sources.store import days_of, digest, half_open, inclusive, tail_window, upsert
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+NOW = 1_706_572_800_000  # 2024-01-30T00:00Z
+START, END = 1_704_412_800_000, 1_705_017_600_000  # 2024-01-05 and 2024-01-12
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def query(oracle: str | None):
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = lambda spark, sf_dir: _rounded(f(spark, sf_dir))
+        if oracle:
+            SQL[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def _r(*columns: str, alias: str = "") -> str:
+    return ", ".join(f"round({alias}{c}, 6) AS {c}" for c in columns)
+
+
+OHLCV = ("o", "h", "l", "c", "v", "t")
+
+
+# Scans, grids, stores
+
+
+@query(sql(f"SELECT symbol, ts, {_r(*OHLCV)} FROM bars"))
+def resample_ohlcv(spark, sf):
+    return event_bars(spark, sf).select("symbol", "ts", *OHLCV)
+
+
+@query(sql("""SELECT symbol, ts - ts % 86400000 + 86400000 AS ts, round(first(o ORDER BY ts), 6) AS o, round(max(h), 6) AS h, round(min(l), 6) AS l, round(last(c ORDER BY ts), 6) AS c,
+  round(sum(v), 6) AS v, round(sum(t), 6) AS t, bool_or(is_gap) AS is_gap FROM al GROUP BY symbol, ts - ts % 86400000"""))
+def resample_daily_end_label(spark, sf):
+    return resample(hourly(spark, sf), "24h", label="end").drop("tf")
+
+
+@query(sql("""SELECT symbol, (ts + 14399999) // 14400000 * 14400000 - 14400000 AS ts, round(first(o ORDER BY ts), 6) AS o, round(max(h), 6) AS h, round(min(l), 6) AS l,
+  round(last(c ORDER BY ts), 6) AS c, round(sum(v), 6) AS v, round(sum(t), 6) AS t FROM al GROUP BY 1, 2"""))
+def resample_closed_right_4h(spark, sf):
+    return resample_closed_right(hourly(spark, sf), "4h")
+
+
+@query("""WITH li AS (SELECT l_returnflag AS symbol, epoch_ms(date_trunc('day', l_shipdate)::TIMESTAMP) AS ts, l_extendedprice / l_quantity AS p, l_quantity AS q, l_orderkey, l_linenumber FROM lineitem)
+SELECT symbol, ts, round(first(p ORDER BY l_orderkey, l_linenumber), 6) AS o, round(max(p), 6) AS h, round(min(p), 6) AS l, round(last(p ORDER BY l_orderkey, l_linenumber), 6) AS c,
+  round(sum(q), 6) AS v FROM li GROUP BY symbol, ts""")
+def lineitem_daily_bars(spark, sf):
+    return lineitem_bars(spark, sf)
+
+
+@query(sql(f"SELECT symbol, ts, {_r(*OHLCV)}, is_gap FROM al"))
+def align_gaps_hourly(spark, sf):
+    return hourly(spark, sf).select("symbol", "ts", *OHLCV, "is_gap")
+
+
+@query(sql("""SELECT symbol, count(*) AS rows_out, min(ts) AS min_ts, max(ts) AS max_ts, (max(ts) - min(ts)) // 60000 + 1 AS span, count(*) FILTER (is_gap) AS gaps,
+  round(count(*) FILTER (is_gap) / ((max(ts) - min(ts)) // 60000 + 1) * 100, 6) AS gap_pct FROM al GROUP BY symbol"""))
+def alignment_stats(spark, sf):
+    return gap_stats(hourly(spark, sf)).drop("tf")
+
+
+@query(sql(f"""SELECT symbol, count(*) AS total, count(*) FILTER (is_gap) AS gaps, round(count(*) FILTER (is_gap) / count(*), 6) AS gap_pct
+  FROM al WHERE ts >= {START} AND ts < {END} GROUP BY symbol"""))
+def missing_report_range(spark, sf):
+    return missing_report(hourly(spark, sf), START, END).drop("tf")
+
+
+@query(sql("""SELECT symbol, total, gaps, round(gaps / total, 6) AS gap_pct FROM (SELECT symbol, count(*) AS total, count(*) FILTER (is_gap) AS gaps FROM al GROUP BY symbol) WHERE gaps / total > 0.07"""))
+def missing_over_threshold(spark, sf):
+    return over_threshold(missing_report(hourly(spark, sf)), 0.07).drop("tf")
+
+
+@query("""WITH raw AS (SELECT event_type AS symbol, epoch_ms(ts) AS ms, event_id, value FROM events),
+one AS (SELECT symbol, ms - ms % 60000 AS ts, last(value ORDER BY event_id) AS v FROM raw GROUP BY 1, 2)
+SELECT r.symbol, count(*) AS rows_in, count(*) FILTER (ms % 60000 <> 0) AS misaligned_fixed, count(*) - count(DISTINCT ms - ms % 60000) AS dup_removed,
+  any_value(o.rows_out) AS rows_out, any_value(o.gaps) AS gaps, round(any_value(o.total), 4) AS total
+FROM raw r JOIN (SELECT symbol, (max(ts) - min(ts)) // 60000 + 1 AS rows_out, (max(ts) - min(ts)) // 60000 + 1 - count(*) AS gaps, sum(v) AS total FROM one GROUP BY symbol) o ON r.symbol = o.symbol
+GROUP BY r.symbol""")
+def normalize_minutes(spark, sf):
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("symbol"), F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp_ms"), F.col("value").alias("Open"), F.col("value").alias("HIGH"),
+        F.col("value").alias("low"), F.col("value").alias("close"), F.col("value").alias("volume"), "event_id",
+    )
+    bars, stats = normalize_bars(ev, "event_id")
+    total = bars.groupBy("symbol").agg(F.round(F.sum("v"), 4).alias("total"))
+    return stats.select("symbol", "rows_in", "misaligned_fixed", "dup_removed", "rows_out", "gaps").join(total, "symbol")
+
+
+@query(sql(f"SELECT symbol, ts, {_r(*OHLCV)} FROM bars WHERE ts >= {START} AND ts < {END}"))
+def read_range_halfopen(spark, sf):
+    return half_open(event_bars(spark, sf), START, END).select("symbol", "ts", *OHLCV)
+
+
+@query(sql(f"SELECT symbol, ts, {_r(*OHLCV)} FROM bars WHERE ts BETWEEN {START} AND {END}"))
+def read_range_inclusive(spark, sf):
+    return inclusive(event_bars(spark, sf), START, END).select("symbol", "ts", *OHLCV)
+
+
+@query(sql("""SELECT d.day_ms, count(b.ts) AS bars, round(sum(b.v), 6) AS v FROM (SELECT unnest(range(1703980800000, 1706832000001, 86400000)) AS day_ms) d
+  LEFT JOIN bars b ON b.ts - b.ts % 86400000 = d.day_ms AND b.symbol = 'view' GROUP BY d.day_ms"""))
+def iterate_days(spark, sf):
+    bars = event_bars(spark, sf).where("symbol = 'view'")
+    return days_of(bars, "2023-12-31", "2024-02-02").groupBy("day_ms").agg(F.count("ts").alias("bars"), F.sum("v").alias("v"))
+
+
+@query(sql("SELECT symbol, count(*) AS rows, min(ts) AS min_ts, max(ts) AS max_ts FROM bars GROUP BY symbol"))
+def manifest_stats(spark, sf):
+    return event_bars(spark, sf).groupBy("symbol").agg(F.count("*").alias("rows"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
+
+
+@query(sql(f"""SELECT symbol, ts, {_r('c')}, ver FROM (
+  SELECT coalesce(a.symbol, b.symbol) AS symbol, coalesce(a.ts, b.ts) AS ts, coalesce(b.c2, a.c) AS c, CASE WHEN a.ts IS NOT NULL AND b.ts IS NOT NULL THEN 1 ELSE 0 END AS ver
+  FROM (SELECT * FROM bars WHERE ts < {END}) a FULL JOIN (SELECT *, c + 1 AS c2 FROM bars WHERE ts >= {START}) b ON a.symbol = b.symbol AND a.ts = b.ts)"""))
+def upsert_last_wins(spark, sf):
+    bars = event_bars(spark, sf)
+    old = bars.where(F.col("ts") < END).withColumn("ver", F.lit(0))
+    new = bars.where(F.col("ts") >= START)
+    twice = new.withColumns({"c": F.col("c") + 1, "seq": F.lit(2)}).unionByName(new.withColumn("seq", F.lit(1)))
+    return upsert(old, twice, "seq").select("symbol", "ts", "c", "ver")
+
+
+@query("""SELECT event_type AS symbol, epoch_ms(ts) // 3600000 * 3600000 AS ts, last(value ORDER BY event_id) AS value FROM events GROUP BY 1, 2""")
+def dedup_last_wins(spark, sf):
+    ev = table(spark, sf, "events").select(F.col("event_type").alias("symbol"), G.floor_ts(F.unix_millis(F.col("ts").cast("timestamp")), HOUR).alias("ts"), "event_id", "value")
+    return last_wins(ev, "event_id", ("symbol", "ts")).drop("event_id")
+
+
+@query(sql(f"""SELECT b.symbol, b.ts, {_r('c', alias='b.')} FROM bars b JOIN (SELECT symbol, max(ts) AS m FROM bars GROUP BY symbol) x ON b.symbol = x.symbol AND b.ts >= x.m - 14 * 86400000"""))
+def tail_window_14d(spark, sf):
+    return tail_window(event_bars(spark, sf)).select("symbol", "ts", "c")
+
+
+@query("""SELECT event_id, epoch_ms(ts) AS ms, epoch_ms(ts) // 300000 * 300000 AS floor5, (epoch_ms(ts) + 299999) // 300000 * 300000 AS ceil5, epoch_ms(ts) // 3600000 * 3600000 AS parent,
+  epoch_ms(ts) // 86400000 * 86400000 AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso FROM events""")
+def time_grid(spark, sf):
+    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ev = table(spark, sf, "events").select("event_id", ms.alias("ms"))
+    return ev.select("event_id", "ms", G.floor_ts("ms", 300_000).alias("floor5"), G.ceil_ts("ms", 300_000).alias("ceil5"), G.parent_start("ms", "1h").alias("parent"), G.floor_ts("ms", G.DAY).alias("day"), iso("ms").alias("iso"))
+
+
+@query(f"SELECT unnest(range({START}, {START + 3600000}, 60000)) AS ts")
+def minute_grid(spark, sf):
+    return G.minute_grid(spark, START - 30_000, START + 3_600_000)
+
+
+@query(sql("SELECT count(*) FILTER (ms % 300000 <> 0) AS misaligned FROM ev"))
+def misaligned_count(spark, sf):
+    return G.misaligned(table(spark, sf, "events").select(F.unix_millis(F.col("ts").cast("timestamp")).alias("ts")), "5m")
+
+
+@query(sql("SELECT symbol, count(*) AS rows, true AS same FROM bars GROUP BY symbol"))
+def content_digest(spark, sf):
+    """Equal content in another order has an equal digest."""
+    bars = event_bars(spark, sf)
+    same = digest(bars) == digest(bars.repartition(3, "ts"))
+    return bars.groupBy("symbol").agg(F.count("*").alias("rows")).withColumn("same", F.lit(same))
+
+
+@query(sql("""SELECT l.symbol, l.ts, round(r.rv, 6) AS rv FROM (SELECT symbol, ts, ts - ts % 86400000 AS day FROM bars) l
+  ASOF LEFT JOIN (SELECT symbol, ts - ts % 86400000 AS day, stddev_samp(lr) AS rv FROM x GROUP BY 1, 2) r ON l.symbol = r.symbol AND l.day >= r.day"""))
+def asof_rv(spark, sf):
+    """The last known daily deviation at each bar: union, then the last value over time."""
+    x = FT.basic(hourly(spark, sf), FT.FeatureConfig())
+    day = G.floor_ts("ts", G.DAY)
+    daily = x.groupBy("symbol", day.alias("at")).agg(F.stddev_samp("f_logret1").alias("rv")).withColumns({"ts": F.lit(None).cast("long"), "side": F.lit(0)})
+    left = event_bars(spark, sf).select("symbol", "ts", day.alias("at"), F.lit(None).cast("double").alias("rv"), F.lit(1).alias("side"))
+    # the day's own row stands for it even if its value is NULL
+    both = left.unionByName(daily.select(*left.columns)).withColumn("s", F.when(F.col("side") == 0, F.struct("rv")))
+    w = Window.partitionBy("symbol").orderBy("at", "side", "ts").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("s", F.last("s", ignorenulls=True).over(w)).where("side = 1").select("symbol", "ts", F.col("s.rv").alias("rv"))
+
+
+# Data quality
+
+
+def _validated(spark, sf):
+    return validate(dirty(event_bars(spark, sf)), "1h", NOW)
+
+
+@query(sql(f"SELECT symbol, ts, {_r(*OHLCV)}, is_gap, dq_flags, dq_notes FROM clean"))
+def dq_validate(spark, sf):
+    return _validated(spark, sf)[0].drop("tf")
+
+
+@query(sql("SELECT symbol, ts, code, note FROM issues"))
+def dq_issues(spark, sf):
+    return _validated(spark, sf)[1].drop("tf")
+
+
+def _rule(code: str):
+    f = lambda spark, sf: _validated(spark, sf)[1].where(F.col("code") == code).select("symbol", "ts", "code", "note")
+    f.__name__ = f"dq_{code.lower()}"
+    query(sql(f"SELECT symbol, ts, code, note FROM issues WHERE code = '{code}'"))(f)
+
+
+for _code in ("R02_TS_FUTURE", "R03_TS_MISALIGNED", "R10_NEG_PRICE", "R11_NEG_VOL", "R12_NAN", "R13_OHLC_ORDER", "R20_VOL_SPIKE", "R21_ATR_SPIKE", "R22_RET_SPIKE", "R23_ZERO_RUN"):
+    _rule(_code)
+
+
+@query(sql("SELECT symbol, ms // 3600000 * 3600000 AS ts, 'R01_DUP_TS' AS code FROM ev GROUP BY 1, 2 HAVING count(*) > 1"))
+def dq_r01_dup_ts(spark, sf):
+    ev = table(spark, sf, "events").select(
+        F.col("event_type").alias("symbol"), F.lit("1h").alias("tf"), G.floor_ts(F.unix_millis(F.col("ts").cast("timestamp")), HOUR).alias("ts"),
+        *[F.col("value").alias(x) for x in OHLCV], F.lit(False).alias("is_gap"), "event_id",
+    )
+    log = validate(ev, "1h", NOW * 2, cfg=QualityConfig(emit_r01=True), seq="event_id")[1]
+    return log.where("code = 'R01_DUP_TS'").select("symbol", "ts", "code")
+
+
+@query(sql("SELECT symbol, ts, 'R14_H_LT_L' AS code FROM q2 WHERE h < l"))
+def dq_r14_h_lt_l(spark, sf):
+    """Without repair; with it, rule 13 leaves nothing to this one."""
+    log = validate(dirty(event_bars(spark, sf)).where(F.pmod("ts", F.lit(HOUR)) != 500), "1h", NOW, repair=False)[1]
+    near = validate(dirty(event_bars(spark, sf)).where(F.pmod("ts", F.lit(HOUR)) == 500), "1h", NOW, repair=False)[1].withColumn("ts", F.col("ts") - 500)
+    return log.unionByName(near).where("code = 'R14_H_LT_L'").select("symbol", "ts", "code")
+
+
+def _compared(spark, sf):
+    return validate(event_bars(spark, sf), "1h", NOW * 2, minutes=event_bars(spark, sf, "1m"))[1]
+
+
+def _reference(code: str, flag: str):
+    f = lambda spark, sf: _compared(spark, sf).where(F.col("code") == code).select("symbol", "ts", "code")
+    f.__name__ = f"dq_{code.lower()}"
+    query(sql(f"SELECT symbol, ts, '{code}' AS code FROM cmp WHERE {flag}"))(f)
+
+
+for _code, _flag in (("R30_OHLC_MISMATCH", "b30"), ("R31_VOL_MISMATCH", "b31"), ("R32_RANGE_MISMATCH", "b32"), ("R33_COUNT_MISMATCH", "b33")):
+    _reference(_code, _flag)
+
+
+@query(sql("""SELECT i.code, count(*) AS count, min(ts) AS first_ts, max(ts) AS last_ts, any_value(r.severity) AS severity, any_value(r.action) AS action, any_value(r.level) AS level
+  FROM issues i JOIN (VALUES ('R02_TS_FUTURE', 'high', 'drop', 1), ('R03_TS_MISALIGNED', 'medium', 'fix', 1), ('R10_NEG_PRICE', 'crit', 'gapify', 2), ('R11_NEG_VOL', 'medium', 'fix', 2),
+  ('R12_NAN', 'high', 'gapify', 2), ('R13_OHLC_ORDER', 'high', 'fix', 2), ('R20_VOL_SPIKE', 'low', 'flag', 3), ('R21_ATR_SPIKE', 'low', 'flag', 3), ('R22_RET_SPIKE', 'low', 'flag', 3),
+  ('R23_ZERO_RUN', 'low', 'flag', 3)) AS r(code, severity, action, level) ON i.code = r.code GROUP BY i.code"""))
+def issues_summary(spark, sf):
+    return summarize_issues(_validated(spark, sf)[1])
+
+
+@query(sql("SELECT DISTINCT symbol, ts, code, note FROM issues WHERE code IN ('R10_NEG_PRICE', 'R11_NEG_VOL', 'R12_NAN')"))
+def issues_merge(spark, sf):
+    log = _validated(spark, sf)[1]
+    return merge_issues(log.where("code in ('R10_NEG_PRICE', 'R11_NEG_VOL')"), log.where("code in ('R11_NEG_VOL', 'R12_NAN')")).drop("tf")
+
+
+@query(sql("SELECT code, count(*) AS count FROM issues GROUP BY code"))
+def issues_per_code(spark, sf):
+    return issues_by_code(_validated(spark, sf)[1])
+
+
+@query("""SELECT DISTINCT CASE event_type WHEN 'view' THEN 'R20_VOL_SPIKE' WHEN 'click' THEN 'R02_TS_FUTURE' WHEN 'error' THEN 'R12_NAN' WHEN 'purchase' THEN 'PURCHASE' ELSE 'UNKNOWN' END AS code, event_type FROM events""")
+def canonical_codes(spark, sf):
+    raw = F.when(F.col("event_type") == "view", "a Vol-Spike!").when(F.col("event_type") == "click", " r02_ts_future ").when(F.col("event_type") == "error", "NaN").when(F.col("event_type") == "purchase", "purchase").otherwise(" ")
+    return table(spark, sf, "events").select(canonical_code(raw).alias("code"), "event_type").distinct()
+
+
+@query("""SELECT * FROM (VALUES ('crit', 1), ('high', 7), ('medium', 4), ('low', 4)) AS r(severity, n)""")
+def issue_registry(spark, sf):
+    return registry(spark).groupBy("severity").agg(F.count("*").alias("n"))
+
+
+@query(sql("""SELECT symbol, min(ts) AS min_ts, max(ts) AS max_ts, count(*) AS bars, round(avg((dq_flags <> 0)::INT), 6) AS flagged_ratio,
+  round(greatest(0, 1 - count(*) / ((max(ts) - min(ts)) / 60000 + 1)), 6) AS calendar_gap_ratio_1m FROM clean GROUP BY symbol"""))
+def quality_report(spark, sf):
+    return quality_summary(_validated(spark, sf)[0]).drop("tf")
+
+
+@query(sql("SELECT symbol, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS day, count(*) AS bars, round(avg((dq_flags <> 0)::INT), 6) AS flagged_ratio FROM clean GROUP BY 1, 2"))
+def daily_flagged_ratio(spark, sf):
+    return daily_flagged(_validated(spark, sf)[0]).drop("tf")
+
+
+@query(sql(f"SELECT symbol, max(ts) AS max_ts, {NOW + 86400000} - max(ts) AS lag_ms FROM bars GROUP BY symbol HAVING {NOW + 86400000} - max(ts) > 90000"))
+def latency_check(spark, sf):
+    return late_series(event_bars(spark, sf), NOW + 86_400_000).drop("tf")
+
+
+# Features
+
+
+def _windowed(spark, sf):
+    cfg = FT.FeatureConfig()
+    return FT.windowed(FT.basic(hourly(spark, sf), cfg), cfg)
+
+
+def _full(spark, sf):
+    return FT.compute_features(hourly(spark, sf), "1h")
+
+
+def _features(name: str, columns: dict[str, str], source: str, build=_windowed):
+    f = lambda spark, sf: build(spark, sf).select("symbol", "ts", *columns)
+    f.__name__ = name
+    query(sql("SELECT symbol, ts, " + ", ".join(f"round({e}, 6) AS {c}" for c, e in columns.items()) + f" FROM {source} WINDOW w AS (PARTITION BY symbol ORDER BY ts)"))(f)
+
+
+def _over(e: str, n: int) -> str:
+    return f"CASE WHEN rn >= {n} THEN {e} OVER (PARTITION BY symbol ORDER BY ts ROWS {n - 1} PRECEDING) END"
+
+
+def _z(e: str, n: int) -> str:
+    w = f"OVER (PARTITION BY symbol ORDER BY ts ROWS {n - 1} PRECEDING)"
+    return f"CASE WHEN rn >= {n} THEN ({e} - avg({e}) {w}) / nullif(stddev_samp({e}) {w}, 0) END"
+
+
+_features("f_returns", {"f_ret1": "c / nullif(c1, 0) - 1", "f_logret1": "lr"}, "x")
+_features("f_rv", {f"f_rv_{n}": f"CASE WHEN rn >= {n + 1} THEN stddev_samp(lr) OVER (PARTITION BY symbol ORDER BY ts ROWS {n - 1} PRECEDING) END" for n in (20, 60)}, "x")
+_features("f_candle", {"f_range_pct": "abs(h - l) / c", "f_body_pct": "abs(c - o) / c", "f_wick_upper_pct": "(h - greatest(o, c)) / c", "f_wick_lower_pct": "(least(o, c) - l) / c", "f_tr": "tr"}, "x")
+_features("f_mom", {f"f_mom_{n}": f"c / nullif(lag(c, {n}) OVER w, 0) - 1" for n in (20, 50, 100)}, "x")
+_features(
+    "f_donch",
+    {k: e for n in (20, 55) for k, e in ((f"f_donch_h_{n}", _over("max(h)", n)), (f"f_donch_l_{n}", _over("min(l)", n)), (f"f_donch_width_pct_{n}", f"({_over('max(h)', n)} - {_over('min(l)', n)}) / c"), (f"f_donch_break_dir_{n}", "0.0"))},
+    "x",
+)
+_features("f_zscore", {k: e for n in (20, 60) for k, e in ((f"f_close_z_{n}", _z("c", n)), (f"f_range_z_{n}", _z("(h - l)", n)), (f"f_vol_z_{n}", _z("v", n)))}, "x")
+_UP, _DOWN = _over("sum(CASE WHEN step > 0 THEN v ELSE 0 END)", 20), _over("sum(CASE WHEN step < 0 THEN v ELSE 0 END)", 20)
+_features("f_updownvol", {"f_upvol_20": _UP, "f_downvol_20": _DOWN, "f_vol_balance_20": f"({_UP} - {_DOWN}) / nullif({_UP} + {_DOWN}, 0)"}, "x")
+_features("f_obv", {"f_obv": "sum(coalesce(sign(step), 0) * v) OVER (PARTITION BY symbol ORDER BY ts ROWS UNBOUNDED PRECEDING)"}, "x")
+_VWAP = f"{_over('sum((h + l + c) / 3 * v)', 96)} / nullif({_over('sum(v)', 96)}, 0)"
+_features("f_vwap_roll", {"f_vwap_roll_96": _VWAP, "f_vwap_dev_pct_96": f"(c - {_VWAP}) / ({_VWAP})"}, "x")
+_DAY = "sum((h + l + c) / 3 * v) OVER s / nullif(sum(v) OVER s, 0)".replace("OVER s", "OVER (PARTITION BY symbol, ts // 86400000 ORDER BY ts ROWS UNBOUNDED PRECEDING)")
+_features("f_vwap_session", {"f_vwap_session": _DAY, "f_vwap_session_dev_pct": f"(c - {_DAY}) / ({_DAY})"}, "x")
+_features("f_liquidity", {"f_liq_proxy": "t", "f_spread_proxy": f"({_over('max(h)', 20)} - {_over('min(l)', 20)}) / c"}, "x")
+_features("f_atr", {"f_atr_14": "atr", "f_atr_pct_14": "atr / c", "f_atr_z_14": _z("atr", 14).replace("rn >= 14", "rn >= 27")}, "m", _full)
+_features("f_ema", {k: e for n in (20, 50) for k, e in ((f"f_ema_close_{n}", f"e{n}"), (f"f_ema_slope_{n}", f"(e{n} - lag(e{n}) OVER w) / lag(e{n}) OVER w"))}, "m", _full)
+_features("f_rsi", {"f_rsi_14": "100 - 100 / (1 + wu / nullif(wd, 0))"}, "m", _full)
+_features("f_adx", {"f_pdi_14": "pdi", "f_mdi_14": "mdi", "f_adx_14": "adx"}, "f", _full)
+_features("f_kama", {"f_kama_10": "k"}, "er JOIN (SELECT symbol AS sy, rn AS r, k FROM ka) q ON symbol = sy AND rn = r", _full)
+
+
+@query(sql("SELECT symbol, min(ts) FILTER (rn = 101) AS f_valid_from, count(*) AS n, 'C3-Core-1.4' AS f_build_version FROM x GROUP BY symbol"))
+def f_valid_from(spark, sf):
+    return _full(spark, sf).groupBy("symbol").agg(F.max("f_valid_from").alias("f_valid_from"), F.count("*").alias("n"), F.max("f_build_version").alias("f_build_version"))
+
+
+@query(sql("SELECT symbol, ts, round(o, 6) AS open, round(c, 6) AS close, round(v, 6) AS volume, strftime(make_timestamp(ts * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS start_time_iso FROM al"))
+def feature_input_wide(spark, sf):
+    wide = hourly(spark, sf).selectExpr("symbol", "tf", "ts as timestamp_ms", "o as OPEN", "h as high", "l as low", "c as Close", "v as volume")
+    return FT.normalize_and_validate(wide, "1h").select("symbol", "ts", "open", "close", "volume", "start_time_iso")
+
+
+@query(None)
+def features_all(spark, sf):
+    return FT.validate_features(_full(spark, sf))
+
+
+# Regime
+
+
+def _regime_input(spark, sf):
+    return _full(spark, sf)
+
+
+@query(sql("SELECT symbol, ts, d1, round(s_adx, 6) AS s_adx FROM r1"))
+def d1_adx(spark, sf):
+    return R.d1_adx(R.regime_input(_regime_input(spark, sf), "1h"), R.RegimeConfig()).select("symbol", "ts", "d1", "s_adx")
+
+
+@query(sql("SELECT symbol, ts, d2, round(s_donch, 6) AS s_donch FROM r2"))
+def d2_donchian(spark, sf):
+    return R.d2_donchian(R.regime_input(_windowed(spark, sf), "1h"), R.RegimeConfig()).select("symbol", "ts", "d2", "s_donch")
+
+
+def _detector(v: str):
+    def d3(spark, sf):
+        df = FT.basic(hourly(spark, sf), FT.FeatureConfig())
+        return R.d3_run_length(R.regime_input(df, "1h"), R.RegimeConfig(), v.upper()).select("symbol", "ts", "d3", "p_bocpd_trend", "chgpt")
+
+    def d4(spark, sf):
+        df = FT.basic(hourly(spark, sf), FT.FeatureConfig()).withColumn("__x", F.col("f_logret1"))
+        return R.d4_calm(R.regime_input(df, "1h"), R.RegimeConfig(), v.upper()).select("symbol", "ts", "d4", "s_hmm_rv", "high_rv")
+
+    d3.__name__, d4.__name__ = f"d3_run_length_{v}", f"d4_calm_{v}"
+    query(sql(f"SELECT symbol, ts, d3, round(p, 6) AS p_bocpd_trend, chgpt FROM {v}4"))(d3)
+    query(sql(f"SELECT symbol, ts, d4, round(s_hmm_rv, 6) AS s_hmm_rv, high_rv FROM {v}5"))(d4)
+
+
+def _regime(v: str):
+    cfg = R.RegimeConfig()
+
+    def signs(spark, sf):
+        return R.confirm(R.detectors(_regime_input(spark, sf), "1h", cfg, v.upper()), "1h", cfg, v.upper()).select("symbol", "ts", *[F.coalesce(f"v{k}", F.lit(0)).cast("int").alias(f"v{k}") for k in "1234"])
+
+    def votes(spark, sf):
+        df = R.confirm(R.detectors(_regime_input(spark, sf), "1h", cfg, v.upper()), "1h", cfg, v.upper())
+        return R.vote(df, cfg).select("symbol", "ts", "votes_trend", "votes_flat", F.col("signal").cast("int").alias("signal"))
+
+    def infer(spark, sf):
+        return R.infer_regime(_regime_input(spark, sf), "1h", cfg, v.upper())
+
+    signs.__name__, votes.__name__, infer.__name__ = f"stable_sign_{v}", f"regime_vote_{v}", f"infer_regime_{v}"
+    query(sql("SELECT symbol, ts, " + ", ".join(f"coalesce(v{k}, 0)::INT AS v{k}" for k in "1234") + f" FROM {v}10"))(signs)
+    query(sql(f"SELECT symbol, ts, votes_trend, votes_flat, sig AS signal FROM {v}12"))(votes)
+    query(sql(f"""SELECT ts AS timestamp_ms, strftime(make_timestamp(ts * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS start_time_iso, symbol, '1h' AS tf, CASE WHEN locked > 0 THEN 'trend' ELSE 'flat' END AS regime,
+      high_rv, greatest(votes_trend, votes_flat) / 4 AS regime_confidence, votes_trend, votes_flat, '1111' AS det_used, chgpt, round(p, 6) AS p_bocpd_trend, round(1 - p, 6) AS p_bocpd_flat,
+      round(s_adx, 6) AS s_adx, round(s_donch, 6) AS s_donch, round(s_hmm_rv, 6) AS s_hmm_rv, locked AS hysteresis_state, 'C4-Regime-1.2' AS build_version FROM {v}14"""))(infer)
+
+
+for _v in "ab":
+    _detector(_v)
+    _regime(_v)
+
+
+@query(None)
+def regime_hmm(spark, sf):
+    """The hidden-Markov form of the fourth detector; SQL can't express it."""
+    return R.infer_regime(_regime_input(spark, sf), "1h", variant="B", hmm=True)
+
+
+def _cooldown_sql() -> str:
+    inner = sql("SELECT symbol, ts, rn, CASE WHEN step > 0 THEN 1 ELSE -1 END AS sig FROM x")
+    return f"""WITH RECURSIVE s AS ({inner}),
+z AS (SELECT symbol, rn, sig AS now, 0 AS cd FROM s WHERE rn = 1
+  UNION ALL SELECT q.symbol, q.rn, CASE WHEN q.sig <> p.now AND p.cd = 0 THEN q.sig ELSE p.now END, CASE WHEN q.sig <> p.now AND p.cd = 0 THEN 5 ELSE greatest(p.cd - 1, 0) END
+  FROM z p JOIN s q ON q.symbol = p.symbol AND q.rn = p.rn + 1)
+SELECT s.symbol, s.ts, s.sig, z.now::DOUBLE AS locked FROM s JOIN z ON s.symbol = z.symbol AND s.rn = z.rn"""
+
+
+@query(_cooldown_sql())
+def regime_cooldown(spark, sf):
+    from candleforge.operators.islands import cooldown
+
+    df = FT.basic(hourly(spark, sf), FT.FeatureConfig()).select("symbol", "tf", "ts", F.when(F.col("__step") > 0, 1).otherwise(-1).alias("sig"))
+    return cooldown(df, "sig", 5, "locked").select("symbol", "ts", "sig", "locked")
