@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleforge.functions.timegrid import MINUTE, floor_ts
-from candleforge.schema import KEY, coerce, last_wins, with_key
+from candleforge.schema import KEY, by_time, coerce, last_wins, with_key
 
-BY_TIME = Window.partitionBy(*KEY).orderBy("ts")
 
 
 def align_gaps(bars: DataFrame, step: int = MINUTE) -> DataFrame:
@@ -20,8 +19,8 @@ def align_gaps(bars: DataFrame, step: int = MINUTE) -> DataFrame:
     """
     first = F.min("ts").over(Window.partitionBy(*KEY))
     on_grid = bars.withColumn("__first", first).where(F.pmod(F.col("ts") - F.col("__first"), F.lit(step).cast("long")) == 0)
-    known = F.last("c", ignorenulls=True).over(BY_TIME.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = on_grid.withColumns({"__known": known, "__next": F.lead("ts").over(BY_TIME)})
+    known = F.last("c", ignorenulls=True).over(by_time().rowsBetween(Window.unboundedPreceding, 0))
+    ahead = on_grid.withColumns({"__known": known, "__next": F.lead("ts").over(by_time())})
     stop = F.coalesce(F.col("__next") - step, F.col("ts"))
     every = ahead.withColumn("__at", F.explode(F.sequence("ts", stop, F.lit(step).cast("long"))))
     gap = F.col("__at") > F.col("ts")

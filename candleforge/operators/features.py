@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from candleforge.functions.timegrid import DAY, parse_tf
 from candleforge.operators.recurrence import ewm
-from candleforge.schema import KEY, coerce, iso, with_key
+from candleforge.schema import KEY, by_time, coerce, iso, with_key
 
-BY_TIME = Window.partitionBy(*KEY).orderBy("ts")
 WIDE = {"o": "open", "h": "high", "l": "low", "c": "close", "v": "volume", "t": "turnover"}
 
 
@@ -38,7 +37,7 @@ class FeatureConfig:
 
 
 def over(n: int) -> Window:
-    return BY_TIME.rowsBetween(-(n - 1), 0)
+    return by_time().rowsBetween(-(n - 1), 0)
 
 
 def full(n: int, x: Column | str, value: Column) -> Column:
@@ -55,23 +54,23 @@ def zscore(x: str, n: int) -> Column:
 
 
 def true_range() -> Column:
-    before = F.lag("c").over(BY_TIME)
+    before = F.lag("c").over(by_time())
     return F.greatest(F.abs(F.col("h") - F.col("l")), F.abs(F.col("h") - before), F.abs(F.col("l") - before))
 
 
 def basic(bars: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """Returns, ranges, and the steps that others need."""
     o, h, l, c, v = (F.col(x) for x in "ohlcv")
-    step = c - F.lag("c").over(BY_TIME)
+    step = c - F.lag("c").over(by_time())
     log = F.when(c > 0, F.ln(c))
     body = o.isNotNull() & c.isNotNull()
-    filled = F.last("c", ignorenulls=True).over(BY_TIME.rowsBetween(Window.unboundedPreceding, 0))
-    up_move, down_move = h - F.lag("h").over(BY_TIME), F.lag("l").over(BY_TIME) - l
+    filled = F.last("c", ignorenulls=True).over(by_time().rowsBetween(Window.unboundedPreceding, 0))
+    up_move, down_move = h - F.lag("h").over(by_time()), F.lag("l").over(by_time()) - l
     df = bars.withColumns({"__cf": filled, "__log": log, "__step": step, "__v0": F.coalesce(v, F.lit(0.0)), "__range": h - l, "__tp": (h + l + c) / 3})
     return df.withColumns(
         {
-            "f_ret1": div(F.col("__cf"), F.lag("__cf").over(BY_TIME)) - 1,
-            "f_logret1": F.col("__log") - F.lag("__log").over(BY_TIME),
+            "f_ret1": div(F.col("__cf"), F.lag("__cf").over(by_time())) - 1,
+            "f_logret1": F.col("__log") - F.lag("__log").over(by_time()),
             "f_range_pct": div(F.abs(h - l), c),
             "f_body_pct": div(F.abs(c - o), c),
             "f_wick_upper_pct": F.when(body, div(h - F.greatest(o, c), c)),
@@ -92,7 +91,7 @@ def kama_terms(n: int) -> tuple[dict[str, Column], str, tuple[Column, Column]]:
     average is NULL and starts again from the close before.
     """
     path = full(n, "__absstep", F.sum("__absstep").over(over(n)))
-    ratio = div(F.abs(F.col("c") - F.lag("c", n).over(BY_TIME)), path)
+    ratio = div(F.abs(F.col("c") - F.lag("c", n).over(by_time())), path)
     fast, slow = 2 / 3, 2 / 31
     smooth = F.pow(ratio * (fast - slow) + slow, F.lit(2.0))
     sc, before = F.col("__sc"), F.col("__c1")
@@ -110,9 +109,9 @@ def compute_features(bars: DataFrame, tf: str, cfg: FeatureConfig = FeatureConfi
     """
     df = basic(feature_input(bars, tf), cfg)
     n_adx = cfg.adx
-    df = df.withColumns({"__absstep": F.abs(F.col("__step")), "__c1": F.lag("c").over(BY_TIME)})
+    df = df.withColumns({"__absstep": F.abs(F.col("__step")), "__c1": F.lag("c").over(by_time())})
     first, _, terms = kama_terms(cfg.kama)
-    df = df.withColumns(first).withColumn("__sc1", F.lag("__sc").over(BY_TIME))
+    df = df.withColumns(first).withColumn("__sc1", F.lag("__sc").over(by_time()))
     atr = f"f_atr_{n_adx}"
     means = {atr: ("f_tr", 1 / n_adx, n_adx), "__wpdm": ("__pdm", 1 / n_adx, n_adx), "__wmdm": ("__mdm", 1 / n_adx, n_adx)}
     means |= {f"f_ema_close_{n}": ("c", 2 / (n + 1), n) for n in cfg.ema}
@@ -130,7 +129,7 @@ def from_means(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     atr = f"f_atr_{cfg.adx}"
     out = {f"f_atr_pct_{cfg.adx}": div(F.col(atr), F.col("c")), f"f_atr_z_{cfg.adx}": zscore(atr, cfg.adx)}
     for n in cfg.ema:
-        before = F.lag(f"f_ema_close_{n}").over(BY_TIME)
+        before = F.lag(f"f_ema_close_{n}").over(by_time())
         out[f"f_ema_slope_{n}"] = div(F.col(f"f_ema_close_{n}") - before, before)
     out[f"f_rsi_{cfg.rsi}"] = 100 - 100 / (1 + div(F.col("__wup"), F.col("__wdown")))
     return df.withColumns(out)
@@ -140,7 +139,7 @@ def windowed(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """What needs windows of rows only."""
     c, v0, step = F.col("c"), F.col("__v0"), F.col("__step")
     out: dict[str, Column] = {f"f_rv_{n}": full(n, "f_logret1", F.stddev_samp("f_logret1").over(over(n))) for n in cfg.rv}
-    out |= {f"f_mom_{n}": div(c, F.lag("c", n).over(BY_TIME)) - 1 for n in cfg.mom}
+    out |= {f"f_mom_{n}": div(c, F.lag("c", n).over(by_time())) - 1 for n in cfg.mom}
     for n in cfg.donch:
         high, low = full(n, "h", F.max("h").over(over(n))), full(n, "l", F.min("l").over(over(n)))
         out |= {f"f_donch_h_{n}": high, f"f_donch_l_{n}": low, f"f_donch_width_pct_{n}": div(high - low, c)}
@@ -152,7 +151,7 @@ def windowed(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
     up = full(n, "__v0", F.sum(F.when(step > 0, v0).otherwise(0.0)).over(over(n)))
     down = full(n, "__v0", F.sum(F.when(step < 0, v0).otherwise(0.0)).over(over(n)))
     out |= {f"f_upvol_{n}": up, f"f_downvol_{n}": down, f"f_vol_balance_{n}": div(up - down, up + down)}
-    out["f_obv"] = F.sum(F.coalesce(F.signum(step), F.lit(0.0)) * v0).over(BY_TIME.rowsBetween(Window.unboundedPreceding, 0))
+    out["f_obv"] = F.sum(F.coalesce(F.signum(step), F.lit(0.0)) * v0).over(by_time().rowsBetween(Window.unboundedPreceding, 0))
     n = cfg.vwap_roll
     paid = F.col("__tp") * v0
     roll = div(full(n, paid, F.sum(paid).over(over(n))), full(n, "__v0", F.sum(v0).over(over(n))))

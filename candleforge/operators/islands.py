@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candleforge.schema import KEY
-
-_BY_TIME = Window.partitionBy(*KEY).orderBy("ts")
-_SO_FAR = _BY_TIME.rowsBetween(Window.unboundedPreceding, 0)
+from candleforge.schema import KEY, by_time, so_far
 
 
 def runs(df: DataFrame, value: str, name: str) -> DataFrame:
     """Adds {name}_id, which rises where value changes, and {name}_n, the row's place in its run."""
-    changed = F.when(F.lag(value).over(_BY_TIME).eqNullSafe(F.col(value)) & (F.row_number().over(_BY_TIME) > 1), 0).otherwise(1)
-    marked = df.withColumn("__changed", changed).withColumn(f"{name}_id", F.sum("__changed").over(_SO_FAR)).drop("__changed")
+    changed = F.when(F.lag(value).over(by_time()).eqNullSafe(F.col(value)) & (F.row_number().over(by_time()) > 1), 0).otherwise(1)
+    marked = df.withColumn("__changed", changed).withColumn(f"{name}_id", F.sum("__changed").over(so_far())).drop("__changed")
     return marked.withColumn(f"{name}_n", F.row_number().over(Window.partitionBy(*KEY, f"{name}_id").orderBy("ts")))
 
 
@@ -27,9 +24,9 @@ def in_long_run(df: DataFrame, flag: str, least: int, name: str) -> DataFrame:
 
 def run_length(df: DataFrame, flag: str, name: str) -> DataFrame:
     """Adds the number of true rows up to here since the last false one; the first row counts 0."""
-    first = F.row_number().over(_BY_TIME) == 1
+    first = F.row_number().over(by_time()) == 1
     marked = df.withColumn("__up", F.col(flag) & ~first)
-    broken = marked.withColumn("__breaks", F.sum(F.when(F.col("__up"), 0).otherwise(1)).over(_SO_FAR))
+    broken = marked.withColumn("__breaks", F.sum(F.when(F.col("__up"), 0).otherwise(1)).over(so_far()))
     up = F.sum(F.col("__up").cast("int")).over(Window.partitionBy(*KEY, "__breaks").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0))
     return broken.withColumn(name, up.cast("double")).drop("__up", "__breaks")
 
@@ -42,7 +39,7 @@ def confirmed_sign(df: DataFrame, value: str, least: int, name: str, carry_zero:
     """
     sign = F.signum(F.coalesce(value, F.lit(0.0)))
     if carry_zero:
-        df = df.withColumn("__sign0", F.when(sign != 0, sign)).withColumn("__sign", F.last("__sign0", ignorenulls=True).over(_SO_FAR)).drop("__sign0")
+        df = df.withColumn("__sign0", F.when(sign != 0, sign)).withColumn("__sign", F.last("__sign0", ignorenulls=True).over(so_far())).drop("__sign0")
     else:
         df = df.withColumn("__sign", sign)
     held = runs(df, "__sign", "__held")
@@ -55,7 +52,7 @@ def cooldown(df: DataFrame, signal: str, rows: int, name: str) -> DataFrame:
     Only runs of equal signals are folded, an array of a row for each change: within a run the locked
     value changes at most once, at the run's start or when the lock ends.
     """
-    marked = runs(df.withColumn("__n", F.row_number().over(_BY_TIME)), signal, "__run")
+    marked = runs(df.withColumn("__n", F.row_number().over(by_time())), signal, "__run")
     heads = marked.where("__run_n = 1").select(*KEY, F.struct(F.col("__n").cast("long").alias("at"), F.col(signal).cast("double").alias("sig"), F.col("__run_id").alias("run")).alias("head"))
     ends = Window.partitionBy(*KEY).orderBy("head.at")
     heads = heads.withColumn("stop", F.lead("head.at").over(ends))

@@ -17,9 +17,8 @@ from candleforge.operators.islands import in_long_run
 from candleforge.operators.issues import BITS
 from candleforge.operators.recurrence import ewm
 from candleforge.operators.resample import resample_closed_right
-from candleforge.schema import KEY, PRICES, last_wins
+from candleforge.schema import KEY, PRICES, by_time, last_wins
 
-BY_TIME = Window.partitionBy(*KEY).orderBy("ts")
 _HITS = "array<struct<ord: int, code: string, note: string>>"
 
 
@@ -54,7 +53,7 @@ def _hit(df: DataFrame, cond: Column, order: int, code: str, note: Column | str
 
 def _gapify(df: DataFrame, cond: str) -> DataFrame:
     """Rows with the flag: the price of the close before, as it was before this rule; no volume."""
-    before = F.coalesce(F.lag("c").over(BY_TIME), F.col("c"))
+    before = F.coalesce(F.lag("c").over(by_time()), F.col("c"))
     df = df.withColumn("__prev", before)
     price = {x: F.when(F.col(cond), F.col("__prev")).otherwise(F.col(x)) for x in PRICES}
     zero = {x: F.when(F.col(cond), 0.0).otherwise(F.col(x)) for x in ("v", "t")}
@@ -112,7 +111,7 @@ def _spike(x: str, filled: str, n: int, z_thr: float, q: float) -> Column:
 
     z is of `filled`, the quantile of `x`.
     """
-    w, least = BY_TIME.rowsBetween(-(n - 1), 0), max(5, n // 5)
+    w, least = by_time().rowsBetween(-(n - 1), 0), max(5, n // 5)
     sd = F.nullif(F.stddev_samp(filled).over(w), F.lit(0.0))
     z = F.when(F.count(filled).over(w) >= least, (F.col(filled) - F.avg(filled).over(w)) / sd)
     high = F.when(F.count(x).over(w) >= least, F.percentile(x, F.lit(q)).over(w))
@@ -121,11 +120,11 @@ def _spike(x: str, filled: str, n: int, z_thr: float, q: float) -> Column:
 
 def _statistic_rules(df: DataFrame, tf_ms: int, cfg: QualityConfig) -> DataFrame:
     """R20 to R23: they only flag."""
-    before = F.lag("c").over(BY_TIME)
+    before = F.lag("c").over(by_time())
     log = F.ln(F.greatest("c", F.when(F.col("c").isNotNull(), 1e-12)))
     columns = df.columns
     df = df.withColumns({"__v0": F.coalesce("v", F.lit(0.0)), "__log": log, "__tr": F.greatest(F.abs(F.col("h") - F.col("l")), F.abs(F.col("h") - before), F.abs(F.col("l") - before))})
-    df = df.withColumn("__ret", F.abs(F.coalesce(F.col("__log") - F.lag("__log").over(BY_TIME), F.lit(0.0))))
+    df = df.withColumn("__ret", F.abs(F.coalesce(F.col("__log") - F.lag("__log").over(by_time()), F.lit(0.0))))
     n = cfg.atr_window
     df = ewm(df, {"__atr": ("__tr", 1 / max(1, n), n)}, tf_ms).withColumn("__atr0", F.coalesce("__atr", F.lit(0.0)))
     df = df.withColumns(
@@ -183,7 +182,7 @@ def validate(
         live = _reference_rules(live, minutes, tf, cfg)
     bit = lambda code: F.coalesce(*(F.when(code == k, F.lit(1 << b)) for k, b in BITS.items()), F.lit(0))
     flagged = F.aggregate("__hits", F.lit(0), lambda acc, x: acc.bitwiseOR(bit(x["code"])))
-    note = F.coalesce(F.element_at(F.array_sort("__hits"), -1)["code"], F.lit(""))
+    note = F.coalesce(F.try_element_at(F.array_sort("__hits"), F.lit(-1))["code"], F.lit(""))
     # rounded rows may share a ts: they share its flags, too
     at_ts = Window.partitionBy(*KEY, "ts")
     clean = live.withColumns({"__flags": flagged, "__last": F.array_max("__hits.ord"), "__note": note})

@@ -16,12 +16,8 @@ from pyspark.sql import functions as F
 
 from candleforge.functions.timegrid import DAY
 from candleforge.operators.islands import confirmed_sign, cooldown, run_length
-from candleforge.schema import KEY, iso, number, with_key
+from candleforge.schema import KEY, by_time, iso, number, onward, so_far, whole_series, with_key
 
-BY_TIME = Window.partitionBy(*KEY).orderBy("ts")
-SERIES = Window.partitionBy(*KEY)
-SO_FAR = BY_TIME.rowsBetween(Window.unboundedPreceding, 0)
-ONWARD = BY_TIME.rowsBetween(0, Window.unboundedFollowing)
 OUTPUT = [
     "timestamp_ms", "start_time_iso", "symbol", "tf", "regime", "high_rv", "regime_confidence", "votes_trend", "votes_flat", "det_used",
     "chgpt", "p_bocpd_trend", "p_bocpd_flat", "s_adx", "s_donch", "s_hmm_rv", "hysteresis_state", "build_version",
@@ -89,7 +85,7 @@ def d2_donchian(df: DataFrame, cfg: RegimeConfig) -> DataFrame:
     if width is None:
         raise ValueError("no f_donch_width_pct_* column")
     df = df.withColumn("__w", width)
-    change = F.coalesce(F.col("__w") - F.lag("__w").over(BY_TIME), F.lit(0.0))
+    change = F.coalesce(F.col("__w") - F.lag("__w").over(by_time()), F.lit(0.0))
     trend, flat = _int((F.col("__w") >= cfg.q_high) & (change >= 0)), _int(F.col("__w") <= cfg.q_low)
     return df.withColumns({"d2": trend - flat, "s_donch": _clip((F.col("__w") - cfg.q_low) / (cfg.q_high - cfg.q_low))}).drop("__w")
 
@@ -101,19 +97,19 @@ def _stream(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
         if not names:
             raise ValueError("no f_close_z_* column")
         return df.withColumn("__x", number(names[0]))
-    df = df.withColumn("__ln", F.when(F.col("close") > 0, F.ln("close"))).withColumn("__own", F.col("__ln") - F.lag("__ln").over(BY_TIME)).drop("__ln")
+    df = df.withColumn("__ln", F.when(F.col("close") > 0, F.ln("close"))).withColumn("__own", F.col("__ln") - F.lag("__ln").over(by_time())).drop("__ln")
     given = _pick(df, "f_logret1")
     if given is None:
         x = F.col("__own")
     elif variant == "A":
         x = given
     else:  # a column without a single number is as good as none
-        x = F.when(F.count(given).over(SERIES) == 0, F.col("__own")).otherwise(given)
+        x = F.when(F.count(given).over(whole_series()) == 0, F.col("__own")).otherwise(given)
     return df.withColumn("__x", x).drop("__own")
 
 
 def _quantile(x: str, q: float, n: int, least: int) -> Column:
-    w = BY_TIME.rowsBetween(-(n - 1), 0)
+    w = by_time().rowsBetween(-(n - 1), 0)
     return F.when(F.count(x).over(w) >= least, F.percentile(x, F.lit(q)).over(w))
 
 
@@ -126,12 +122,12 @@ def d3_run_length(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
     else:
         n, sigma = max(20, cfg.bocpd_lambda), max(cfg.sigma_L, 1.0)
         df = df.withColumn("__thr", _quantile("__abs", 0.80, n, max(5, n // 5)))
-        filled = F.coalesce(F.first("__thr", ignorenulls=True).over(ONWARD), F.last("__thr", ignorenulls=True).over(SO_FAR), F.percentile("__abs", F.lit(0.5)).over(SERIES))
+        filled = F.coalesce(F.first("__thr", ignorenulls=True).over(onward()), F.last("__thr", ignorenulls=True).over(so_far()), F.percentile("__abs", F.lit(0.5)).over(whole_series()))
         df = df.withColumn("__thr", filled)
     df = run_length(df.withColumn("__below", F.coalesce(F.col("__abs") < F.col("__thr"), F.lit(False))), "__below", "__run")
     p = 1 / (1 + F.exp(-(F.col("__run") - cfg.L_min) / sigma))
     trend = _int(F.col("__run") >= cfg.L_min)
-    broken = _int((F.lag("__run").over(BY_TIME) >= cfg.L_min) & (F.col("__run") == 0))
+    broken = _int((F.lag("__run").over(by_time()) >= cfg.L_min) & (F.col("__run") == 0))
     return df.withColumns({"d3": 2 * trend - 1, "p_bocpd_trend": p, "chgpt": broken}).drop("__abs", "__thr", "__below", "__run")
 
 
@@ -149,9 +145,9 @@ def d4_calm(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
     else:
         given = _pick(df, "rv_daily", "ctx_rv_daily")
         df = df.withColumn("__rv", daily_rv(df) if given is None else given)
-        df = df.withColumn("__rv", F.coalesce(F.last("__rv", ignorenulls=True).over(SO_FAR), F.lit(0.0)) if given is None else F.coalesce("__rv", F.lit(0.0)))
+        df = df.withColumn("__rv", F.coalesce(F.last("__rv", ignorenulls=True).over(so_far()), F.lit(0.0)) if given is None else F.coalesce("__rv", F.lit(0.0)))
         df = df.withColumns({"__calm": _quantile("__rv", cfg.calm_threshold, n, least), "__high": _quantile("__rv", cfg.q_high_rv, n, least)})
-        fill = lambda c, q: F.coalesce(F.first(c, ignorenulls=True).over(ONWARD), F.percentile("__rv", F.lit(q)).over(SERIES))
+        fill = lambda c, q: F.coalesce(F.first(c, ignorenulls=True).over(onward()), F.percentile("__rv", F.lit(q)).over(whole_series()))
         df = df.withColumns({"__calm": fill("__calm", cfg.calm_threshold), "__high": fill("__high", cfg.q_high_rv)})
     score = _clip((F.col("__calm") - F.col("__rv")) / F.nullif(F.col("__calm"), F.lit(0.0)))
     if variant != "A":
@@ -202,7 +198,7 @@ def d4_hmm(df: DataFrame, cfg: RegimeConfig) -> DataFrame:
     df = df.join(got, [*KEY, "ts"])
     low = _quantile("s_hmm_rv", 1 - cfg.q_high_rv, cfg.N_hmm, max(10, cfg.N_hmm // 6))
     df = df.withColumn("__low", low)
-    low = F.coalesce(F.first("__low", ignorenulls=True).over(ONWARD), F.percentile("s_hmm_rv", F.lit(1 - cfg.q_high_rv)).over(SERIES))
+    low = F.coalesce(F.first("__low", ignorenulls=True).over(onward()), F.percentile("s_hmm_rv", F.lit(1 - cfg.q_high_rv)).over(whole_series()))
     df = df.withColumn("high_rv", _int(F.col("s_hmm_rv") < low))
     return df.withColumn("d4", 2 * _int(F.col("s_hmm_rv") > 0.5) - 1).drop("__rv", "__low")
 
@@ -227,7 +223,7 @@ def vote(df: DataFrame, cfg: RegimeConfig) -> DataFrame:
     down = sum((_int(F.col(f"v{k}") < 0) for k in "234"), _int(F.col("v1") < 0))
     df = df.withColumns({"votes_trend": up, "votes_flat": down})
     df = df.withColumn("__raw", F.when(F.col("votes_trend") >= cfg.vote_K, 1.0).when(F.col("votes_flat") >= cfg.vote_K, -1.0))
-    return df.withColumn("signal", F.coalesce(F.last("__raw", ignorenulls=True).over(SO_FAR), F.lit(0.0))).drop("__raw")
+    return df.withColumn("signal", F.coalesce(F.last("__raw", ignorenulls=True).over(so_far()), F.lit(0.0))).drop("__raw")
 
 
 def infer_regime(features: DataFrame, tf: str, cfg: RegimeConfig = RegimeConfig(), variant: str = "A", hmm: bool = False) -> DataFrame:

@@ -30,7 +30,7 @@ START, END = 1_704_412_800_000, 1_705_017_600_000  # 2024-01-05 and 2024-01-12
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[(F.round(c, 6) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def query(oracle: str | None):
@@ -283,7 +283,7 @@ def canonical_codes(spark, sf):
     return table(spark, sf, "events").select(canonical_code(raw).alias("code"), "event_type").distinct()
 
 
-@query("""SELECT * FROM (VALUES ('crit', 1), ('high', 7), ('medium', 4), ('low', 4)) AS r(severity, n)""")
+@query("""SELECT severity, n::BIGINT AS n FROM (VALUES ('crit', 1), ('high', 7), ('medium', 4), ('low', 4)) AS r(severity, n)""")
 def issue_registry(spark, sf):
     return registry(spark).groupBy("severity").agg(F.count("*").alias("n"))
 
@@ -420,7 +420,8 @@ def _regime(v: str):
     query(sql("SELECT symbol, ts, " + ", ".join(f"coalesce(v{k}, 0)::INT AS v{k}" for k in "1234") + f" FROM {v}10"))(signs)
     query(sql(f"SELECT symbol, ts, votes_trend, votes_flat, sig AS signal FROM {v}12"))(votes)
     query(sql(f"""SELECT ts AS timestamp_ms, strftime(make_timestamp(ts * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS start_time_iso, symbol, '1h' AS tf, CASE WHEN locked > 0 THEN 'trend' ELSE 'flat' END AS regime,
-      high_rv, greatest(votes_trend, votes_flat) / 4 AS regime_confidence, votes_trend, votes_flat, '1111' AS det_used, chgpt, round(p, 6) AS p_bocpd_trend, round(1 - p, 6) AS p_bocpd_flat,
+      high_rv::TINYINT AS high_rv, greatest(votes_trend, votes_flat) / 4 AS regime_confidence, votes_trend::SMALLINT AS votes_trend, votes_flat::SMALLINT AS votes_flat, '1111' AS det_used,
+      chgpt::TINYINT AS chgpt, round(p, 6) AS p_bocpd_trend, round(1 - p, 6) AS p_bocpd_flat,
       round(s_adx, 6) AS s_adx, round(s_donch, 6) AS s_donch, round(s_hmm_rv, 6) AS s_hmm_rv, locked AS hysteresis_state, 'C4-Regime-1.2' AS build_version FROM {v}14"""))(infer)
 
 

@@ -40,11 +40,11 @@ PARTS = {
     # detectors
     "wd": """SELECT *, CASE WHEN rn >= 20 THEN (max(h) OVER w20 - min(l) OVER w20) / c END AS w FROM f WINDOW w20 AS (PARTITION BY symbol ORDER BY ts ROWS 19 PRECEDING)""",
     "r1": """SELECT symbol, ts, rn, c, lr, stddev_samp(lr) OVER (PARTITION BY symbol, ts // 86400000) AS rv, w, adx, pdi, mdi,
-      CASE WHEN coalesce(adx >= 22 AND abs(pdi - mdi) >= 5, false) THEN 1 ELSE -1 END AS d1, least(greatest((adx - 22) / 20, 0), 1) AS s_adx,
+      CASE WHEN coalesce(adx >= 22 AND abs(pdi - mdi) >= 5, false) THEN 1 ELSE -1 END AS d1, CASE WHEN adx IS NOT NULL THEN least(greatest((adx - 22) / 20, 0), 1) END AS s_adx,
       coalesce(w - lag(w) OVER (PARTITION BY symbol ORDER BY ts), 0) AS dw,
       CASE WHEN count(lr) OVER q >= 40 THEN quantile_cont(abs(lr), 0.8) OVER q END AS thr
       FROM wd WINDOW q AS (PARTITION BY symbol ORDER BY ts ROWS 199 PRECEDING)""",
-    "r2": """SELECT *, (coalesce(w >= 0.006 AND dw >= 0, false))::INT - (coalesce(w <= 0.0015, false))::INT AS d2, least(greatest((w - 0.0015) / 0.0045, 0), 1) AS s_donch,
+    "r2": """SELECT *, (coalesce(w >= 0.006 AND dw >= 0, false))::INT - (coalesce(w <= 0.0015, false))::INT AS d2, CASE WHEN w IS NOT NULL THEN least(greatest((w - 0.0015) / 0.0045, 0), 1) END AS s_donch,
       CASE WHEN count(rv) OVER q >= 30 THEN quantile_cont(rv, 0.6) OVER q END AS calm, CASE WHEN count(rv) OVER q >= 30 THEN quantile_cont(rv, 0.9) OVER q END AS high
       FROM r1 WINDOW q AS (PARTITION BY symbol ORDER BY ts ROWS 179 PRECEDING)""",
     # variant A
@@ -64,7 +64,7 @@ PARTS = {
 def _variant(v: str, first: str) -> dict[str, str]:
     """Runs, scores, confirmation, vote and lock of one variant. v is the prefix of the names."""
     flat = "0" if v == "b" else "NULL"
-    score = "least(greatest((calm - rv) / nullif(calm, 0), 0), 1)"
+    score = "CASE WHEN calm <> 0 AND rv IS NOT NULL THEN least(greatest((calm - rv) / calm, 0), 1) END"
     score = f"coalesce({score}, 0)" if v == "b" else score
     out = {
         f"{v}2": f"SELECT *, sum((NOT below)::INT) OVER (PARTITION BY symbol ORDER BY ts) AS brk FROM {first}",
@@ -113,7 +113,7 @@ PARTS |= {
     "q9": """SELECT symbol, ts, near, b10, b11, b12, b13, flat, CASE WHEN flat THEN pc ELSE o END AS o, CASE WHEN flat THEN pc WHEN b13 THEN hi ELSE h END AS h,
       CASE WHEN flat THEN pc WHEN b13 THEN lo ELSE l END AS l, CASE WHEN flat THEN pc ELSE c END AS c, CASE WHEN flat THEN 0 ELSE v END AS v, CASE WHEN flat THEN 0 ELSE t END AS t,
       is_gap OR flat AS is_gap FROM q8""",
-    "q10": f"""SELECT *, row_number() OVER w AS rn, abs(coalesce(ln(greatest(c, 1e-12)) - ln(greatest(lag(c) OVER w, 1e-12)), 0)) AS ret,
+    "q10": f"""SELECT *, row_number() OVER w AS rn, abs(CASE WHEN c IS NULL OR lag(c) OVER w IS NULL THEN 0 ELSE ln(greatest(c, 1e-12)) - ln(greatest(lag(c) OVER w, 1e-12)) END) AS ret,
       greatest(abs(h - l), coalesce(abs(h - lag(c) OVER w), 0), coalesce(abs(l - lag(c) OVER w), 0)) AS tr,
       coalesce(h = l AND o = c AND h = c, false) OR v = 0 AS still FROM q9 {_W}""",
     "qa": """SELECT symbol, rn, tr AS y FROM q10 WHERE rn = 1
@@ -165,4 +165,5 @@ def sql(query: str, *needs: str) -> str:
             found.add(name)
             todo += words.findall(PARTS[name])
     parts = [f"{n} AS ({PARTS[n]})" for n in ORDER if n in found]
-    return (f"WITH RECURSIVE {', '.join(parts)} " if parts else "") + query
+    # a rounded -0.0 becomes 0.0
+    return (f"WITH RECURSIVE {', '.join(parts)} " if parts else "") + query.replace(", 6) AS ", ", 6) + 0 AS ")

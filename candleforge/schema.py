@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 KEY = ["symbol", "tf"]
@@ -73,3 +73,20 @@ def last_wins(df: DataFrame, seq: Column | str, keys: tuple[str, ...] = (*KEY, "
 
 def iso(ts: Column | str) -> Column:
     return F.date_format(F.timestamp_millis(F.col(ts) if isinstance(ts, str) else ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def by_time() -> WindowSpec:
+    """A series' rows by ts."""
+    return Window.partitionBy(*KEY).orderBy("ts")
+
+
+def so_far() -> WindowSpec:
+    return by_time().rowsBetween(Window.unboundedPreceding, 0)
+
+
+def onward() -> WindowSpec:
+    return by_time().rowsBetween(0, Window.unboundedFollowing)
+
+
+def whole_series() -> WindowSpec:
+    return Window.partitionBy(*KEY)

@@ -84,7 +84,7 @@ def test_spikes_and_still_bars(spark):
 
 def test_against_minutes(spark):
     minutes = spark.createDataFrame([("S", "1m", *r, False) for r in line(11, start=T0 + M)], BAR)
-    good = (T0, 101.0, 106.0, 100.0, 105.5, 5.0, 10.0)
+    good = (T0, 100.0, 105.0, 99.0, 104.5, 5.0, 10.0)
     bad = (T0 + 5 * M, 1.0, 200.0, 1.0, 110.5, 99.0, 1.0)
     _, log = run(spark, [good, bad, (T0 + 50 * M, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0)], tf="5m", minutes=minutes)
     got = {(c, (t - T0) // M) for t, c, _ in log if c >= "R30"}
