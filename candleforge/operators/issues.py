@@ -41,7 +41,10 @@ ALIASES = [
     ("vol_mismatch", "R31_VOL_MISMATCH"), ("range_mismatch", "R32_RANGE_MISMATCH"), ("count_mismatch", "R33_COUNT_MISMATCH"),
 ]
 #: Names that logs use for the columns: fixed values.
-COLUMNS = {"ts": ["ts", "timestamp", "timestamp_ms", "time"], "code": ["code", "rule", "issue"], "note": ["note", "message", "msg", "desc"], "symbol": ["symbol"], "tf": ["tf", "timeframe"]}
+COLUMNS = {
+    "ts": ["ts", "timestamp_ms"], "code": ["code", "issue", "err", "error"], "note": ["note", "message", "msg", "reason"],
+    "symbol": ["symbol", "sym", "ticker"], "tf": ["tf", "timeframe"],
+}
 
 
 def registry(spark: SparkSession) -> DataFrame:
@@ -59,14 +62,14 @@ def canonical_code(code: Column | str) -> Column:
 
 
 def normalize_issues(log: DataFrame, symbol: str | None = None, tf: str | None = None) -> DataFrame:
-    """ts (0 if it is no number), canonical code, note, symbol, tf; distinct rows."""
+    """ts (0 if it is no number), canonical code, note, symbol, tf ('' if missing); distinct rows."""
     at = {c.lower(): c for c in log.columns}
     found = {k: next((at[n] for n in names if n in at), None) for k, names in COLUMNS.items()}
     text = lambda k, default: F.col(found[k]).cast("string") if found[k] else F.lit(default).cast("string")
     ts = F.coalesce(F.col(found["ts"]).try_cast("long"), F.lit(0)) if found["ts"] else F.lit(0)
     return log.select(
-        ts.cast("long").alias("ts"), canonical_code(text("code", None)).alias("code"), text("note", None).alias("note"),
-        text("symbol", symbol).alias("symbol"), text("tf", tf).alias("tf"),
+        ts.cast("long").alias("ts"), canonical_code(text("code", None)).alias("code"), F.coalesce(text("note", ""), F.lit("")).alias("note"),
+        F.coalesce(text("symbol", symbol), F.lit("")).alias("symbol"), F.coalesce(text("tf", tf), F.lit("")).alias("tf"),
     ).distinct()
 
 

@@ -188,5 +188,5 @@ def validate(
     clean = live.withColumns({"__flags": flagged, "__last": F.array_max("__hits.ord"), "__note": note})
     clean = clean.withColumns({"dq_flags": F.bit_or("__flags").over(at_ts), "dq_notes": F.coalesce(F.max_by("__note", "__last").over(at_ts), F.lit(""))})
     log = live.select(*KEY, "ts", "__hits").unionByName(timed.where("__drop").select(*KEY, "ts", "__hits"))
-    log = log.select(*KEY, "ts", F.explode("__hits").alias("x")).select("ts", "x.code", "x.note", *KEY).distinct()
+    log = log.select(*KEY, "ts", F.explode("__hits").alias("x")).select("ts", "x.code", F.coalesce("x.note", F.lit("")).alias("note"), *KEY).distinct()
     return clean.select(*KEY, "ts", *PRICES, "v", "t", "is_gap", "dq_flags", "dq_notes"), log

@@ -126,10 +126,9 @@ def read_range_inclusive(spark, sf):
 
 
 @query(sql("""SELECT d.day_ms, count(b.ts) AS bars, round(sum(b.v), 6) AS v FROM (SELECT unnest(range(1703980800000, 1706832000001, 86400000)) AS day_ms) d
-  LEFT JOIN bars b ON b.ts - b.ts % 86400000 = d.day_ms AND b.symbol = 'view' GROUP BY d.day_ms"""))
+  LEFT JOIN bars b ON b.ts - b.ts % 86400000 = d.day_ms GROUP BY d.day_ms"""))
 def iterate_days(spark, sf):
-    bars = event_bars(spark, sf).where("symbol = 'view'")
-    return days_of(bars, "2023-12-31", "2024-02-02").groupBy("day_ms").agg(F.count("ts").alias("bars"), F.sum("v").alias("v"))
+    return days_of(event_bars(spark, sf), "2023-12-31", "2024-02-02").groupBy("day_ms").agg(F.count("ts").alias("bars"), F.sum("v").alias("v"))
 
 
 @query(sql("SELECT symbol, count(*) AS rows, min(ts) AS min_ts, max(ts) AS max_ts FROM bars GROUP BY symbol"))

@@ -124,17 +124,17 @@ PARTS |= {
       coalesce(rn >= 10 AND abs((ret - avg(ret) OVER w) / nullif(stddev_samp(ret) OVER w, 0)) > 6, false) OR coalesce(rn >= 10 AND ret > quantile_cont(ret, 0.999) OVER w, false) AS b22,
       still AND sum(still::INT) OVER (PARTITION BY symbol, brk) >= 5 AS b23
       FROM q11 WINDOW w AS (PARTITION BY symbol ORDER BY ts ROWS 49 PRECEDING), u AS (PARTITION BY symbol ORDER BY ts ROWS 55 PRECEDING)""",
-    "issues": """SELECT symbol, ts, 2 AS ord, 'R02_TS_FUTURE' AS code, NULL AS note FROM q1 WHERE future
+    "issues": """SELECT symbol, ts, 2 AS ord, 'R02_TS_FUTURE' AS code, '' AS note FROM q1 WHERE future
       UNION ALL SELECT symbol, ts, 4, 'R03_TS_MISALIGNED', 'dropped' FROM q1 WHERE hard
       UNION ALL SELECT symbol, ts, 3, 'R03_TS_MISALIGNED', 'rounded' FROM q12 WHERE near
-      UNION ALL SELECT symbol, ts, 5, 'R10_NEG_PRICE', NULL FROM q12 WHERE b10
-      UNION ALL SELECT symbol, ts, 6, 'R11_NEG_VOL', NULL FROM q12 WHERE b11
-      UNION ALL SELECT symbol, ts, 7, 'R12_NAN', NULL FROM q12 WHERE b12
-      UNION ALL SELECT symbol, ts, CASE WHEN flat THEN 8 ELSE 9 END, 'R13_OHLC_ORDER', NULL FROM q12 WHERE b13
-      UNION ALL SELECT symbol, ts, 11, 'R20_VOL_SPIKE', NULL FROM q12 WHERE b20
-      UNION ALL SELECT symbol, ts, 12, 'R21_ATR_SPIKE', NULL FROM q12 WHERE b21
-      UNION ALL SELECT symbol, ts, 13, 'R22_RET_SPIKE', NULL FROM q12 WHERE b22
-      UNION ALL SELECT symbol, ts, 14, 'R23_ZERO_RUN', NULL FROM q12 WHERE b23""",
+      UNION ALL SELECT symbol, ts, 5, 'R10_NEG_PRICE', '' FROM q12 WHERE b10
+      UNION ALL SELECT symbol, ts, 6, 'R11_NEG_VOL', '' FROM q12 WHERE b11
+      UNION ALL SELECT symbol, ts, 7, 'R12_NAN', '' FROM q12 WHERE b12
+      UNION ALL SELECT symbol, ts, CASE WHEN flat THEN 8 ELSE 9 END, 'R13_OHLC_ORDER', '' FROM q12 WHERE b13
+      UNION ALL SELECT symbol, ts, 11, 'R20_VOL_SPIKE', '' FROM q12 WHERE b20
+      UNION ALL SELECT symbol, ts, 12, 'R21_ATR_SPIKE', '' FROM q12 WHERE b21
+      UNION ALL SELECT symbol, ts, 13, 'R22_RET_SPIKE', '' FROM q12 WHERE b22
+      UNION ALL SELECT symbol, ts, 14, 'R23_ZERO_RUN', '' FROM q12 WHERE b23""",
     "bits": """SELECT * FROM (VALUES ('R02_TS_FUTURE', 1), ('R03_TS_MISALIGNED', 2), ('R10_NEG_PRICE', 10), ('R11_NEG_VOL', 11), ('R12_NAN', 12), ('R13_OHLC_ORDER', 13),
       ('R20_VOL_SPIKE', 20), ('R21_ATR_SPIKE', 21), ('R22_RET_SPIKE', 22), ('R23_ZERO_RUN', 23)) AS b(code, bit)""",
     "marks": "SELECT symbol, ts, bit_or(1 << bit) AS fl, max_by(code, ord) AS note FROM issues JOIN bits USING (code) GROUP BY symbol, ts",

@@ -42,7 +42,7 @@ def test_future_and_misaligned(spark):
     rows[2] = (rows[2][0] + 20_000, *rows[2][1:])
     clean, log = run(spark, rows, now=T0 + 3 * M + 10)
     assert [(r.ts - T0) // M for r in clean] == [0, 1, 3]
-    assert [x for x in log if x[1] < "R1"] == [(T0 + M, "R03_TS_MISALIGNED", "rounded"), (T0 + 2 * M + 20_000, "R03_TS_MISALIGNED", "dropped"), (T0 + 4 * M, "R02_TS_FUTURE", None)]
+    assert [x for x in log if x[1] < "R1"] == [(T0 + M, "R03_TS_MISALIGNED", "rounded"), (T0 + 2 * M + 20_000, "R03_TS_MISALIGNED", "dropped"), (T0 + 4 * M, "R02_TS_FUTURE", "")]
     clean, log = run(spark, rows, repair=False, now=T0 + 3 * M + 10)
     assert (T0 + M + 500, "R03_TS_MISALIGNED", "near") in log and T0 + M + 500 in [r.ts for r in clean]
 
@@ -94,7 +94,7 @@ def test_against_minutes(spark):
 
 
 def test_issue_logs(spark):
-    raw = spark.createDataFrame([("7", " vol-spike "), ("x", None), ("8", "r12_nan"), ("8", "R12_NAN"), ("9", "My Future Code"), ("9", "odd one")], "timestamp string, rule string")
+    raw = spark.createDataFrame([("7", " vol-spike "), ("x", None), ("8", "r12_nan"), ("8", "R12_NAN"), ("9", "My Future Code"), ("9", "odd one")], "timestamp_ms string, Issue string")
     log = normalize_issues(raw, "S", "1m")
     assert sorted((r.ts, r.code, r.symbol) for r in log.collect()) == [(0, "UNKNOWN", "S"), (7, "R20_VOL_SPIKE", "S"), (8, "R12_NAN", "S"), (9, "ODD ONE", "S"), (9, "R02_TS_FUTURE", "S")]
     s = {r.code: (r["count"], r.severity, r.level) for r in summarize_issues(log).collect()}
