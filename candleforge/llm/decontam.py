@@ -36,7 +36,7 @@ from candleforge.llm.text import U, buffers, shards, word_bounds, words
 WINDOW = 10
 SAMPLE = 8
 BLOCK_BYTES = 16 << 20
-_SHARD = 8 << 20
+_SHARD, _SLICE = 8 << 20, 1 << 20
 _FILTER = (1 << 20) - 1
 SPANS = "array<struct<a: int, b: int, from: int, to: int>>"
 _SPAN_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("from", pa.int32()), ("to", pa.int32())]))
@@ -141,19 +141,18 @@ class Windows:
 
     def symbols(self, h: np.ndarray) -> np.ndarray:
         """For word hashes the symbols, 0 for words that aren't in the block."""
-        out = np.zeros(len(h), np.int64)
+        out = np.zeros(len(h), np.int32)
         maybe = np.flatnonzero(self.known[(h & U(_FILTER)).astype(np.int64)])
         if len(maybe):
             i = np.minimum(np.searchsorted(self.vocabulary, h[maybe]), len(self.vocabulary) - 1)
             out[maybe] = np.where(self.vocabulary[i] == h[maybe], i + 1, 0)
         return out
 
-    def hits(self, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
-        """(which words are hit, pairs of text index and item) of a shard."""
-        hit, pairs = np.zeros(len(h) + 1, np.int64), set()
-        if not self.groups or not len(h):
+    def hits(self, symbols: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """(which words are hit, pairs of text index and item) of a shard's words."""
+        hit, pairs = np.zeros(len(symbols) + 1, np.int64), set()
+        if not self.groups or not len(symbols):
             return hit[:-1] > 0, []
-        symbols = self.symbols(h)
         known = np.flatnonzero(symbols)
         new = np.ones(len(known), bool)
         new[1:] = (known[1:] != known[:-1] + 1) | (doc[known[1:]] != doc[known[:-1]])
@@ -166,7 +165,7 @@ class Windows:
         kept = known[np.repeat(keep, length)]
         to = np.arange(len(kept)) + run  # a 0 after each run
         text = np.zeros(len(kept) + int(run[-1]) + 1, np.int64)
-        text[to] = symbols[kept]
+        text[to] = symbols[kept]  # 64 bits from here on
         word = np.zeros(len(text), np.int64)
         word[to] = kept
         index = FMIndex(text, len(self.vocabulary))
@@ -188,12 +187,18 @@ class Windows:
 def _scan(block: Windows, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds a block's spans and items to those that blocks before have found."""
     for batch in shards(batches, "text", _SHARD):
-        data, offsets = buffers(batch.column(1))
-        h, doc, at = words(data, offsets, "alnum")
-        hit, pairs = block.hits(h, doc)
         n = batch.num_rows
+        symbols, counts = [], []
+        for part in shards(iter([batch]), "text", _SLICE):
+            h, _, ends = words(*buffers(part.column(1)), "alnum")
+            symbols.append(block.symbols(h))
+            counts.append(np.diff(ends))
+        at = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        doc = np.repeat(np.arange(n), np.diff(at))
+        hit, pairs = block.hits(np.concatenate(symbols), doc)
         spans, items = batch.column(3).to_pylist(), batch.column(4).to_pylist()
         if hit.any():
+            data, offsets = buffers(batch.column(1))
             begin, end = word_bounds(data, offsets, "alnum")
             edge = np.zeros(len(hit), bool)
             edge[0] = True
@@ -238,36 +243,32 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """docs' columns `keep` and its text, with n_words, spans and items.
-
-    spans: a and b are the first hit word and the one after the last, from and to the same in bytes
-    of the text. items: the sorted ids of the items with a window in the text.
-    """
-    out = docs.select(F.struct(*keep).alias("key"), "text", F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<long>").alias("items"))
-    schema = out.schema
-    blocks = [Windows(x) for x in _blocks(benchmark)] or [Windows([])]
-    for block in blocks:
-        out = out.mapInArrow(lambda batches, block=block: _scan(block, batches), schema)
-    return out.select("key.*", "text", "n_words", "spans", "items")
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for text, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for text, spans in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True):
             at, pieces = 0, []
             for s in spans:
                 pieces.append(text[at : s["from"]])
                 at = s["to"]
             texts.append(b"".join([*pieces, text[at:]]) if text is not None else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["key", "text"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), *batch.columns[2:]], batch.schema.names)
+
 
+def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), cut: bool = False) -> DataFrame:
+    """docs' columns `keep` and its text, with n_words, spans and items.
 
-def cut_leaks(found: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """What find_leaks returned, with the spans cut out of the texts: the columns `keep` and text."""
-    rows = found.select(F.struct(*keep).alias("key"), "text", "spans")
-    return rows.mapInArrow(_cut, rows.drop("spans").schema).select("key.*", "text")
+    spans: a and b are the first hit word and the one after the last, from and to the same in bytes
+    of the text. items: the sorted ids of the items with a window in the text. cut: the text is
+    returned without its spans.
+    """
+    out = docs.select(F.struct(*keep).alias("key"), "text", F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<long>").alias("items"))
+    schema = out.schema
+    blocks = [Windows(x) for x in _blocks(benchmark)] or [Windows([])]
+    for k, block in enumerate(blocks):
+        last = cut and k == len(blocks) - 1
+        out = out.mapInArrow(lambda batches, block=block, last=last: _cut(_scan(block, batches)) if last else _scan(block, batches), schema)
+    return out.select("key.*", "text", "n_words", "spans", "items")
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

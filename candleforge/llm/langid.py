@@ -31,7 +31,7 @@ from candleforge.llm.text import buffers, shards
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
 N_TRAIN, N_LANDMARKS, RIDGE = 4000, 256, 1e-2
-_SLICE, _ROWS = 4 << 20, 256
+_SLICE, _ROWS = 2 << 20, 128
 
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32

@@ -29,7 +29,7 @@ from candleforge.llm.shared import Spilled, new_folder, read_text, write_text
 from candleforge.llm.text import SPACE, shards
 
 MIN_CHARS = 10
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 
 
 def _key(line: bytes) -> bytes | None:

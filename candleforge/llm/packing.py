@@ -37,7 +37,7 @@ from candleforge.llm.text import shards
 
 SIZE = 2048
 CLOSING = 1
-_CACHE = 1 << 19
+_CACHE = 1 << 18
 _SLICE = 4 << 20
 
 
@@ -50,19 +50,25 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(free)) for b in range(256)]
 
 
+@cache
+def tokenizer_of(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class WordTokens(dict):
     """Ids, as little-endian 32-bit numbers, of what stands between white space.
 
     The tokenizer's pattern never matches across white space, which it drops, so a text's ids are
     its words' ids in a row. Words recur, so most ids come from this table. A new word of lower-case
     letters in normal form is one piece of the pattern and goes to the BPE model at once; one that ends
-    with a single mark is two; all else takes the tokenizer's whole way.
+    with a single mark is two; all else takes the tokenizer's whole way. The table lives as long as its
+    task, so that idle workers hold no memory.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = tokenizer_of(path)
         self.model = self.tokenizer.model
 
     def __missing__(self, word: bytes) -> bytes:
@@ -85,14 +91,8 @@ class WordTokens(dict):
         return b"".join([self[w] for w in (text if b"<|" in text else text.lower()).split()])
 
 
-@cache
-def word_tokens(path: str) -> WordTokens:
-    """One table for all tasks of a worker process."""
-    return WordTokens(path)
-
-
 def _pieces(tokenizer: str, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tokens, seen, part = word_tokens(tokenizer), Counter(), TaskContext.get().partitionId()
+    tokens, seen, part = WordTokens(tokenizer), Counter(), TaskContext.get().partitionId()
     closing = np.array([CLOSING], "<u4").tobytes()
     for batch in shards(batches, "text", _SLICE):
         rows: list[tuple] = []

@@ -29,7 +29,6 @@ def letter_codes() -> np.ndarray:
     return codes
 
 
-@cache
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0xD6E8FEB86659FD93
     out = []
@@ -40,9 +39,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+@cache
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers(1 << 20)
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64, at least n of each."""
-    return _powers(1 << max(16, (n - 1).bit_length()))
+    """Powers of an odd number and of its inverse modulo 2**64, at least n of each; kept for usual sizes."""
+    return _usual_powers() if n <= 1 << 20 else _powers(n)
 
 
 @cache
