@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleforge.llm.decontam import cut_leaks, find_leaks
+from candleforge.llm.decontam import find_leaks
 from candleforge.llm.jaccard import near_duplicates
 from candleforge.llm.langid import identify
 from candleforge.llm.lines import dedup_lines
@@ -49,10 +49,9 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages; those of which no word is left go."""
-    keep = ("doc_id", "lang", "source")
-    found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep)
+    found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ("doc_id", "lang", "source"), cut=True)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
-    return _sized(cut_leaks(found.where((n_hit == 0) | (n_hit < F.col("n_words"))), keep))
+    return _sized(found.where((n_hit == 0) | (n_hit < F.col("n_words"))))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
