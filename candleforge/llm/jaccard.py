@@ -53,8 +53,9 @@ from candleforge.llm.text import U, buffers, mix, shards, shingles, words
 
 PERCENT = 80
 HEAVY, MOST_HEAVY = 4, 1 << 20
-#: An entry of an inverted list costs as much as two enumerated subsets: its lists are longer.
-LIST_COST = 2
+#: An entry of an inverted list costs as much as six subsets: who meets there must still be verified,
+#: while sets that share a subset of that size are as good as linked.
+LIST_COST = 6
 #: Ids of documents with candidates are broadcast up to this number, beyond it the texts are shuffled.
 MOST_BROADCAST = 1_000_000
 SHORT, BLOCK = 24, 512
