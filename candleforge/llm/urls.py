@@ -158,8 +158,9 @@ def fit(features: list[list[float]], keys: list[list[int]], blocked: list[bool])
             n = sums.setdefault(k, [0.0, 0.0])
             n[b] += 0.5 / (share if b else 1 - share)
     model = UrlModel({k: ((b + 2) / (a + b + 4), float(np.log1p(a + b))) for k, (a, b) in sums.items()}, 0.5, None)
-    y = np.array(blocked[half:], float)
-    model.trees = boost(model.matrix(features[half:], keys[half:]), y)
+    # a third of the trees' rows are shown as if their suffixes were new, as those of other urls will be
+    shown = [ks if i % 3 else [0] * N_SUFFIX for i, ks in enumerate(keys[half:])]
+    model.trees = boost(model.matrix(features[half:], shown), np.array(blocked[half:], float))
     return model
 
 

@@ -188,7 +188,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     columns = ["page_id", "is_page", "digest", "refers_to", "url", "html"]
     rows = pages.withColumns({"is_page": F.lit(True), "digest": F.sha2(html, 256), "refers_to": F.lit(None).cast("long")}).select(*columns)
     rows = rows.unionByName(revisits.withColumns({"is_page": F.lit(False), "url": F.lit(None).cast("string"), "html": F.lit(None).cast("string")}).select(*columns))
-    rows = rows.withColumn("shard", shard("page_id")).repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", "is_page", "digest", "url")
+    rows = rows.withColumn("shard", shard("page_id")).repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "is_page", "digest", "url")
     done = rows.select("shard", *columns).mapInArrow(lambda b: _write(folder, roll_bytes, date, b), MANIFEST)
     done.write.parquet(f"{folder}/manifest")
     heads.drop()
