@@ -18,6 +18,7 @@ from candleforge.operators.issues import canonical_code, merge_issues, registry,
 from candleforge.operators.quality import QualityConfig, validate
 from candleforge.operators.report import daily_flagged, issues_by_code, late_series, over_threshold, quality_summary
 from candleforge.operators.resample import resample, resample_closed_right
+from candleforge.operators.sharded import by_shards
 from candleforge.plans.sql import sql
 from candleforge.plans.tables import HOUR, dirty, event_bars, hourly, lineitem_bars, table
 from candleforge.schema import iso, last_wins
@@ -366,6 +367,14 @@ def feature_input_wide(spark, sf):
     return FT.normalize_and_validate(wide, "1h").select("symbol", "ts", "open", "close", "volume", "start_time_iso")
 
 
+@query(sql("SELECT symbol, ts, " + ", ".join(f"round({e}, 6) AS {c}" for c, e in {"f_close_z_60": _z("c", 60), "f_rv_20": "CASE WHEN rn >= 21 THEN stddev_samp(lr) OVER (PARTITION BY symbol ORDER BY ts ROWS 19 PRECEDING) END", "f_vwap_roll_96": _VWAP, "f_mom_100": "c / nullif(lag(c, 100) OVER w, 0) - 1"}.items()) + " FROM x WINDOW w AS (PARTITION BY symbol ORDER BY ts)"))
+def f_rolling_sharded(spark, sf):
+    """Rolling features by shards of ten days with a halo."""
+    cfg = FT.FeatureConfig()
+    out = by_shards(hourly(spark, sf), lambda b: FT.windowed(FT.basic(b, cfg), cfg), "1h", 102, days=10)
+    return out.select("symbol", "ts", "f_close_z_60", "f_rv_20", "f_vwap_roll_96", "f_mom_100")
+
+
 @query(None)
 def features_all(spark, sf):
     return FT.validate_features(_full(spark, sf))
