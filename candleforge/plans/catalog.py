@@ -71,7 +71,7 @@ def resample_closed_right_4h(spark, sf):
     return resample_closed_right(hourly(spark, sf), "4h")
 
 
-@query("""WITH li AS (SELECT l_returnflag AS symbol, epoch_ms(date_trunc('day', l_shipdate)::TIMESTAMP) AS ts, l_extendedprice / l_quantity AS p, l_quantity AS q, l_orderkey, l_linenumber FROM lineitem)
+@query("""WITH li AS (SELECT l_returnflag AS symbol, (epoch_us(date_trunc('day', l_shipdate)::TIMESTAMP) // 1000) AS ts, l_extendedprice / l_quantity AS p, l_quantity AS q, l_orderkey, l_linenumber FROM lineitem)
 SELECT symbol, ts, round(first(p ORDER BY l_orderkey, l_linenumber), 6) AS o, round(max(p), 6) AS h, round(min(p), 6) AS l, round(last(p ORDER BY l_orderkey, l_linenumber), 6) AS c,
   round(sum(q), 6) AS v FROM li GROUP BY symbol, ts""")
 def lineitem_daily_bars(spark, sf):
@@ -100,7 +100,7 @@ def missing_over_threshold(spark, sf):
     return over_threshold(missing_report(hourly(spark, sf)), 0.07).drop("tf")
 
 
-@query("""WITH raw AS (SELECT event_type AS symbol, epoch_ms(ts) AS ms, event_id, value FROM events),
+@query("""WITH raw AS (SELECT event_type AS symbol, (epoch_us(ts) // 1000) AS ms, event_id, value FROM events),
 one AS (SELECT symbol, ms - ms % 60000 AS ts, last(value ORDER BY event_id) AS v FROM raw GROUP BY 1, 2)
 SELECT r.symbol, count(*) AS rows_in, count(*) FILTER (ms % 60000 <> 0) AS misaligned_fixed, count(*) - count(DISTINCT ms - ms % 60000) AS dup_removed,
   any_value(o.rows_out) AS rows_out, any_value(o.gaps) AS gaps, round(any_value(o.total), 4) AS total
@@ -148,7 +148,7 @@ def upsert_last_wins(spark, sf):
     return upsert(old, twice, "seq").select("symbol", "ts", "c", "ver")
 
 
-@query("""SELECT event_type AS symbol, epoch_ms(ts) // 3600000 * 3600000 AS ts, last(value ORDER BY event_id) AS value FROM events GROUP BY 1, 2""")
+@query("""SELECT event_type AS symbol, (epoch_us(ts) // 1000) // 3600000 * 3600000 AS ts, last(value ORDER BY event_id) AS value FROM events GROUP BY 1, 2""")
 def dedup_last_wins(spark, sf):
     ev = table(spark, sf, "events").select(F.col("event_type").alias("symbol"), G.floor_ts(F.unix_millis(F.col("ts").cast("timestamp")), HOUR).alias("ts"), "event_id", "value")
     return last_wins(ev, "event_id", ("symbol", "ts")).drop("event_id")
@@ -159,8 +159,8 @@ def tail_window_14d(spark, sf):
     return tail_window(event_bars(spark, sf)).select("symbol", "ts", "c")
 
 
-@query("""SELECT event_id, epoch_ms(ts) AS ms, epoch_ms(ts) // 300000 * 300000 AS floor5, (epoch_ms(ts) + 299999) // 300000 * 300000 AS ceil5, epoch_ms(ts) // 3600000 * 3600000 AS parent,
-  epoch_ms(ts) // 86400000 * 86400000 AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso FROM events""")
+@query("""SELECT event_id, (epoch_us(ts) // 1000) AS ms, (epoch_us(ts) // 1000) // 300000 * 300000 AS floor5, ((epoch_us(ts) // 1000) + 299999) // 300000 * 300000 AS ceil5, (epoch_us(ts) // 1000) // 3600000 * 3600000 AS parent,
+  (epoch_us(ts) // 1000) // 86400000 * 86400000 AS day, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS iso FROM events""")
 def time_grid(spark, sf):
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     ev = table(spark, sf, "events").select("event_id", ms.alias("ms"))
@@ -356,7 +356,15 @@ _features("f_adx", {"f_pdi_14": "pdi", "f_mdi_14": "mdi", "f_adx_14": "adx"}, "f
 _features("f_kama", {"f_kama_10": "k"}, "er JOIN (SELECT symbol AS sy, rn AS r, k FROM ka) q ON symbol = sy AND rn = r", _full)
 
 
-@query(sql("SELECT symbol, min(ts) FILTER (rn = 101) AS f_valid_from, count(*) AS n, 'C3-Core-1.4' AS f_build_version FROM x GROUP BY symbol"))
+_MOVED = "sum(CASE WHEN step <> 0 THEN v ELSE 0 END) OVER a <> 0"
+
+
+@query(sql(f"""SELECT symbol, coalesce(min(ts) FILTER (whole), min(ts)) AS f_valid_from, count(*) AS n, 'C3-Core-1.4' AS f_build_version FROM (
+  SELECT f.symbol, f.ts, f.rn >= 101 AND q.k IS NOT NULL AND f.adx IS NOT NULL AND f.wd <> 0 AND f.pdi + f.mdi <> 0 AND {_MOVED} AND sum(f.v) OVER b <> 0 AND sum(f.v) OVER s <> 0
+    AND stddev_samp(f.c) OVER a <> 0 AND stddev_samp(f.h - f.l) OVER a <> 0 AND stddev_samp(f.v) OVER a <> 0 AND stddev_samp(f.atr) OVER z <> 0 AS whole
+  FROM f JOIN (SELECT symbol AS sy, rn AS r, k FROM ka) q ON f.symbol = q.sy AND f.rn = q.r
+  WINDOW a AS (PARTITION BY f.symbol ORDER BY f.ts ROWS 19 PRECEDING), b AS (PARTITION BY f.symbol ORDER BY f.ts ROWS 95 PRECEDING), z AS (PARTITION BY f.symbol ORDER BY f.ts ROWS 13 PRECEDING),
+    s AS (PARTITION BY f.symbol, f.ts // 86400000 ORDER BY f.ts ROWS UNBOUNDED PRECEDING)) GROUP BY symbol""", "f", "ka"))
 def f_valid_from(spark, sf):
     return _full(spark, sf).groupBy("symbol").agg(F.max("f_valid_from").alias("f_valid_from"), F.count("*").alias("n"), F.max("f_build_version").alias("f_build_version"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 #: Named common table expressions, each usable after those above it.
 PARTS = {
-    "ev": "SELECT event_type AS symbol, epoch_ms(ts) AS ms, event_id, value FROM events",
+    "ev": "SELECT event_type AS symbol, (epoch_us(ts) // 1000) AS ms, event_id, value FROM events",
     "bars": """SELECT symbol, ms - ms % 3600000 AS ts, first(value ORDER BY ms, event_id) AS o, max(value) AS h, min(value) AS l,
       last(value ORDER BY ms, event_id) AS c, round(sum(value), 6) AS v, round(sum(value * value), 6) AS t FROM ev GROUP BY 1, 2""",
     "mins": """SELECT symbol, ms - ms % 60000 AS ts, first(value ORDER BY ms, event_id) AS o, max(value) AS h, min(value) AS l,

@@ -83,7 +83,9 @@ class KlinesReader(DataSourceReader):
     def partitions(self) -> list[Page]:
         return [Page(a, b) for a, b in pages(int(self.o["start_ms"]), int(self.o["end_ms"]), int(self.o.get("page_size", PAGE)))]
 
-    def read(self, partition: Page) -> Iterator[tuple]:
+    def read(self, partition: Page | None) -> Iterator[tuple]:
+        if partition is None:  # an empty range has no pages
+            return
         symbol, base = self.o["symbol"], self.o["base_url"].rstrip("/")
         if base.startswith("file:"):
             url = f"{base}/{symbol}-{partition.start}.json"
