@@ -1,16 +1,20 @@
 """Licence scans by a trained paragraph classifier. The scan has DataFrame functions only.
 
-A paragraph is a line. Lines with none of the GATE strings are no candidates. A candidate's features
-are its distinct one- and two-word runs (lower-cased letters and digits), each 1 over the root of
+A paragraph is what blank lines bound. Its candidates are its lines that have one of the GATE strings,
+and its notices: stretches of its joined words that no line break or neighbour hides. For each template,
+words are looked at in overlapping windows of about twice its length; where a window holds enough of its
+two-word runs, and no fewer than those it overlaps, the words from the first to the last of them are a
+notice if the classifier gives them that template's family. A notice counts once for each paragraph and family, and only where no single
+line of the paragraph has that family already. A candidate's features are its distinct one- and two-word runs (lower-cased letters and digits), each 1 over the root of
 their number. A multinomial logistic regression over the templates' runs gives a probability for
 each family and for `unknown`. It is trained on the driver, on texts made from the templates (cut,
 with words dropped and foreign words added) and on counter-examples (templates' words in disorder,
 and sentences that only talk of licences). Half of those texts are held out: on them, a temperature
 is fitted to the probabilities, and the threshold below which a prediction becomes `unknown` is the
 least that lets pass at most MAX_FALSE of the counter-examples. A family that passes must be
-confirmed: one of its templates must have at least CONFIRM of its two-word runs in the paragraph.
+confirmed: one of its templates must have at least CONFIRM of its two-word runs in the candidate.
 
-Equal paragraphs are classified once, however many documents hold them.
+Equal paragraphs are searched once, and equal candidates classified once, however many documents hold them.
 
 Nulls, ties and odd rows: a null or empty text has no candidate. Documents are rows with one id; rows
 that repeat an id (or have none) are counted together. Families of equal probability: the first by
@@ -23,7 +27,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Well-known licence notices, by SPDX name: fixed values.
@@ -97,6 +101,7 @@ COUNTER = [
     "He was granted a fishing license by the county.",
 ]
 GATE = r"(?i)licen[sc]|copyright|permission|public domain|redistribut|warrant|free software|spdx|\bcc0\b|\bcc by\b"
+BLANK = r"\n\s*\n"
 UNKNOWN = "unknown"
 CONFIRM, MAX_FALSE, SEED = 0.6, 0.01, 17
 N_MADE = 60  # training texts for each template, and as many counter-examples for each
@@ -177,27 +182,49 @@ def train(templates: dict[str, list[str]] = TEMPLATES, counter: list[str] = COUN
     return model
 
 
-def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
-    """A row per document: doc_id, n_candidates, n_licensed, families (sorted, comma-joined), confidence.
+def _words(text: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
-    confidence: the highest probability among the confirmed paragraphs, to six places, or null.
-    """
-    spark = docs.sparkSession
-    plain = [(f, runs_of) for f in model.families[:-1] for runs_of in ({r for r in runs(tokens(t)) if " " in r} for t in templates[f])]
+
+def _pairs(words: Column) -> Column:
+    return F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.get(words, i), w))
+
+
+def _two(text: str) -> set[str]:
+    return {r for r in runs(tokens(text)) if " " in r}
+
+
+def notices(once: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
+    """(para, wanted, words): stretches of once(para, block) that hold enough of a template of the family `wanted`."""
+    texts = [(f, t) for f in templates for t in templates[f]]
+    rows = [(p, k, f, (len(tokens(t)) + 1) // 2, len(_two(t))) for k, (f, t) in enumerate(texts) for p in sorted(_two(t))]
+    known = F.broadcast(once.sparkSession.createDataFrame(rows, "pair string, k int, wanted string, step int, n_pairs int"))
+    words = once.select("para", F.split(_words("block"), " ").alias("words"))
+    met = words.select("para", F.posexplode(_pairs(F.col("words"))).alias("at", "pair")).join(known, "pair")
+    # a window is four steps, so it holds any stretch of three, which is one and a half times the template
+    met = met.withColumn("window", F.explode(F.transform(F.array(*map(F.lit, range(4))), lambda i: F.floor(F.col("at") / F.col("step")) - i)))
+    full = met.groupBy("para", "k", "window", "wanted", "n_pairs").agg(F.count_distinct("pair").alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
+    full = full.where(F.col("n") >= CONFIRM * F.col("n_pairs")).withColumn("worth", F.struct("n", F.col("a") - F.col("b")))
+    # of windows that overlap, the fullest: a part of a notice could look like another family's
+    near = Window.partitionBy("para", "k").orderBy("window").rangeBetween(-3, 3)
+    full = full.withColumn("best", F.max("worth").over(near)).where(F.col("worth") == F.col("best")).select("para", "wanted", "a", "b").distinct()
+    return full.join(words, "para").select("para", "wanted", F.array_join(F.slice("words", F.col("a") + 1, F.col("b") - F.col("a") + 2), " ").alias("words"))
+
+
+def classify(texts: DataFrame, model: LicenseModel, templates: dict[str, list[str]]) -> DataFrame:
+    """(key, family, p, ok) for each key of texts(key, words); ok: a family that passes and is confirmed."""
+    plain = [(f, two) for f in model.families[:-1] for two in map(_two, templates[f])]
     n_families = len(model.families)
     rows = [(f, *map(float, model.weights[i]), *(int(f in two) for _, two in plain)) for i, f in enumerate(model.features)]
     schema = "feature string, " + ", ".join([*(f"w{k} double" for k in range(n_families)), *(f"t{k} int" for k in range(len(plain)))])
-    features = F.broadcast(spark.createDataFrame(rows, schema))  # as large as the templates
+    features = F.broadcast(texts.sparkSession.createDataFrame(rows, schema))  # as large as the templates
 
-    lines = docs.select("doc_id", "text").where(F.col("text").rlike(GATE)).select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike(GATE))
-    found = lines.select("doc_id", F.sha2("line", 256).alias("para"), F.trim(F.regexp_replace(F.lower("line"), r"[^\p{L}\p{N}]+", " ")).alias("words"))
-    once = found.groupBy("para").agg(F.min("words").alias("words"))
+    once = texts.groupBy("key").agg(F.min("words").alias("words"))
     words = F.split("words", " ")
-    pairs = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.get(words, i), w))
-    every = once.select("para", F.array_distinct(F.concat(words, pairs)).alias("runs"))
-    each = every.select("para", F.size("runs").alias("n"), F.explode("runs").alias("feature")).join(features, "feature", "left")
+    every = once.select("key", F.array_distinct(F.concat(words, _pairs(words))).alias("runs"))
+    each = every.select("key", F.size("runs").alias("n"), F.explode("runs").alias("feature")).join(features, "feature", "left")
     sums = [F.sum(F.coalesce(f"w{k}", F.lit(0.0))).alias(f"w{k}") for k in range(n_families)] + [F.sum(F.coalesce(f"t{k}", F.lit(0))).alias(f"t{k}") for k in range(len(plain))]
-    got = each.groupBy("para").agg(F.first("n").alias("n"), *sums)
+    got = each.groupBy("key").agg(F.first("n").alias("n"), *sums)
     logits = F.array(*((F.col(f"w{k}") / F.sqrt("n") + float(model.bias[k])) / model.temperature for k in range(n_families)))
     got = got.withColumn("z", logits).withColumn("top", F.array_max("z"))
     got = got.withColumn("total", F.aggregate(F.transform("z", lambda z: F.exp(z - F.col("top"))), F.lit(0.0), lambda a, b: a + b))
@@ -206,11 +233,37 @@ def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] =
     confirmed = F.lit(False)
     for k, (f, two) in enumerate(plain):
         confirmed = confirmed | ((F.col("family") == f) & (F.col(f"t{k}") >= CONFIRM * len(two)))
-    licensed = got.select("para", "family", "p", ((F.col("family") != UNKNOWN) & (F.col("p") >= model.threshold) & confirmed).alias("ok"))
-    hits = found.groupBy("doc_id", "para").agg(F.count("*").alias("n")).join(licensed, "para")
+    return got.select("key", "family", "p", ((F.col("family") != UNKNOWN) & (F.col("p") >= model.threshold) & confirmed).alias("ok"))
+
+
+def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
+    """A row per document: doc_id, n_candidates, n_licensed, families (sorted, comma-joined), confidence.
+
+    confidence: the highest probability among the confirmed candidates, to six places, or null.
+    """
+    gated = docs.select("doc_id", "text").where(F.col("text").rlike(GATE))
+    blocks = gated.select("doc_id", F.explode(F.split("text", BLANK)).alias("block")).where(F.col("block").rlike(GATE))
+    found = blocks.select("doc_id", F.sha2("block", 256).alias("para"), "block")
+    once = found.groupBy("para").agg(F.min("block").alias("block"))
+    lines = once.select("para", F.explode(F.split("block", "\n")).alias("line")).where(F.col("line").rlike(GATE))
+    lines = lines.select("para", F.lit(None).cast("string").alias("wanted"), _words("line").alias("words"))
+    parts = lines.unionByName(notices(once, templates)).withColumn("key", F.sha2("words", 256))
+    judged = parts.select("para", "wanted", "key").join(classify(parts.select("key", "words"), model, templates), "key")
+
+    whole, passed = F.col("wanted").isNull(), F.col("ok") & (F.col("wanted").isNull() | (F.col("wanted") == F.col("family")))
+    by_family = judged.withColumn("ok", passed).groupBy("para", F.when(F.col("ok"), F.col("family")).alias("family")).agg(
+        F.count(F.when(whole, 1)).alias("n_lines"), F.max(F.when(whole, F.col("p"))).alias("of_lines"), F.max("p").alias("of_any"),
+    )
+    held = F.col("family").isNotNull()
+    n = F.when(held, F.greatest("n_lines", F.lit(1)))
+    per_para = by_family.groupBy("para").agg(
+        F.sum(F.coalesce(n, "n_lines")).alias("candidates"), F.sum(F.coalesce(n, F.lit(0))).alias("licensed"),
+        F.collect_set("family").alias("families"), F.max(F.when(held, F.coalesce("of_lines", "of_any"))).alias("p"),
+    )
+    hits = found.groupBy("doc_id", "para").agg(F.count("*").alias("n")).join(per_para, "para")
     per_doc = hits.groupBy("doc_id").agg(
-        F.sum("n").alias("n_candidates"), F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("n_licensed"),
-        F.collect_set(F.when(F.col("ok"), F.col("family"))).alias("families"), F.max(F.when(F.col("ok"), F.col("p"))).alias("confidence"),
+        F.sum(F.col("n") * F.col("candidates")).alias("n_candidates"), F.sum(F.col("n") * F.col("licensed")).alias("n_licensed"),
+        F.array_distinct(F.flatten(F.collect_list("families"))).alias("families"), F.max("p").alias("confidence"),
     )
     ids = docs.select("doc_id").distinct().withColumnRenamed("doc_id", "id")
     out = ids.join(per_doc, F.col("id").eqNullSafe(F.col("doc_id")), "left")

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import numpy as np
 
@@ -37,3 +38,22 @@ def test_scan(spark):
 
 def test_empty(spark):
     assert scan(spark.createDataFrame([], "doc_id long, text string"), train()).count() == 0
+
+
+def test_wrapped_notices(spark):
+    model, rows, want = train(), [], {}
+    prose = "He walked along the river and thought of what she had said to him at the end of that long summer day in town. "
+    for f, k in [("MIT", 1), ("BSD-3-Clause", 1), ("BSD-3-Clause", 2), ("GPL-3.0", 1), ("GPL-2.0", 1), ("ISC", 1), ("Apache-2.0", 1), ("LGPL-3.0", 1)]:
+        t = TEMPLATES[f][k]
+        wrapped = textwrap.wrap(t, 72)
+        assert len(wrapped) > 1
+        texts = ["\n".join(wrapped), "# " + "\n# ".join(textwrap.wrap(t, 40)), textwrap.fill(prose * 2 + t + " " + prose * 2, 76), prose * 4 + t + " " + prose * 4]
+        for text in texts:
+            want[len(rows)] = f
+            rows.append((len(rows), f"Title\n\n{text}\n\nEnd"))
+    n = len(rows)
+    rows += [(n, textwrap.fill(prose * 9 + " ".join(COUNTER) * 3, 70)), (n + 1, f"{TEMPLATES['MIT'][0]}\n{rows[12][1]}")]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert {i: got[i].families for i in want} == want
+    assert all(got[i].n_licensed == 1 <= got[i].n_candidates and got[i].confidence >= model.threshold for i in want)
+    assert got[n].n_licensed == 0 < got[n].n_candidates and got[n + 1].families == "GPL-3.0,MIT"
