@@ -1,7 +1,8 @@
 """Licence scans by a trained paragraph classifier. The scan has DataFrame functions only.
 
-A paragraph is what blank lines bound. Its candidates are its lines that have one of the GATE strings,
-and its notices: stretches of its joined words that no line break or neighbour hides. For each template,
+A paragraph is what blank lines bound. Its candidates are its lines that have one of the GATE strings or
+a telling two-word run of a template (any, but those of two COMMON words; no text without one can be
+confirmed), and its notices: stretches of its joined words that no line break or neighbour hides. For each template,
 words are looked at in overlapping windows of about twice its length; where a window holds enough of its
 two-word runs, and no fewer than those it overlaps, the words from the first to the last of them are a
 notice if the classifier gives them that template's family. A notice counts once for each paragraph and family, and only where no single
@@ -101,6 +102,8 @@ COUNTER = [
     "He was granted a fishing license by the county.",
 ]
 GATE = r"(?i)licen[sc]|copyright|permission|public domain|redistribut|warrant|free software|spdx|\bcc0\b|\bcc by\b"
+#: Two of these in a row tell nothing of licences.
+COMMON = frozenset("a an and any as at be by for from in is it its may not of on or such that the this to was with without you".split())
 BLANK = r"\n\s*\n"
 UNKNOWN = "unknown"
 CONFIRM, MAX_FALSE, SEED = 0.6, 0.01, 17
@@ -194,6 +197,28 @@ def _two(text: str) -> set[str]:
     return {r for r in runs(tokens(text)) if " " in r}
 
 
+def telling(templates: dict[str, list[str]]) -> set[str]:
+    """Two-word runs of which every text has one that holds enough of a template to be confirmed."""
+    out = set()
+    for two in (_two(t) for texts in templates.values() for t in texts):
+        told = {r for r in two if not COMMON.issuperset(r.split(" "))}
+        out |= told if len(two) - len(told) < CONFIRM * len(two) else two
+    return out
+
+
+def _any_of(strings: set[str]) -> str:
+    """A regular expression of the strings (letters, digits, blanks), by their first characters."""
+    heads = {}
+    for x in sorted(strings - {""}):
+        heads.setdefault(x[0], set()).add(x[1:])
+    body = "|".join(c + _any_of(rest) for c, rest in heads.items())
+    return body and (f"(?:{body})?" if "" in strings else f"(?:{body})" if len(heads) > 1 else body)
+
+
+def _gate(text: Column, telling_runs: str) -> Column:
+    return text.rlike(GATE) | F.concat(F.lit(" "), _words(text), F.lit(" ")).rlike(f" {telling_runs} ")
+
+
 def notices(once: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
     """(para, wanted, words): stretches of once(para, block) that hold enough of a template of the family `wanted`."""
     texts = [(f, t) for f in templates for t in templates[f]]
@@ -241,11 +266,11 @@ def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] =
 
     confidence: the highest probability among the confirmed candidates, to six places, or null.
     """
-    gated = docs.select("doc_id", "text").where(F.col("text").rlike(GATE))
-    blocks = gated.select("doc_id", F.explode(F.split("text", BLANK)).alias("block")).where(F.col("block").rlike(GATE))
+    told = _any_of(telling(templates))
+    blocks = docs.select("doc_id", F.explode(F.split("text", BLANK)).alias("block")).where(_gate(F.col("block"), told))
     found = blocks.select("doc_id", F.sha2("block", 256).alias("para"), "block")
     once = found.groupBy("para").agg(F.min("block").alias("block"))
-    lines = once.select("para", F.explode(F.split("block", "\n")).alias("line")).where(F.col("line").rlike(GATE))
+    lines = once.select("para", F.explode(F.split("block", "\n")).alias("line")).where(_gate(F.col("line"), told))
     lines = lines.select("para", F.lit(None).cast("string").alias("wanted"), _words("line").alias("words"))
     parts = lines.unionByName(notices(once, templates)).withColumn("key", F.sha2("words", 256))
     judged = parts.select("para", "wanted", "key").join(classify(parts.select("key", "words"), model, templates), "key")

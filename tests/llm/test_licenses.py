@@ -3,7 +3,7 @@ import textwrap
 
 import numpy as np
 
-from candleforge.llm.licenses import COUNTER, GATE, TEMPLATES, UNKNOWN, _made, scan, tokens, train
+from candleforge.llm.licenses import CONFIRM, COUNTER, GATE, TEMPLATES, UNKNOWN, _any_of, _made, _two, scan, telling, tokens, train
 
 
 def test_templates_pass_and_counter_examples_do_not():
@@ -57,3 +57,14 @@ def test_wrapped_notices(spark):
     assert {i: got[i].families for i in want} == want
     assert all(got[i].n_licensed == 1 <= got[i].n_candidates and got[i].confidence >= model.threshold for i in want)
     assert got[n].n_licensed == 0 < got[n].n_candidates and got[n + 1].families == "GPL-3.0,MIT"
+
+
+def test_candidates(spark):
+    told = telling(TEMPLATES)
+    assert all(len(_two(t) - told) < CONFIRM * len(_two(t)) for ts in TEMPLATES.values() for t in ts)
+    odd = {"a b", "a", "ab c", "abc", "b"}
+    assert {x for x in ["", "a", "ab", "abc", "a b", "ab c", "b", "c", "bc"] if re.fullmatch(_any_of(odd), x)} == odd
+    texts = ["This work is under CC-BY-SA 4.0", "CC-BY-4.0", "GNU GPL version 3 or later", "Creative Commons Attribution 4.0 International", "BSD-3-Clause", "one of the days that is to be", "", None]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), train()).collect()}
+    assert all(got[i].n_candidates >= 1 for i in range(5)) and not any(got[i].n_candidates for i in (5, 6, 7))
+    assert got[0].families == "CC-BY-SA-4.0"
