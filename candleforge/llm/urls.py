@@ -5,8 +5,9 @@ url's path starts with the rule's; the longest fitting rule decides. The urls th
 the labelled ones. From at most `n_train` of them (the smallest hashes of the urls, so the same ones
 in every run), trees are boosted on lexical features: lengths, depth, digit ratio, entropy, counts of
 parameters, labels and hyphens, and statistics of the host's suffixes. Suffix statistics (smoothed
-share of blocked urls, log count) come from one half of the sample, the trees from the other, so that
-the trees don't see a statistic of their own label. Urls without a rule get the trees' verdict.
+share of blocked urls, log count) count all labelled urls of the table and are joined to the urls without
+a rule, which get the trees' verdict. The urls are halved by hash: the trees learn from one half, with
+twice the counts of the other, so that they don't see a statistic of their own label.
 
 Nulls, ties and odd rows: a null url, or one without `://`, has an empty host and path; no rule fits
 it, and the trees judge it (their features of an empty string). Rules of equal length: the first in
@@ -164,41 +165,94 @@ def fit(features: list[list[float]], keys: list[list[int]], blocked: list[bool])
     return model
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+FEATURES = "features array<double>, " + ", ".join(f"k{i} long" for i in range(N_SUFFIX))
+
+
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first three columns (url, host, path) give way to features and the keys of suffixes."""
     for batch in batches:
         rows = [lexical(*x) for x in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([f for f, _ in rows], pa.list_(pa.float64())), pa.array([k for _, k in rows], pa.list_(pa.int64())), batch.column(3), batch.column(4)], ["features", "keys", "blocked", "place"]
-        )
+        new = [pa.array([f for f, _ in rows], pa.list_(pa.float64())), *(pa.array([k[i] for _, k in rows], pa.int64()) for i in range(N_SUFFIX))]
+        yield pa.RecordBatch.from_arrays([*new, *batch.columns[3:]], ["features", *(f"k{i}" for i in range(N_SUFFIX)), *batch.schema.names[3:]])
 
 
-def _judge(model: UrlModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        verdict = np.array(batch.column(5).to_pylist(), object)
-        open_ = np.flatnonzero(verdict == None)  # noqa: E711
-        if len(open_):
-            part = batch.take(pa.array(open_))
-            rows = [lexical(*x) for x in zip(*(part.column(i).to_pylist() for i in (1, 2, 3)), strict=True)]
-            verdict[open_] = model.verdicts([f for f, _ in rows], [k for _, k in rows])
-        yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 3, 4)), pa.array(verdict, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
+def with_counts(rows: DataFrame, counts: DataFrame, allowed: str, blocked: str) -> DataFrame:
+    """rows and, for each of their suffixes, how many labelled urls were allowed (a0, ...) and blocked (b0, ...)."""
+    for i in range(N_SUFFIX):
+        rows = rows.join(counts.select(F.col("key").alias(f"k{i}"), F.col(allowed).alias(f"a{i}"), F.col(blocked).alias(f"b{i}")), f"k{i}", "left")
+    return rows
+
+
+def _matrix(features: list[list[float]], allowed: list[list[int | None]], blocked: list[list[int | None]], share: float, times: int = 1) -> np.ndarray:
+    """Features, smoothed shares of blocked urls and log counts; both kinds of labels weigh the same in sum."""
+    x = np.array(features, float).reshape(len(features), N_LEXICAL)
+    a, b = (np.array([[v or 0 for v in r] for r in m], float).reshape(len(features), N_SUFFIX) * times for m in (allowed, blocked))
+    a, b = a * (0.5 / (1 - share)), b * (0.5 / share)
+    more = np.stack([(b + 2) / (a + b + 4), np.log1p(a + b)], axis=2)
+    return np.hstack([x, more.reshape(len(features), 2 * N_SUFFIX)])
 
 
-def learn(parsed: DataFrame, n_train: int = N_TRAIN) -> UrlModel:
-    """From parsed(url, host, path, ruled): the rows that a rule has decided."""
-    rows = parsed.where("ruled is not null").select("url", "host", "path", (F.col("ruled") == "block").alias("blocked"), F.xxhash64("url").alias("place"))
-    got = rows.mapInArrow(_features, "features array<double>, keys array<long>, blocked boolean, place long").orderBy("place", "features", "blocked").limit(n_train).collect()
-    return fit([r.features for r in got], [r.keys for r in got], [r.blocked for r in got])
+@dataclass
+class TableModel:
+    """Trees, and the share of blocked urls among the labelled ones of the whole table."""
+
+    trees: Boosted | None
+    share: float = 0.5
+    only: str = "allow"
+
+    def verdicts(self, features: list[list[float]], allowed: list[list[int | None]], blocked: list[list[int | None]]) -> np.ndarray:
+        if self.trees is None:
+            return np.full(len(features), self.only, object)
+        return np.where(self.trees.margin(_matrix(features, allowed, blocked, self.share)) >= 0, "block", "allow").astype(object)
+
+
+A, B = [f"a{i}" for i in range(N_SUFFIX)], [f"b{i}" for i in range(N_SUFFIX)]
+
+
+def _judge(model: TableModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        got = {c: batch.column(c).to_pylist() for c in ["features", *A, *B]}
+        verdict = model.verdicts(got["features"], list(zip(*(got[c] for c in A), strict=True)), list(zip(*(got[c] for c in B), strict=True)))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "path", "rule")), pa.array(verdict, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
+
+
+def learn(parsed: DataFrame, n_train: int = N_TRAIN) -> tuple[TableModel, DataFrame]:
+    """From parsed(url, host, path, ruled), the rows that a rule has decided: a model, and counts(key, a, b, ha, hb).
+
+    a, b: allowed and blocked urls with the key; ha, hb: those in the half that the trees don't learn from.
+    """
+    place = F.xxhash64("url")
+    rows = parsed.where("ruled is not null").select("url", "host", "path", (F.col("ruled") == "block").alias("blocked"), place.alias("place"), (F.pmod(F.xxhash64("url", F.lit(1)), F.lit(2)) == 0).alias("learns"))
+    made = rows.mapInArrow(_featured, FEATURES + ", blocked boolean, place long, learns boolean")
+    keys = made.select(F.explode(F.array(*(f"k{i}" for i in range(N_SUFFIX)))).alias("key"), "blocked", "learns")
+    b, half = F.col("blocked"), ~F.col("learns")
+    counts = keys.groupBy("key").agg(F.count_if(~b).alias("a"), F.count_if(b).alias("b"), F.count_if(~b & half).alias("ha"), F.count_if(b & half).alias("hb"))
+    n, n_blocked = rows.agg(F.count("*"), F.count_if("blocked")).first()
+    if n_blocked in (0, n):
+        return TableModel(None, only="block" if n_blocked else "allow"), counts
+    share = n_blocked / n
+    first = rows.where("learns").orderBy("place", "url").limit(n_train)
+    sample = with_counts(first.mapInArrow(_featured, FEATURES + ", blocked boolean, place long, learns boolean"), counts, "ha", "hb").orderBy("place", "features", "blocked").collect()
+    y = np.array([r.blocked for r in sample], float)
+    if len(set(y)) < 2:
+        return TableModel(None, only="block" if share >= 0.5 else "allow"), counts
+    # a third of the trees' rows are shown as if their suffixes were new, as those of other urls will be
+    a, b = ([[r[c] if i % 3 else 0 for c in cs] for i, r in enumerate(sample)] for cs in (A, B))
+    return TableModel(boost(_matrix([r.features for r in sample], a, b, share, 2), y), share), counts
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, n_train: int = N_TRAIN, model: UrlModel | None = None) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, n_train: int = N_TRAIN) -> DataFrame:
     """(page_id, host, path, rule, verdict) for each row of pages(page_id, url)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
     host, path = split_url(F.col("url"))
     rows = rows.withColumns({"host": host, "path": path})
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select("page_id", "url", "host", "path", name.alias("rule"), verdict.alias("ruled"))
-    model = model or learn(rows, n_train)
-    return rows.mapInArrow(lambda b: _judge(model, b), "page_id long, host string, path string, rule string, verdict string")
+    model, counts = learn(rows, n_train)
+    open_ = rows.where("ruled is null").select("url", F.col("host").alias("h"), F.col("path").alias("p"), "page_id", "host", "path", "rule")
+    open_ = open_.mapInArrow(_featured, FEATURES + ", page_id long, host string, path string, rule string")
+    judged = with_counts(open_, counts, "a", "b").mapInArrow(lambda b: _judge(model, b), "page_id long, host string, path string, rule string, verdict string")
+    return rows.where("ruled is not null").select("page_id", "host", "path", "rule", F.col("ruled").alias("verdict")).unionByName(judged)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

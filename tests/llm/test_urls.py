@@ -1,6 +1,6 @@
 import random
 
-from candleforge.llm.urls import RULES, filter_urls, fit, lexical
+from candleforge.llm.urls import RULES, filter_urls, fit, learn, lexical
 
 
 def brute(url):
@@ -46,3 +46,11 @@ def test_odd_tables(spark):
     df = spark.createDataFrame([(1, "http://a.com/", "z"), (1, "http://a.com/", "z"), (None, None, "q")], "page_id long, url string, rule string")
     assert sorted((r.page_id or 0, r.rule, r.verdict) for r in filter_urls(df).collect() if r.page_id) == [(1, "com/", "allow")] * 2
     assert filter_urls(df.limit(0)).count() == 0
+
+
+def test_suffixes_are_counted_over_all_urls(spark):
+    rows = [(h, p, v) for i in range(300) for h, p, v in [(f"a.d{i}.net", "/es/x", "block"), (f"b.d{i}.net", "/fr/x", "block"), (f"c{i}.com", "/", "allow")]]
+    parsed = spark.createDataFrame([(f"http://{h}{p}", h, p, v) for h, p, v in rows], "url string, host string, path string, ruled string")
+    _, counts = learn(parsed, n_train=20)
+    got = {r.key: (r.a, r.b) for r in counts.collect()}
+    assert all(got[lexical("", f"z.d{i}.net", "/de/")[1][1]] == (0, 2) for i in range(300)) and got[lexical("", "x.com", "/")[1][0]] == (300, 0)
