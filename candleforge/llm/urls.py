@@ -2,7 +2,7 @@
 
 A rule is a host with a path prefix and a verdict; it fits its host and all subdomains where the
 url's path starts with the rule's; the longest fitting rule decides. The urls that rules decide are
-the labelled ones. From at most `n_train` of them (the smallest hashes of the urls, so the same ones
+the labelled ones. From at most `n_train` of them (the smallest hashes of distinct urls, so the same ones
 in every run), trees are boosted on lexical features: lengths, depth, digit ratio, entropy, counts of
 parameters, labels and hyphens, and statistics of the host's suffixes. Suffix statistics (smoothed
 share of blocked urls, log count) count all labelled urls of the table and are joined to the urls without
@@ -231,7 +231,7 @@ def learn(parsed: DataFrame, n_train: int = N_TRAIN) -> tuple[TableModel, DataFr
     if n_blocked in (0, n):
         return TableModel(None, only="block" if n_blocked else "allow"), counts
     share = n_blocked / n
-    first = rows.where("learns").orderBy("place", "url").limit(n_train)
+    first = rows.where("learns").dropDuplicates(["url"]).orderBy("place", "url").limit(n_train)
     sample = with_counts(first.mapInArrow(_featured, FEATURES + ", blocked boolean, place long, learns boolean"), counts, "ha", "hb").orderBy("place", "features", "blocked").collect()
     y = np.array([r.blocked for r in sample], float)
     if len(set(y)) < 2:

@@ -54,3 +54,10 @@ def test_suffixes_are_counted_over_all_urls(spark):
     _, counts = learn(parsed, n_train=20)
     got = {r.key: (r.a, r.b) for r in counts.collect()}
     assert all(got[lexical("", f"z.d{i}.net", "/de/")[1][1]] == (0, 2) for i in range(300)) and got[lexical("", "x.com", "/")[1][0]] == (300, 0)
+
+
+def test_copies_of_a_url_take_one_place(spark):
+    hot = [(i, "http://hot.com/") for i in range(3000)]
+    cold = [(3000 + i, f"http://a{i}.net/es/") for i in range(60)] + [(4000 + i, f"http://b{i}.com/") for i in range(60)] + [(5000, "http://a1.net/de/")]
+    got = filter_urls(spark.createDataFrame(hot + cold, "page_id long, url string"), n_train=60).where("page_id = 5000").collect()
+    assert [r.verdict for r in got] == ["block"]
