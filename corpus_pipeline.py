@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in stages that can each be written and read again.
 
 Each stage takes what the one before has kept; all but the last return the columns of documents. In
-order: language ID (documents without a language go), line dedup (lines held by an earlier document
+order: language ID (documents without letters go), line dedup (lines held by an earlier document
 go), n-gram Jaccard join (the smallest id of each group of near duplicates stays), benchmark
 decontamination (hit passages are cut out), packing.
 """
@@ -29,7 +29,11 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is found, with that language; the rest go (no letters, or no language's own)."""
+    """Documents whose language is found, with that language. In effect only letterless texts go.
+
+    The models have no intercept: a text unlike all learned languages scores near 0.5 and stays, so
+    LEAST_SCORE seldom fires.
+    """
     found = identify(docs, keep=("doc_id", "source", "n_chars"))
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
     return kept.withColumnRenamed("lang_pred", "lang").select(*COLUMNS)
