@@ -22,13 +22,18 @@ share out of the lists.
 
 The boundary is where the histogram of set sizes makes both ways together cheapest (`boundary`).
 
-Each list's members are candidates. First, each list's smallest id is compared with the others, which
-joins most groups by a number of comparisons linear in the lists; then, in lists that still have
-several components, all pairs across components that weren't yet compared. Lists of up to SHORT
-members give rows of pairs. Longer ones are cut into blocks of about BLOCK members, each pair of
+Each list's members are candidates. First, each list's smallest id is paired with the others, which
+joins most groups by a number of pairs linear in the lists; then, in lists that still have
+several components, all pairs across components that weren't yet compared. Before any set travels, a pair's
+common lists are counted: with fewer than its sizes ask for (`needed`), it can't be linked. In the second
+round that is exact for lists of up to SHORT members, which give rows of pairs. Longer ones, in which
+nothing is counted, are cut into blocks of about BLOCK members, each pair of
 blocks is one task's work, a product of incidence matrices, and only a spanning forest of its links comes
-out. Candidates are verified on whole sets. So no link between groups is lost, and the pairs
-within a group are never rows.
+out. Candidates are verified on whole sets; a set that many are compared with travels once for
+each BLOCK of them. So no link between groups is lost, and the pairs within a group are never rows.
+
+Classes and lists that hold over 1/HOT of all rows are joined by a broadcast (there are fewer than HOT).
+Tables in between are deleted when the last that reads them is written.
 
 Nulls, ties and odd rows: a null or blank text has an empty set and links with nothing. Rows without
 an id link with nothing; their component is null. Rows that repeat an id are one node. Only doc_id and
@@ -48,7 +53,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleforge.llm.graph import components
-from candleforge.llm.shared import Spilled, grouped, local_roots, parts
+from candleforge.llm.shared import Spilled, grouped, join_hot, local_roots, parts
 from candleforge.llm.text import U, buffers, mix, shards, shingles, words
 
 PERCENT = 80
@@ -60,6 +65,8 @@ LIST_COST = 6
 MOST_BROADCAST = 1_000_000
 SHORT, BLOCK = 24, 512
 SPARE = 10
+#: A task that counts elements or makes lists gets about so many elements' share.
+ELEMENTS_A_TASK = 16_000_000
 _SLICE, _FLUSH = 1 << 20, 16 << 20
 
 
@@ -92,6 +99,17 @@ def reach(a: int, percent: int) -> int:
     return min(a, (100 - percent) * a // 100 + 1 + a // SPARE)
 
 
+def needed(a: F.Column, b: F.Column, x: int, percent: int) -> F.Column:
+    """How many lists linked sets of a and b elements share at least.
+
+    Of their k common elements, in order, the i-th is among the first i + a - k of one set and the first
+    i + b - k of the other, so it is in both prefixes up to an i that follows from their lengths.
+    """
+    common = F.ceil(percent * (a + b) / (100 + percent))
+    spare = [F.least(s, F.floor((100 - percent) * s / 100) + 1 + F.floor(s / SPARE)) - s + common for s in (a, b)]
+    return F.when(F.greatest(a, b) < x, 1).otherwise(F.greatest(F.lit(1), F.least(*spare, common)))
+
+
 def boundary(sizes: dict[int, int], percent: int, most: int = 16) -> int:
     """The least size of large sets, so that signatures cost least; sizes: number of sets by size."""
 
@@ -176,9 +194,8 @@ def _frequent(targets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["n", "hashes"])
 
 
-def heavy_elements(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted first halves of the heavy elements' hashes, their frequencies), at most MOST_HEAVY."""
-    n = parts(docs.sparkSession)
+def heavy_elements(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted first halves of the heavy elements' hashes, their frequencies), at most MOST_HEAVY; found by n tasks."""
     ranges = docs.where("text is not null").mapInArrow(lambda b: _elements(n, b), "target int, block binary")
     found = Spilled(ranges.repartitionById(n, F.col("target")).mapInArrow(lambda b: _frequent(n, b), "n long, hashes binary"), "heavy")
     down = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -287,15 +304,20 @@ def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Linked (a, b) of rows (a, part, b, elements) in that order; the row with a null b has the set of a."""
+    own = np.zeros(0, U)
     for batch in batches:
-        keep = []
-        for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-            x, y = np.frombuffer(x, U), np.frombuffer(y, U)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                keep.append(i)
-        take = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["a", "b"])
+        left, right = [], []
+        for a, b, block in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3), strict=True):
+            s = np.frombuffer(block.as_buffer(), U)
+            if b is None:
+                own = s.copy()
+                continue
+            both = len(np.intersect1d(own, s, assume_unique=True))
+            if 100 * both >= percent * (len(own) + len(s) - both):
+                left.append(a)
+                right.append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
 
 def overlap_matrix(sets: list[np.ndarray], most: int = 4 << 20) -> np.ndarray:
@@ -343,53 +365,89 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of docs(doc_id, text)."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sets = Spilled(docs.mapInArrow(_digests, "doc_id long, n_shingles long, d1 long, d2 long"), "sets").df
-    classes = Spilled(sets.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("size")), "set-classes").df
-    sizes = {r["size"]: r.n for r in classes.where("size <= 64").groupBy("size").agg(F.count("*").alias("n")).collect()}
-    x, n = boundary(sizes, percent), parts(spark)
-    heavy = spark.sparkContext.broadcast(heavy_elements(docs))
+    sets = Spilled(docs.mapInArrow(_digests, "doc_id long, n_shingles long, d1 long, d2 long"), "sets")
+    classes = sets.df.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("size"), F.count("*").alias("copies"))
+    classes = Spilled(classes, "set-classes")
+    sizes = {r["size"]: r.n for r in classes.df.where("size <= 64").groupBy("size").agg(F.count("*").alias("n")).collect()}
+    total = sets.df.agg(F.sum("n_shingles")).first()[0] or 0
+    x, n = boundary(sizes, percent), max(parts(spark), -(-total // ELEMENTS_A_TASK))
+    heavy = spark.sparkContext.broadcast(heavy_elements(docs, n))
     postings = docs.where("doc_id is not null and text is not null").mapInArrow(lambda b: _postings(heavy, x, percent, n, b), "target int, block binary")
-    lists = Spilled(postings.repartitionById(n, F.col("target")).mapInArrow(_lists, "list long, d1 long, size long, times long"), "lists").df
+    lists = Spilled(postings.repartitionById(n, F.col("target")).mapInArrow(_lists, "list long, d1 long, size long, times long"), "lists")
     shared = F.when(F.col("size") < x, 1).otherwise(F.floor(F.col("size") * percent / (100 * SPARE)) + 1)
-    enough = lists.groupBy("d1", "size").agg(F.sum("times").alias("times")).where(F.col("times") >= shared).select("d1", "size")
-    found = classes.select("d1", "id", "size").join(enough, ["d1", "size"])
-    members = lists.select("list", "d1", "size").distinct().join(found, ["d1", "size"]).select("list", "id", "size", "d1")
-    several = members.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
-    members = Spilled(members.join(several, "list"), "members").df
-
-    ids = Spilled(members.select(F.col("id").alias("doc_id"), "d1").distinct(), "candidates").df
-    wanted = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    blobs = Spilled(docs.join(wanted, "doc_id").select("doc_id", "text", "d1").mapInArrow(_blobs, "id long, elements binary"), "elements").df
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.join(blobs.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b").join(blobs.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
-        return ends.select("a", "b", "x", "y").mapInArrow(lambda batches: _verified(percent, batches), "a long, b long")
-
-    hubs = members.groupBy("list").agg(F.min(F.struct("id", "size")).alias("hub"))
-    stars = members.join(hubs, "list").where((F.col("id") > F.col("hub.id")) & _near_in_size(percent, "size", "hub.size"))
-    first = Spilled(stars.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs").df
-    links = Spilled(verified(first), "links").df
-    groups = Spilled(components(links), "groups").df
-
-    placed = members.join(groups, members["id"] == groups["node"], "left").select("list", "id", "size", F.coalesce("component", "id").alias("component"))
-    open_ = placed.groupBy("list").agg((F.min("component") < F.max("component")).alias("open"), F.count("*").alias("n")).where("open").select("list", "n")
-    rest = Spilled(placed.join(open_, "list"), "open-lists").df
-    short = rest.where(F.col("n") <= SHORT)
-    other = short.select("list", F.col("id").alias("id2"), F.col("size").alias("size2"), F.col("component").alias("component2"))
-    across = short.join(other, "list").where((F.col("id") < F.col("id2")) & (F.col("component") != F.col("component2")) & _near_in_size(percent, "size", "size2"))
-    second = Spilled(across.select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "pairs").df
-    long = rest.where(F.col("n") > SHORT).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    enough = lists.df.groupBy("d1", "size").agg(F.sum("times").alias("all")).where(F.col("all") >= shared).select("d1", "size")
+    found = classes.df.select("d1", "id", "size").join(enough, ["d1", "size"])
+    named = lists.df.groupBy("list", "d1", "size").agg(F.sum("times").alias("times"))
+    members = Spilled(named.join(found, ["d1", "size"]).select("list", "id", "size", "d1", "times"), "members")
+    lists.drop()
+    hubs = Spilled(members.df.groupBy("list").agg(F.min(F.struct("id", "size")).alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
+
+    def sets_of(ids: DataFrame) -> Spilled:
+        ids = Spilled(members.df.select(F.col("id").alias("doc_id"), "d1").distinct().join(ids.distinct(), "doc_id"), "candidates")
+        wanted = F.broadcast(ids.df) if ids.df.count() <= MOST_BROADCAST else ids.df
+        out = Spilled(docs.join(wanted, "doc_id").select("doc_id", "text", "d1").mapInArrow(_blobs, "id long, elements binary"), "elements")
+        ids.drop()
+        return out
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """(a, b) of pairs(a, size_a, b, size_b, times) that have enough lists together."""
+        counted = pairs.groupBy("a", "size_a", "b", "size_b").agg(F.sum("times").alias("times"))
+        return counted.where(F.col("times") >= needed(F.col("size_a"), F.col("size_b"), x, percent)).select("a", "b")
+
+    def verified(pairs: DataFrame, blobs: DataFrame) -> DataFrame:
+        cuts = pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("cuts"))
+        dealt = pairs.join(cuts, "a").select("a", F.pmod(F.xxhash64("b"), "cuts").cast("int").alias("part"), "b")
+        own = dealt.select("a", "part").distinct().join(blobs, F.col("a") == F.col("id")).select("a", "part", F.lit(None).cast("long").alias("b"), "elements")
+        rows = own.unionByName(dealt.join(blobs, F.col("b") == F.col("id")).select("a", "part", "b", "elements"))
+        ordered = rows.repartition(parts(spark), "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+        return ordered.mapInArrow(lambda batches: _verified(percent, batches), "a long, b long")
+
+    # the smallest id of each list with the others
+    stars = join_hot(members.df.select("list", "id", "size", "times"), hubs.df, ["list"], "n")
+    stars = stars.where((F.col("id") > F.col("hub.id")) & _near_in_size(percent, "size", "hub.size"))
+    stars = stars.select(F.col("hub.id").alias("a"), F.col("hub.size").alias("size_a"), F.col("id").alias("b"), F.col("size").alias("size_b"), "times")
+    first = Spilled(possible(stars), "pairs")
+    blobs = sets_of(first.df.select(F.explode(F.array("a", "b")).alias("doc_id")))
+    links = Spilled(verified(first.df, blobs.df), "links")
+    blobs.drop()
+    groups = Spilled(components(links.df), "groups")
+
+    # what still lies across components, in lists of several
+    listed = join_hot(members.df.select("list", "id", "size", "times"), hubs.df.select("list", "n"), ["list"], "n")
+    placed = listed.join(groups.df, listed["id"] == groups.df["node"], "left").select("list", "n", "id", "size", "times", F.coalesce("component", "id").alias("component"))
+    placed = Spilled(placed, "placed")
+    open_ = placed.df.groupBy("list").agg((F.min("component") < F.max("component")).alias("open"), F.first("n").alias("held")).where("open").select("list", "held")
+    rest = Spilled(join_hot(placed.df, open_, ["list"], "held"), "open-lists")
+    placed.drop()
+    short = rest.df.where(F.col("n") <= SHORT)
+    left = short.select("list", F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("component_a"), "times")
+    right = short.select("list", F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("component_b"))
+    across = left.join(right, "list").where((F.col("a") < F.col("b")) & (F.col("component_a") != F.col("component_b")) & _near_in_size(percent, "size_a", "size_b"))
+    second = Spilled(possible(across).join(first.df, ["a", "b"], "left_anti"), "pairs")
+    long = rest.df.where(F.col("n") > SHORT)
+    blobs = sets_of(second.df.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(long.select(F.col("id").alias("doc_id"))))
+    long = long.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     long = long.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    long = long.select("list", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "id", "component", "own").join(blobs, "id")
+    long = long.select("list", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "id", "component", "own").join(blobs.df, "id")
     met = long.select("list", "p", "q", "id", "component", "own", "elements").repartition(n, "list", "p", "q").sortWithinPartitions("list", "p", "q")
-    more = Spilled(verified(second).unionByName(met.mapInArrow(lambda b: _blocks(percent, b), "a long, b long")), "links").df
-    groups = components(links.unionByName(more)) if not more.isEmpty() else groups
-
-    class_of = classes.select("d1", "d2", "id").join(groups.withColumnRenamed("node", "id"), "id", "left")
-    class_of = class_of.select("d1", "d2", F.coalesce("component", "id").alias("component"))
-    out = sets.join(class_of, ["d1", "d2"], "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"))
+    more = Spilled(verified(second.df, blobs.df).unionByName(met.mapInArrow(lambda b: _blocks(percent, b), "a long, b long")), "links")
+    for table in (blobs, first, second, rest, members, hubs):
+        table.drop()
+    if not more.df.isEmpty():
+        both = components(links.df.unionByName(more.df))
+        groups.drop()
+        groups = Spilled(both, "groups")
+
+    # a row for each document again
+    class_of = classes.df.join(groups.df.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", "copies", F.coalesce("component", "id").alias("component"))
+    in_class = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    placed = join_hot(sets.df.where(in_class), class_of, ["d1", "d2"], "copies")
+    out = placed.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+    out = Spilled(out.unionByName(sets.df.where(~F.coalesce(in_class, F.lit(False))).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))), "near-duplicates")
+    for table in (sets, classes, groups, links, more):
+        table.drop()
+    heavy.destroy()
+    return out.df
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

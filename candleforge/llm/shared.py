@@ -9,20 +9,32 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+HOT = 1000
 _OWN: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; where that is unset (tests, one machine), a temporary folder."""
+    """The folder of spark.checkpoint.dir, else the context's checkpoint folder, else one that all can reach.
+
+    That is a temporary one where driver and executors are one process (master local), and one in the
+    warehouse on a cluster if that isn't on a local file system. Without any, an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = "file://" + tempfile.mkdtemp(prefix="candleforge-")
-        spark.sparkContext.setCheckpointDir(_OWN[app])
-    return _OWN[app]
+    context = spark.sparkContext
+    if at := context.getCheckpointDir():
+        return at.rstrip("/")
+    if context.master.startswith("local"):
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="candleforge-")
+        return _OWN[context.applicationId]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if "://" in warehouse and not warehouse.startswith("file:"):
+        return f"{warehouse.rstrip('/')}/_candleforge"
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -47,14 +59,22 @@ def delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def join_hot(rows: DataFrame, keyed: DataFrame, on: list[str], n: str) -> DataFrame:
+    """The inner join of rows with keyed, which has one row a key and in n how many of rows have it.
+
+    Keys with over 1/HOT of all rows, of which there are fewer than HOT, are broadcast, so none of their
+    rows are shuffled; the others are joined as Spark chooses.
+    """
+    total = keyed.agg(F.sum(n)).first()[0] or 0
+    hot, cold = keyed.where(F.col(n) * HOT > total), keyed.where(F.col(n) * HOT <= total)
+    left = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on)
+    return rows.join(F.broadcast(hot), on).unionByName(left)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, written under a temporary name and renamed."""
     jvm = spark.sparkContext._jvm
