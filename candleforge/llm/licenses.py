@@ -1,8 +1,9 @@
 """Licence scans by a trained paragraph classifier. The scan has DataFrame functions only.
 
-A paragraph is what blank lines bound. Its candidates are its lines that have one of the GATE strings or
-a telling two-word run of a template (any, but those of two COMMON words; no text without one can be
-confirmed), and its notices: stretches of its joined words that no line break or neighbour hides. For each template,
+A paragraph is what blank lines bound. Only paragraphs with one of the `keywords` are looked at further: words that
+every text has that holds enough of a template to be confirmed, so no licence is lost by that. A
+paragraph's candidates are its lines with a keyword, and its notices: stretches of
+its joined words that no line break or neighbour hides. For each template,
 words are looked at in overlapping windows of about twice its length; where a window holds enough of its
 two-word runs, and no fewer than those it overlaps, the words from the first to the last of them are a
 notice if the classifier gives them that template's family. A notice counts once for each paragraph and family, and only where no single
@@ -13,9 +14,12 @@ with words dropped and foreign words added) and on counter-examples (templates'
 and sentences that only talk of licences). Half of those texts are held out: on them, a temperature
 is fitted to the probabilities, and the threshold below which a prediction becomes `unknown` is the
 least that lets pass at most MAX_FALSE of the counter-examples. A family that passes must be
-confirmed: one of its templates must have at least CONFIRM of its two-word runs in the candidate.
+confirmed: one of its templates must have at least CONFIRM of its two-word runs in the candidate, all of them if
+they are at most FEW.
 
-Equal paragraphs are searched once, and equal candidates classified once, however many documents hold them.
+Templates are well-known notices and short forms made from each family's names. Equal paragraphs are searched
+once, and equal candidates classified once, however many documents hold them; a paragraph in over
+1/HOT of the finds meets its documents by a broadcast.
 
 Nulls, ties and odd rows: a null or empty text has no candidate. Documents are rows with one id; rows
 that repeat an id (or have none) are counted together. Families of equal probability: the first by
@@ -31,8 +35,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from candleforge.llm.shared import Spilled, join_hot
+
 #: Well-known licence notices, by SPDX name: fixed values.
-TEMPLATES = {
+NOTICES = {
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
@@ -86,6 +92,30 @@ TEMPLATES = {
     ],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
 }
+#: Other names of the families: fixed values.
+NAMES = {
+    "Apache-2.0": ["Apache License 2.0", "Apache 2.0"],
+    "MIT": ["MIT"],
+    "GPL-3.0": ["GNU GPL version 3", "GNU GPL v3", "GPL v3"],
+    "GPL-2.0": ["GNU GPL version 2", "GNU GPL v2", "GPL v2"],
+    "LGPL-3.0": ["GNU LGPL version 3", "GNU LGPL v3", "LGPL v3"],
+    "BSD-3-Clause": ["BSD 3-Clause", "new BSD"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "MPL 2.0"],
+    "ISC": ["ISC"],
+    "CC-BY-4.0": ["CC BY 4.0"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0"],
+    "CC0-1.0": ["CC0 1.0"],
+    "Unlicense": ["Unlicense"],
+}
+
+
+def short_forms(family: str, names: list[str]) -> list[str]:
+    tag = [f"SPDX-License-Identifier: {family}", f"{family} license", f"{family} licensed"]
+    return tag + [t for n in names for t in (f"{n} license", f"{n} licensed", f"licensed under the {n}", f"released under the {n}", f"distributed under the {n}")]
+
+
+TEMPLATES = {f: list(dict.fromkeys([*texts, *short_forms(f, NAMES[f])])) for f, texts in NOTICES.items()}
 #: Sentences that only talk of licences: fixed values.
 COUNTER = [
     "You need a driving license to rent a car in this country.",
@@ -101,13 +131,21 @@ COUNTER = [
     "The software license costs more than the hardware.",
     "He was granted a fishing license by the county.",
 ]
-GATE = r"(?i)licen[sc]|copyright|permission|public domain|redistribut|warrant|free software|spdx|\bcc0\b|\bcc by\b"
-#: Two of these in a row tell nothing of licences.
-COMMON = frozenset("a an and any as at be by for from in is it its may not of on or such that the this to was with without you".split())
+#: Words that texts about licences have; `keywords` adds what templates need besides.
+KEYWORDS = (
+    "agpl apache bsd cc cc0 copyright copyrighted gnu gpl isc lgpl licence licenced licences license licensed licenses licensing mozilla mpl "
+    "permission permissions redistribute redistribution spdx unencumbered unlicense warranties warranty"
+).split()
+#: Words that are in all texts, which are never keywords, and words that are in many.
+COMMON = frozenset("a an and any are as at be by for from in is it its may not of on or such that the this to was with without you".split())
+ORDINARY = frozenset(
+    "appear code conditions copies except file following free general included international later neither persons possible products provided public purpose related required source "
+    "specific subject terms under version work".split()
+)
 BLANK = r"\n\s*\n"
 UNKNOWN = "unknown"
-CONFIRM, MAX_FALSE, SEED = 0.6, 0.01, 17
-N_MADE = 60  # training texts for each template, and as many counter-examples for each
+CONFIRM, FEW, MAX_FALSE, SEED = 0.6, 4, 0.01, 17
+N_MADE = 24  # training texts for each template, and as many counter-examples for each
 
 
 def tokens(text: str) -> list[str]:
@@ -142,9 +180,9 @@ class LicenseModel:
 
 
 def _made(rng: np.random.Generator, template: list[str]) -> list[str]:
-    """A template with words cut at the ends, dropped, and foreign words around."""
+    """A template with foreign words around; one of over ten words also has its end cut and words dropped."""
     n = len(template)
-    words = [w for w in template[: max(4, int(n * rng.uniform(0.8, 1)))] if rng.random() > 0.05]
+    words = template if n <= 10 else [w for w in template[: int(n * rng.uniform(0.8, 1))] if rng.random() > 0.05]
     foreign = [f"w{k}" for k in rng.integers(0, 10**9, rng.integers(0, 6))]
     cut = rng.integers(0, len(foreign) + 1)
     return [*foreign[:cut], *words, *foreign[cut:]]
@@ -190,46 +228,51 @@ def _words(text: Column) -> Column:
 
 
 def _pairs(words: Column) -> Column:
-    return F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat_ws(" ", F.get(words, i), w))
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
 
 
 def _two(text: str) -> set[str]:
     return {r for r in runs(tokens(text)) if " " in r}
 
 
-def telling(templates: dict[str, list[str]]) -> set[str]:
-    """Two-word runs of which every text has one that holds enough of a template to be confirmed."""
-    out = set()
-    for two in (_two(t) for texts in templates.values() for t in texts):
-        told = {r for r in two if not COMMON.issuperset(r.split(" "))}
-        out |= told if len(two) - len(told) < CONFIRM * len(two) else two
-    return out
+def enough(n: int) -> int:
+    """How many of a template's n two-word runs confirm it."""
+    return n if n <= FEW else int(np.ceil(CONFIRM * n))
 
 
-def _any_of(strings: set[str]) -> str:
-    """A regular expression of the strings (letters, digits, blanks), by their first characters."""
-    heads = {}
-    for x in sorted(strings - {""}):
-        heads.setdefault(x[0], set()).add(x[1:])
-    body = "|".join(c + _any_of(rest) for c, rest in heads.items())
-    return body and (f"(?:{body})?" if "" in strings else f"(?:{body})" if len(heads) > 1 else body)
+def keywords(templates: dict[str, list[str]]) -> list[str]:
+    """KEYWORDS, and of each template its longest words, ORDINARY ones last, until runs without any keyword can't confirm it."""
+    out = set(KEYWORDS)
+    for words in (tokens(t) for texts in templates.values() for t in texts):
+        two = _two(" ".join(words))
+        for w in sorted(set(words) - COMMON, key=lambda w: (w in ORDINARY, -len(w), w)):
+            if sum(out.isdisjoint(r.split(" ")) for r in two) < enough(len(two)):
+                break
+            out.add(w)
+    return sorted(out)
 
 
-def _gate(text: Column, telling_runs: str) -> Column:
-    return text.rlike(GATE) | F.concat(F.lit(" "), _words(text), F.lit(" ")).rlike(f" {telling_runs} ")
+def _gate(text: Column, words: list[str]) -> Column:
+    return F.arrays_overlap(F.split(F.lower(text), "[^a-z0-9]+"), F.array(*map(F.lit, words)))
 
 
 def notices(once: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
     """(para, wanted, words): stretches of once(para, block) that hold enough of a template of the family `wanted`."""
     texts = [(f, t) for f in templates for t in templates[f]]
-    rows = [(p, k, f, (len(tokens(t)) + 1) // 2, len(_two(t))) for k, (f, t) in enumerate(texts) for p in sorted(_two(t))]
-    known = F.broadcast(once.sparkSession.createDataFrame(rows, "pair string, k int, wanted string, step int, n_pairs int"))
+    rows = [(p, k, f, (len(tokens(t)) + 1) // 2, enough(len(_two(t)))) for k, (f, t) in enumerate(texts) for p in sorted(_two(t))]
+    known = F.broadcast(once.sparkSession.createDataFrame(rows, "pair string, k int, wanted string, step int, enough int"))
     words = once.select("para", F.split(_words("block"), " ").alias("words"))
-    met = words.select("para", F.posexplode(_pairs(F.col("words"))).alias("at", "pair")).join(known, "pair")
+    # templates that the whole paragraph has enough of; only their runs are looked at by place
+    every = F.array(*map(F.lit, sorted({r[0] for r in rows})))
+    held = words.select("para", F.explode(F.array_intersect(_pairs(F.col("words")), every)).alias("pair")).join(known, "pair")
+    held = held.groupBy("para", "k", "enough").agg(F.count("*").alias("n")).where("n >= enough").groupBy("para").agg(F.collect_set("k").alias("ks"))
+    placed = words.join(held, "para").select("para", "ks", F.posexplode(_pairs(F.col("words"))).alias("at", "pair"))
+    met = placed.join(known, "pair").where(F.array_contains("ks", F.col("k"))).drop("ks")
     # a window is four steps, so it holds any stretch of three, which is one and a half times the template
     met = met.withColumn("window", F.explode(F.transform(F.array(*map(F.lit, range(4))), lambda i: F.floor(F.col("at") / F.col("step")) - i)))
-    full = met.groupBy("para", "k", "window", "wanted", "n_pairs").agg(F.count_distinct("pair").alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
-    full = full.where(F.col("n") >= CONFIRM * F.col("n_pairs")).withColumn("worth", F.struct("n", F.col("a") - F.col("b")))
+    full = met.groupBy("para", "k", "window", "wanted", "enough").agg(F.count_distinct("pair").alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
+    full = full.where(F.col("n") >= F.col("enough")).withColumn("worth", F.struct("n", F.col("a") - F.col("b")))
     # of windows that overlap, the fullest: a part of a notice could look like another family's
     near = Window.partitionBy("para", "k").orderBy("window").rangeBetween(-3, 3)
     full = full.withColumn("best", F.max("worth").over(near)).where(F.col("worth") == F.col("best")).select("para", "wanted", "a", "b").distinct()
@@ -238,27 +281,26 @@ def notices(once: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
 
 def classify(texts: DataFrame, model: LicenseModel, templates: dict[str, list[str]]) -> DataFrame:
     """(key, family, p, ok) for each key of texts(key, words); ok: a family that passes and is confirmed."""
-    plain = [(f, two) for f in model.families[:-1] for two in map(_two, templates[f])]
-    n_families = len(model.families)
-    rows = [(f, *map(float, model.weights[i]), *(int(f in two) for _, two in plain)) for i, f in enumerate(model.features)]
-    schema = "feature string, " + ", ".join([*(f"w{k} double" for k in range(n_families)), *(f"t{k} int" for k in range(len(plain)))])
-    features = F.broadcast(texts.sparkSession.createDataFrame(rows, schema))  # as large as the templates
+    spark, n_families = texts.sparkSession, len(model.families)
+    weights = [(f, *map(float, model.weights[i])) for i, f in enumerate(model.features)]
+    weights = F.broadcast(spark.createDataFrame(weights, "feature string, " + ", ".join(f"w{k} double" for k in range(n_families))))  # as large as the templates
+    plain = [(f, _two(t)) for f in templates for t in templates[f]]
+    pairs = F.broadcast(spark.createDataFrame([(p, k, f, enough(len(two))) for k, (f, two) in enumerate(plain) for p in sorted(two)], "feature string, k int, wanted string, enough int"))
 
     once = texts.groupBy("key").agg(F.min("words").alias("words"))
     words = F.split("words", " ")
     every = once.select("key", F.array_distinct(F.concat(words, _pairs(words))).alias("runs"))
-    each = every.select("key", F.size("runs").alias("n"), F.explode("runs").alias("feature")).join(features, "feature", "left")
-    sums = [F.sum(F.coalesce(f"w{k}", F.lit(0.0))).alias(f"w{k}") for k in range(n_families)] + [F.sum(F.coalesce(f"t{k}", F.lit(0))).alias(f"t{k}") for k in range(len(plain))]
-    got = each.groupBy("key").agg(F.first("n").alias("n"), *sums)
+    every = every.select("key", F.size("runs").alias("n"), F.explode("runs").alias("feature"))
+    got = every.join(weights, "feature", "left").groupBy("key").agg(F.first("n").alias("n"), *(F.sum(F.coalesce(f"w{k}", F.lit(0.0))).alias(f"w{k}") for k in range(n_families)))
     logits = F.array(*((F.col(f"w{k}") / F.sqrt("n") + float(model.bias[k])) / model.temperature for k in range(n_families)))
     got = got.withColumn("z", logits).withColumn("top", F.array_max("z"))
     got = got.withColumn("total", F.aggregate(F.transform("z", lambda z: F.exp(z - F.col("top"))), F.lit(0.0), lambda a, b: a + b))
     at = F.array_position("z", F.col("top")).cast("int") - 1
-    got = got.withColumns({"family": F.get(F.array(*map(F.lit, model.families)), at), "p": 1 / F.col("total")})
-    confirmed = F.lit(False)
-    for k, (f, two) in enumerate(plain):
-        confirmed = confirmed | ((F.col("family") == f) & (F.col(f"t{k}") >= CONFIRM * len(two)))
-    return got.select("key", "family", "p", ((F.col("family") != UNKNOWN) & (F.col("p") >= model.threshold) & confirmed).alias("ok"))
+    got = got.select("key", F.get(F.array(*map(F.lit, model.families)), at).alias("family"), (1 / F.col("total")).alias("p"))
+    held = every.join(pairs, "feature").groupBy("key", "k", "wanted", "enough").agg(F.count("*").alias("held")).where("held >= enough")
+    held = held.groupBy("key").agg(F.collect_set("wanted").alias("confirmed"))
+    passes = (F.col("family") != UNKNOWN) & (F.col("p") >= model.threshold) & F.coalesce(F.array_contains("confirmed", F.col("family")), F.lit(False))
+    return got.join(held, "key", "left").select("key", "family", "p", passes.alias("ok"))
 
 
 def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
@@ -266,13 +308,13 @@ def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] =
 
     confidence: the highest probability among the confirmed candidates, to six places, or null.
     """
-    told = _any_of(telling(templates))
-    blocks = docs.select("doc_id", F.explode(F.split("text", BLANK)).alias("block")).where(_gate(F.col("block"), told))
-    found = blocks.select("doc_id", F.sha2("block", 256).alias("para"), "block")
-    once = found.groupBy("para").agg(F.min("block").alias("block"))
-    lines = once.select("para", F.explode(F.split("block", "\n")).alias("line")).where(_gate(F.col("line"), told))
+    words = keywords(templates)
+    blocks = docs.select("doc_id", F.explode(F.split("text", BLANK)).alias("block")).where(_gate(F.col("block"), words))
+    found = Spilled(blocks.select("doc_id", F.sha2("block", 256).alias("para"), "block"), "paragraphs").df
+    once = Spilled(found.groupBy("para").agg(F.min("block").alias("block"), F.count("*").alias("copies")), "paragraphs-once").df
+    lines = once.select("para", F.explode(F.split("block", "\n")).alias("line")).where(_gate(F.col("line"), words))
     lines = lines.select("para", F.lit(None).cast("string").alias("wanted"), _words("line").alias("words"))
-    parts = lines.unionByName(notices(once, templates)).withColumn("key", F.sha2("words", 256))
+    parts = Spilled(lines.unionByName(notices(once, templates)).withColumn("key", F.sha2("words", 256)), "candidates").df
     judged = parts.select("para", "wanted", "key").join(classify(parts.select("key", "words"), model, templates), "key")
 
     whole, passed = F.col("wanted").isNull(), F.col("ok") & (F.col("wanted").isNull() | (F.col("wanted") == F.col("family")))
@@ -285,7 +327,8 @@ def scan(docs: DataFrame, model: LicenseModel, templates: dict[str, list[str]] =
         F.sum(F.coalesce(n, "n_lines")).alias("candidates"), F.sum(F.coalesce(n, F.lit(0))).alias("licensed"),
         F.collect_set("family").alias("families"), F.max(F.when(held, F.coalesce("of_lines", "of_any"))).alias("p"),
     )
-    hits = found.groupBy("doc_id", "para").agg(F.count("*").alias("n")).join(per_para, "para")
+    per_para = Spilled(per_para.join(once.select("para", "copies"), "para"), "judged").df
+    hits = join_hot(found.groupBy("doc_id", "para").agg(F.count("*").alias("n")), per_para, ["para"], "copies")
     per_doc = hits.groupBy("doc_id").agg(
         F.sum(F.col("n") * F.col("candidates")).alias("n_candidates"), F.sum(F.col("n") * F.col("licensed")).alias("n_licensed"),
         F.array_distinct(F.flatten(F.collect_list("families"))).alias("families"), F.max("p").alias("confidence"),
