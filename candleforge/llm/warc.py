@@ -1,9 +1,10 @@
 """A deterministic sharded WARC writer, and a reader for its archives.
 
-Records are range-sorted by page id. The ranges are cut by a histogram of payload bytes over the ids
-(refined where a bin is too heavy), not by a sample, so the same table gives the same shards, files
-and bytes on any cluster. A task writes its shards' records as gzip members into files that roll at
-`roll_bytes` of compressed size. Headers, record ids and digests are made anew from the row; dates
+Records are range-sorted by page id. The ranges are cut where the running sum of payload bytes over the
+ids passes a multiple of the shard size (a prefix sum: sums by range of ids, then within each range), not
+by a sample, so the same table gives the same shards, files and bytes on any cluster. Shards have
+`shard_bytes`, or more where there would be over MOST_SHARDS of them. A task writes its shards' records
+as gzip members into files that roll at `roll_bytes` of compressed size. Headers, record ids and digests are made anew from the row; dates
 are a parameter.
 
 Of records with equal payloads of at least MIN_REVISIT bytes, the one with the smallest page id holds
@@ -14,7 +15,7 @@ records, bytes, digest) go through Spark's committer, and readers read what the
 that lost or repeated tasks leave nothing that counts.
 
 Nulls, ties and odd rows: a null html is an empty payload; a null url has no target header. Rows
-without a page id are written first, without that header; they are revisits if a row with an id has
+without a page id are written first, without that header, dealt over shards of their own by digest; they are revisits if a row with an id has
 their payload, else responses. Of rows that repeat both id and payload the first by url is the
 response, if it is one at all. Only page_id, url and html are read. An empty table gives no files and
 an empty result.
@@ -28,15 +29,16 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from candleforge.llm.shared import Spilled, new_folder
+from candleforge.llm.shared import Spilled, join_hot, new_folder
 
 MIN_REVISIT = 100
 SHARD_BYTES, ROLL_BYTES = 16 << 20, 8 << 20
-_BINS = 1024
+MOST_SHARDS = 100_000
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 MANIFEST = "shard long, file string, records long, bytes long, sha256 string"
@@ -139,36 +141,20 @@ def _write(folder: str, roll_bytes: int, date: str, batches: Iterator[pa.RecordB
 
 
 def shard_bounds(heads: DataFrame, shard_bytes: int) -> list[int]:
-    """The ids at which shards end (the next begins), by sums of bytes over ranges of ids.
+    """The ids, in order, at which the second shard and those after it begin: at most one a shard comes to the driver.
 
-    Bins heavier than a shard are cut again until they are light or one id wide.
+    heads has page_id and n, the bytes. An id is in the shard in which its first byte would be. Which ranges
+    Spark makes for the sums has no say in that.
     """
-    low, high = heads.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return []
-    done: list[tuple[int, int]] = []  # first id of a bin, bytes
-    todo = [(int(low), int(high) + 1)]
-    while todo:
-        width = {a: max(1, -(-(b - a) // _BINS)) for a, b in todo}
-        which = F.lit(None).cast("struct<a: long, k: long>")
-        for a, b in todo:  # few: each is heavier than a shard, or the first
-            inside = (F.col("page_id") >= a) & (F.col("page_id") < b)
-            which = F.when(inside, F.struct(F.lit(a).cast("long").alias("a"), F.floor((F.col("page_id") - a) / width[a]).cast("long").alias("k"))).otherwise(which)
-        bins = heads.groupBy(which.alias("bin")).agg(F.sum("n").alias("n")).where("bin is not null").collect()  # at most _BINS each
-        todo = []
-        for r in bins:
-            a, w = r.bin.a + r.bin.k * width[r.bin.a], width[r.bin.a]
-            if r.n > shard_bytes and w > 1:
-                todo.append((a, a + w))
-            else:
-                done.append((a, r.n))
-    bounds, total = [], 0
-    for a, n in sorted(done):
-        if total and total + n > shard_bytes:
-            bounds.append(a)
-            total = 0
-        total += n
-    return bounds
+    ranged = heads.where("page_id is not null").groupBy("page_id").agg(F.sum("n").alias("n")).repartitionByRange("page_id")
+    ranged = Spilled(ranged.withColumn("part", F.spark_partition_id()), "id-bytes")
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    ahead = ranged.df.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("part").orderBy("page_id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.df.join(F.broadcast(ahead), "part").withColumn("at", F.col("ahead") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    firsts = placed.groupBy(F.floor(F.col("at") / shard_bytes).alias("shard")).agg(F.min("page_id").alias("page_id")).collect()
+    ranged.drop()
+    return sorted(r.page_id for r in firsts)[1:]
 
 
 def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -178,17 +164,23 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     heads = Spilled(pages.select("page_id", F.sha2(html, 256).alias("digest"), F.octet_length(html).cast("long").alias("n")), "heads")
     same = heads.df.where(F.col("n") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("copies")).where("copies > 1 and refers_to is not null")
-    revisits = heads.df.join(same, "digest").where("page_id is null or page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    revisits = join_hot(heads.df, same, ["digest"], "copies").where("page_id is null or page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
+    total, without = heads.df.agg(F.sum("n"), F.sum(F.when(F.col("page_id").isNull(), F.col("n")))).first()
+    shard_bytes = max(shard_bytes, -(-(total or 0) // MOST_SHARDS))
     bounds = np.array(shard_bounds(heads.df, shard_bytes), np.int64)
+    n_null = 0 if without is None else without // shard_bytes + 1  # shards of rows without an id
 
     @F.pandas_udf("long")
-    def shard(ids):
-        return ids.map(lambda i: 0 if i is None or i != i else int(np.searchsorted(bounds, int(i), "right")))
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy(np.int64), "right"))
 
+    # a null among them would make the ids floats, which know no numbers above 2**53 for sure
+    of_id = place(F.coalesce("page_id", F.lit(0).cast("long"))) + n_null
+    shard = F.when(F.col("page_id").isNotNull(), of_id).otherwise(F.pmod(F.xxhash64("digest"), F.lit(max(1, n_null))))
     columns = ["page_id", "is_page", "digest", "refers_to", "url", "html"]
     rows = pages.withColumns({"is_page": F.lit(True), "digest": F.sha2(html, 256), "refers_to": F.lit(None).cast("long")}).select(*columns)
     rows = rows.unionByName(revisits.withColumns({"is_page": F.lit(False), "url": F.lit(None).cast("string"), "html": F.lit(None).cast("string")}).select(*columns))
-    rows = rows.withColumn("shard", shard("page_id")).repartitionById(len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "is_page", "digest", "url")
+    rows = rows.withColumn("shard", shard).repartitionById(n_null + len(bounds) + 1, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "is_page", "digest", "url")
     done = rows.select("shard", *columns).mapInArrow(lambda b: _write(folder, roll_bytes, date, b), MANIFEST)
     done.write.parquet(f"{folder}/manifest")
     heads.drop()

@@ -4,7 +4,7 @@ import random
 from urllib.parse import urlparse
 
 from candleforge.llm.shared import new_folder
-from candleforge.llm.warc import parse, read_archives, write_archives
+from candleforge.llm.warc import parse, read_archives, shard_bounds, write_archives
 
 
 def pages():
@@ -60,3 +60,35 @@ def test_repeats_and_empty(spark):
     folder = new_folder(spark, "warc-test")
     manifest = write_archives(spark.createDataFrame([], "page_id long, url string, html string"), folder)
     assert read_archives(manifest, folder).count() == 0
+
+
+def test_large_ids_beside_null_ones(spark):
+    big, body = 1 << 60, "<p>" + "word " * 40
+    rows = [(big + i, f"u{i}", f"{body}{i // 2}", 7) for i in range(200)] + [(None, "n", body + "0", 7), (None, "m", body + "0", 7), (None, None, None, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, shard long").withColumnRenamed("shard", "digest").coalesce(1)
+    folder = new_folder(spark, "warc-test")
+    got = read_archives(write_archives(df, folder, shard_bytes=3000), folder).collect()
+    assert len(got) == len(rows)
+    want = {big + i: None if i % 2 == 0 else big + i - 1 for i in range(200)}
+    assert {r.page_id: r.refers_to for r in got if r.page_id} == want
+    assert sorted((r.url or "", r.record_type, r.refers_to or 0) for r in got if r.page_id is None) == [("", "response", 0), ("m", "revisit", big), ("n", "revisit", big)]
+
+
+def test_bounds_are_exact_for_any_ids(spark):
+    rows = [(i * i * i, 5 + i % 7) for i in range(30_000)] + [(9, 10_000), (9, 1)]
+    heads = spark.createDataFrame(rows, "page_id long, n long")
+    at, firsts, total = {}, {}, 0
+    for i, n in sorted(rows):
+        at.setdefault(i, total)
+        total += n
+    for i in sorted(at):
+        firsts.setdefault(at[i] // 500, i)
+    want = sorted(firsts.values())[1:]
+    assert len(want) > 400 and shard_bounds(heads.repartition(5), 500) == want
+
+
+def test_long_html(spark):
+    folder = new_folder(spark, "warc-test")
+    rows = [(1, "u", "é" * 2_000_000), (2, "v", "é" * 2_000_000), (3, "w", "short")]
+    got = {r.page_id: r for r in read_archives(write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder), folder).collect()}
+    assert (got[1].payload_bytes, got[2].refers_to, len(got[1].payload), got[3].record_type) == (4_000_000, 1, 4_000_000, "response")
