@@ -3,10 +3,12 @@
 A rule is a host with a path prefix and a verdict; it fits its host and all subdomains where the
 url's path starts with the rule's; the longest fitting rule decides. The urls that rules decide are
 the labelled ones. From at most `n_train` of them (the smallest hashes of distinct urls, so the same ones
-in every run), trees are boosted on lexical features: lengths, depth, digit ratio, entropy, counts of
+in every run; a sketch of their number says under which hash about twice as many lie, and only those are
+sorted), trees are boosted on lexical features: lengths, depth, digit ratio, entropy, counts of
 parameters, labels and hyphens, and statistics of the host's suffixes. Suffix statistics (smoothed
-share of blocked urls, log count) count all labelled urls of the table and are joined to the urls without
-a rule, which get the trees' verdict. The urls are halved by hash: the trees learn from one half, with
+share of blocked urls, log count) count all labelled urls of the table: one native aggregation by the
+longest suffix, of which the shorter ones' sums are made. They are joined to the urls without
+a rule, which get the trees' verdict; suffixes with over 1/HOT of those urls by a broadcast. The urls are halved by hash: the trees learn from one half, with
 twice the counts of the other, so that they don't see a statistic of their own label.
 
 Nulls, ties and odd rows: a null url, or one without `://`, has an empty host and path; no rule fits
@@ -22,10 +24,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candleforge.llm.shared import Spilled, join_hot
+
 N_TRAIN = 20_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Host, path prefix, verdict: fixed values of this task.
@@ -57,21 +60,30 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
     return name, verdict
 
 
-def lexical(url: str | None, host: str, path: str) -> tuple[list[float], list[int]]:
-    """(features, hashes of what suffix statistics are kept of)."""
+def suffixes(host: Column, path: Column) -> list[Column]:
+    """The last label; the last two; these and the path's first segment. Each is a prefix of the next by `shorter`."""
+    labels = F.split(host, r"\.")
+    two = F.array_join(F.slice(labels, -F.least(F.size(labels), F.lit(2)), 2), ".")
+    segment = F.regexp_extract(path, r"^/*([^/]*)", 1)
+    return [F.element_at(labels, -1), two, F.concat(two, F.lit("/"), segment)]
+
+
+def shorter(longest: Column) -> list[Column]:
+    """All three suffixes, from the longest."""
+    two = F.substring_index(longest, "/", 1)
+    return [F.substring_index(two, ".", -1), two, longest]
+
+
+def lexical(url: str | None, host: str, path: str) -> list[float]:
     u = url or ""
     raw = u.encode()
     counts = np.bincount(np.frombuffer(raw, np.uint8), minlength=1)
     share = counts[counts > 0] / max(1, len(raw))
     query = u.partition("?")[2].partition("#")[0]
-    segments = [x for x in path.split("/") if x]
-    labels = host.split(".")
-    features = [
-        len(u), len(host), len(path), len(segments), sum(c.isdigit() for c in u) / max(1, len(u)), float(-(share * np.log2(share)).sum()),
-        len([x for x in query.split("&") if x]), len(labels), u.count("-") + u.count("_"), float("#" in u),
+    return [
+        len(u), len(host), len(path), len([x for x in path.split("/") if x]), sum(c.isdigit() for c in u) / max(1, len(u)), float(-(share * np.log2(share)).sum()),
+        len([x for x in query.split("&") if x]), len(host.split(".")), u.count("-") + u.count("_"), float("#" in u),
     ]
-    ends = [labels[-1], ".".join(labels[-2:]), ".".join(labels[-2:]) + "/" + (segments[0] if segments else "")]
-    return features, [xxhash.xxh3_64_intdigest(f"{k}:{x}") - (1 << 63) for k, x in enumerate(ends)]
 
 
 @dataclass
@@ -130,63 +142,10 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate:
     return model
 
 
-@dataclass
-class UrlModel:
-    stats: dict[int, tuple[float, float]]  # by hash of a suffix: smoothed share of blocked, log count
-    base: float
-    trees: Boosted | None
-    only: str = "allow"
-
-    def matrix(self, features: list[list[float]], keys: list[list[int]]) -> np.ndarray:
-        more = [[v for k in ks for v in self.stats.get(k, (self.base, 0.0))] for ks in keys]
-        return np.hstack([np.array(features, float).reshape(len(keys), N_LEXICAL), np.array(more, float).reshape(len(keys), 2 * N_SUFFIX)])
-
-    def verdicts(self, features: list[list[float]], keys: list[list[int]]) -> np.ndarray:
-        if self.trees is None:
-            return np.full(len(keys), self.only, object)
-        return np.where(self.trees.margin(self.matrix(features, keys)) >= 0, "block", "allow").astype(object)
-
-
-def fit(features: list[list[float]], keys: list[list[int]], blocked: list[bool]) -> UrlModel:
-    """The first half of the rows for suffix statistics, the second for the trees."""
-    if len(set(blocked)) < 2 or len(blocked) < 4:
-        return UrlModel({}, 0.5, None, "block" if blocked and blocked[0] else "allow")
-    half = len(blocked) // 2
-    share = min(max(float(np.mean(blocked[:half])), 1 / half), 1 - 1 / half)
-    sums: dict[int, list[float]] = {}
-    for ks, b in zip(keys[:half], blocked[:half], strict=True):
-        for k in ks:
-            n = sums.setdefault(k, [0.0, 0.0])
-            n[b] += 0.5 / (share if b else 1 - share)
-    model = UrlModel({k: ((b + 2) / (a + b + 4), float(np.log1p(a + b))) for k, (a, b) in sums.items()}, 0.5, None)
-    # a third of the trees' rows are shown as if their suffixes were new, as those of other urls will be
-    shown = [ks if i % 3 else [0] * N_SUFFIX for i, ks in enumerate(keys[half:])]
-    model.trees = boost(model.matrix(features[half:], shown), np.array(blocked[half:], float))
-    return model
-
-
-FEATURES = "features array<double>, " + ", ".join(f"k{i} long" for i in range(N_SUFFIX))
-
-
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first three columns (url, host, path) give way to features and the keys of suffixes."""
-    for batch in batches:
-        rows = [lexical(*x) for x in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)]
-        new = [pa.array([f for f, _ in rows], pa.list_(pa.float64())), *(pa.array([k[i] for _, k in rows], pa.int64()) for i in range(N_SUFFIX))]
-        yield pa.RecordBatch.from_arrays([*new, *batch.columns[3:]], ["features", *(f"k{i}" for i in range(N_SUFFIX)), *batch.schema.names[3:]])
-
-
-def with_counts(rows: DataFrame, counts: DataFrame, allowed: str, blocked: str) -> DataFrame:
-    """rows and, for each of their suffixes, how many labelled urls were allowed (a0, ...) and blocked (b0, ...)."""
-    for i in range(N_SUFFIX):
-        rows = rows.join(counts.select(F.col("key").alias(f"k{i}"), F.col(allowed).alias(f"a{i}"), F.col(blocked).alias(f"b{i}")), f"k{i}", "left")
-    return rows
-
-
-def _matrix(features: list[list[float]], allowed: list[list[int | None]], blocked: list[list[int | None]], share: float, times: int = 1) -> np.ndarray:
+def _matrix(features: list[list[float]], allowed: list, blocked: list, share: float, times: int = 1) -> np.ndarray:
     """Features, smoothed shares of blocked urls and log counts; both kinds of labels weigh the same in sum."""
     x = np.array(features, float).reshape(len(features), N_LEXICAL)
-    a, b = (np.array([[v or 0 for v in r] for r in m], float).reshape(len(features), N_SUFFIX) * times for m in (allowed, blocked))
+    a, b = (np.array(m, float).reshape(len(features), N_SUFFIX) * times for m in (allowed, blocked))
     a, b = a * (0.5 / (1 - share)), b * (0.5 / share)
     more = np.stack([(b + 2) / (a + b + 4), np.log1p(a + b)], axis=2)
     return np.hstack([x, more.reshape(len(features), 2 * N_SUFFIX)])
@@ -200,45 +159,77 @@ class TableModel:
     share: float = 0.5
     only: str = "allow"
 
-    def verdicts(self, features: list[list[float]], allowed: list[list[int | None]], blocked: list[list[int | None]]) -> np.ndarray:
+    def verdicts(self, features: list[list[float]], allowed: list, blocked: list) -> np.ndarray:
         if self.trees is None:
             return np.full(len(features), self.only, object)
         return np.where(self.trees.margin(_matrix(features, allowed, blocked, self.share)) >= 0, "block", "allow").astype(object)
 
 
+COUNTS = ["a", "b", "ha", "hb"]
 A, B = [f"a{i}" for i in range(N_SUFFIX)], [f"b{i}" for i in range(N_SUFFIX)]
 
 
+def _features(batch: pa.RecordBatch) -> list[list[float]]:
+    return [lexical(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("url", "host", "path")), strict=True)]
+
+
+def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_features(batch), pa.list_(pa.float64())), *batch.columns[3:]], ["features", *batch.schema.names[3:]])
+
+
 def _judge(model: TableModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        got = {c: batch.column(c).to_pylist() for c in ["features", *A, *B]}
-        verdict = model.verdicts(got["features"], list(zip(*(got[c] for c in A), strict=True)), list(zip(*(got[c] for c in B), strict=True)))
+        a, b = (np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names], axis=1) for names in (A, B))
+        verdict = model.verdicts(_features(batch), a, b)
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "path", "rule")), pa.array(verdict, pa.string())], ["page_id", "host", "path", "rule", "verdict"])
 
 
-def learn(parsed: DataFrame, n_train: int = N_TRAIN) -> tuple[TableModel, DataFrame]:
-    """From parsed(url, host, path, ruled), the rows that a rule has decided: a model, and counts(key, a, b, ha, hb).
+def suffix_counts(parsed: DataFrame) -> Spilled:
+    """A row for each longest suffix of parsed(url, host, path, ruled).
 
-    a, b: allowed and blocked urls with the key; ha, hb: those in the half that the trees don't learn from.
+    a0 to a2, b0 to b2: how many labelled urls with the suffix, by length, were allowed and blocked;
+    ha0, ...: those in the half that the trees don't learn from; open: urls without a rule.
     """
-    place = F.xxhash64("url")
-    rows = parsed.where("ruled is not null").select("url", "host", "path", (F.col("ruled") == "block").alias("blocked"), place.alias("place"), (F.pmod(F.xxhash64("url", F.lit(1)), F.lit(2)) == 0).alias("learns"))
-    made = rows.mapInArrow(_featured, FEATURES + ", blocked boolean, place long, learns boolean")
-    keys = made.select(F.explode(F.array(*(f"k{i}" for i in range(N_SUFFIX)))).alias("key"), "blocked", "learns")
-    b, half = F.col("blocked"), ~F.col("learns")
-    counts = keys.groupBy("key").agg(F.count_if(~b).alias("a"), F.count_if(b).alias("b"), F.count_if(~b & half).alias("ha"), F.count_if(b & half).alias("hb"))
-    n, n_blocked = rows.agg(F.count("*"), F.count_if("blocked")).first()
-    if n_blocked in (0, n):
-        return TableModel(None, only="block" if n_blocked else "allow"), counts
-    share = n_blocked / n
-    first = rows.where("learns").dropDuplicates(["url"]).orderBy("place", "url").limit(n_train)
-    sample = with_counts(first.mapInArrow(_featured, FEATURES + ", blocked boolean, place long, learns boolean"), counts, "ha", "hb").orderBy("place", "features", "blocked").collect()
+    b, half = F.col("ruled") == "block", ~F.col("learns")
+    ruled = F.col("ruled").isNotNull()
+    own = parsed.select(suffixes(F.col("host"), F.col("path"))[-1].alias("suffix"), "ruled", "learns")
+    sums = own.groupBy("suffix").agg(
+        F.count_if(ruled & ~b).alias("a"), F.count_if(ruled & b).alias("b"), F.count_if(ruled & ~b & half).alias("ha"), F.count_if(ruled & b & half).alias("hb"),
+        F.count_if(~ruled).alias("open"),
+    )
+    k0, k1, _ = shorter(F.col("suffix"))
+    own = {c: f"{c}2" for c in COUNTS}
+    done = Spilled(sums.withColumnsRenamed(own).withColumns({"k0": k0, "k1": k1}), "suffixes")
+    for i in range(2):
+        summed = done.df.groupBy(f"k{i}").agg(*(F.sum(own[c]).alias(f"{c}{i}") for c in COUNTS), F.count("*").alias("suffixes"))
+        before, done = done, Spilled(join_hot(done.df, summed, [f"k{i}"], "suffixes").drop("suffixes"), "suffixes")
+        before.drop()
+    return done
+
+
+def learn(parsed: DataFrame, counts: DataFrame, n_train: int = N_TRAIN) -> TableModel:
+    """From parsed(url, host, path, ruled, learns), the rows that a rule has decided."""
+    n_blocked, n_allowed = counts.agg(F.sum("b2"), F.sum("a2")).first()
+    if not n_blocked or not n_allowed:
+        return TableModel(None, only="block" if n_blocked else "allow")
+    share = n_blocked / (n_blocked + n_allowed)
+    rows = parsed.where("ruled is not null and learns").select("url", "host", "path", (F.col("ruled") == "block").alias("blocked"), F.xxhash64("url").alias("place"))
+    n_urls = rows.agg(F.approx_count_distinct("url")).first()[0]
+    part = min(1.0, 2 * n_train / max(1, n_urls))
+    few = rows.where(F.col("place") <= int((2 * part - 1) * (2**63 - 1))) if part < 1 else rows
+    first = few.dropDuplicates(["url"]).orderBy("place", "url").limit(n_train).withColumn("suffix", suffixes(F.col("host"), F.col("path"))[-1])
+    halves = counts.select("suffix", *(F.col(f"h{c}").alias(c) for c in (*A, *B)))
+    seen = first.join(halves, "suffix").select("url", "host", "path", "blocked", "place", *A, *B)
+    types = ", ".join(f"{c} long" for c in (*A, *B))
+    sample = seen.mapInArrow(_learned, f"features array<double>, blocked boolean, place long, {types}").collect()
+    sample = sorted(sample, key=lambda r: (r.place, r.features, r.blocked))
     y = np.array([r.blocked for r in sample], float)
     if len(set(y)) < 2:
-        return TableModel(None, only="block" if share >= 0.5 else "allow"), counts
+        return TableModel(None, only="block" if share >= 0.5 else "allow")
     # a third of the trees' rows are shown as if their suffixes were new, as those of other urls will be
     a, b = ([[r[c] if i % 3 else 0 for c in cs] for i, r in enumerate(sample)] for cs in (A, B))
-    return TableModel(boost(_matrix([r.features for r in sample], a, b, share, 2), y), share), counts
+    return TableModel(boost(_matrix([r.features for r in sample], a, b, share, 2), y), share)
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, n_train: int = N_TRAIN) -> DataFrame:
@@ -247,11 +238,12 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, n_t
     host, path = split_url(F.col("url"))
     rows = rows.withColumns({"host": host, "path": path})
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.select("page_id", "url", "host", "path", name.alias("rule"), verdict.alias("ruled"))
-    model, counts = learn(rows, n_train)
-    open_ = rows.where("ruled is null").select("url", F.col("host").alias("h"), F.col("path").alias("p"), "page_id", "host", "path", "rule")
-    open_ = open_.mapInArrow(_featured, FEATURES + ", page_id long, host string, path string, rule string")
-    judged = with_counts(open_, counts, "a", "b").mapInArrow(lambda b: _judge(model, b), "page_id long, host string, path string, rule string, verdict string")
+    rows = rows.select("page_id", "url", "host", "path", name.alias("rule"), verdict.alias("ruled"), (F.pmod(F.xxhash64("url", F.lit(1)), F.lit(2)) == 0).alias("learns"))
+    counts = suffix_counts(rows).df
+    model = learn(rows, counts, n_train)
+    open_ = rows.where("ruled is null").select("page_id", "url", "host", "path", "rule", suffixes(F.col("host"), F.col("path"))[-1].alias("suffix"))
+    known = join_hot(open_, counts.select("suffix", "open", *A, *B), ["suffix"], "open").drop("suffix", "open")
+    judged = known.mapInArrow(lambda b: _judge(model, b), "page_id long, host string, path string, rule string, verdict string")
     return rows.where("ruled is not null").select("page_id", "host", "path", "rule", F.col("ruled").alias("verdict")).unionByName(judged)
 
 
