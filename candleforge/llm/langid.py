@@ -7,8 +7,10 @@ ridge regression a language (+1 its own, -1 the rest) is solved. At scoring, lan
 coefficients are one matrix (buckets x languages), so a batch of texts is one matrix product. The
 score is the best language's margin, mapped from [-1, 1] to [0, 1].
 
-Learning takes at most `n_train` labelled rows: those with the smallest hashes of their ids, found
-by ids alone. Executors turn them into bit maps of fixed size, which are what the driver gets.
+Learning takes at most `n_train` different labelled rows: those with the smallest hashes of their ids
+(of rows with one id: of their texts and labels). A number of different ids, estimated by a sketch, says
+under which hash about twice as many lie; only those rows are looked at further, so what is sorted is
+bounded. Executors turn the rows into bit maps of fixed size, of which the driver gets at most `n_train`.
 
 Nulls, ties and odd rows: a null text, or one without a letter, is `und` with score 0, as is all if
 no labelled row is there to learn from. Languages with equal margins: the first by name. Each row is
@@ -108,7 +110,7 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = buffers(column)
         ok = has_letter(column, data, offsets)
         bits = [row.tobytes() for row in np.packbits(presence(data, offsets), axis=1)]
-        yield pa.RecordBatch.from_arrays([pa.array(bits, pa.binary()), batch.column(1), batch.column(2), pa.array(ok)], ["bits", "lang", "place", "ok"])
+        yield pa.RecordBatch.from_arrays([pa.array(bits, pa.binary()), *batch.columns[1:], pa.array(ok)], ["bits", "lang", "place", "own", "ok"])
 
 
 def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,13 +121,19 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(docs: DataFrame, n_train: int = N_TRAIN) -> Model | None:
     """From docs(doc_id, text, lang) without the held-out fifth."""
-    rows = docs.where("lang is not null and text is not null").where(~held_out()).withColumn("place", F.xxhash64(F.col("doc_id").cast("string")))
-    ids = [r.place for r in rows.select("place").orderBy("place").limit(n_train).collect()]
-    if not ids:
+    key = F.col("doc_id").cast("string")
+    rows = docs.where("lang is not null").where(~held_out()).withColumn("place", F.xxhash64(key))
+    n_ids = rows.agg(F.approx_count_distinct("place")).first()[0]
+    share = min(1.0, 2 * n_train / max(1, n_ids))
+    few = rows.where(F.col("place") <= int((2 * share - 1) * (2**63 - 1))) if share < 1 else rows
+    few = few.where("text is not null").withColumn("own", F.xxhash64("text", "lang"))
+    first = few.select("place", "own").distinct().orderBy("place", "own").limit(n_train)
+    last = first.agg(F.max(F.struct("place", "own")).alias("last")).first()[0]  # an aggregate: the limit is worked out by executors
+    if last is None:
         return None
-    sample = rows.where(F.col("place") <= ids[-1]).select("text", "lang", "place")
-    got = sample.mapInArrow(_bits, "bits binary, lang string, place long, ok boolean").where("ok").collect()
-    got = sorted(got, key=lambda r: (r.place, r.lang, r.bits))[:n_train]
+    sample = few.where((F.col("place") < last.place) | ((F.col("place") == last.place) & (F.col("own") <= last.own))).dropDuplicates(["place", "own"])
+    got = sample.select("text", "lang", "place", "own").mapInArrow(_bits, "bits binary, lang string, place long, own long, ok boolean").where("ok").collect()
+    got = sorted(got, key=lambda r: (r.place, r.own))
     if not got:
         return None
     return fit(np.frombuffer(b"".join(r.bits for r in got), np.uint8).reshape(len(got), -1), [r.lang for r in got])
