@@ -1,66 +1,195 @@
 """Linear recurrences y = a * y_before + b over each series, as a block scan.
 
-Rows meet by blocks of time, not by series, so one long series is many tasks. Each block folds its rows
-to the pair (p, s) that maps the value before the block to the value at its end; a second level
-folds BLOCK blocks likewise; the pairs of that level are folded per series (a row for each
-BLOCK * BLOCK rows). The values then flow back down. a = 0 starts anew, which needs no division, so
-restarts and first observations are exact.
+Rows meet by blocks of time, not by series, so one long series is many tasks. A first pass over the blocks
+composes each one's rows to what they do to the value before them; these summaries, a row for each block,
+are folded in order per series; a second pass over the same shuffled rows gives each row its value. In a block, numpy
+composes the maps of rows by doubling, log2 steps over whole columns. a = 0 starts anew, which needs no
+division, so restarts and first observations are exact.
+
+df's other columns travel along, so callers should pass the columns they need, not more.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
+from candleforge.operators.series import starts, to_arrow, to_numpy
 from candleforge.schema import KEY
 
-BLOCK = 128
-_PAIR = "struct<p: double, s: double>"
-
-
-def _apply(p: Column, s: Column, y: Column) -> Column:
-    """A pair's value after y; a NULL y matters only if the pair doesn't start anew."""
-    return F.when(p == 0, s).otherwise(p * y + s)
-
-
-def _then(first: Column, a: Column, b: Column) -> Column:
-    return F.struct(F.when(a == 0, F.lit(0.0)).otherwise(first["p"] * a).alias("p"), F.when(a == 0, b).otherwise(first["s"] * a + b).alias("s"))
-
-
-def _fold(array: Column, p: str, s: str) -> Column:
-    return F.aggregate(array, F.struct(F.lit(1.0).alias("p"), F.lit(0.0).alias("s")), lambda acc, x: _then(acc, x[p], x[s]))
-
-
-def _states(array: Column, p: str, s: str, before: Column) -> Column:
-    """The value before each element."""
-    start = F.struct(F.array().cast("array<double>").alias("out"), before.cast("double").alias("y"))
-    step = lambda acc, x: F.struct(F.concat(acc["out"], F.array(acc["y"])).alias("out"), _apply(x[p], x[s], acc["y"]).alias("y"))
-    return F.aggregate(array, start, step)["out"]
+#: Steps of time in a block.
+BLOCK = 1 << 16
+
+
+def prefix(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(p, s): after row i, y = p[i] * y_before_all + s[i]."""
+    p, s, k = a.copy(), b.copy(), 1
+    while k < len(p):
+        anew = p[k:] == 0
+        s[k:], p[k:] = np.where(anew, s[k:], p[k:] * s[:-k] + s[k:]), np.where(anew, 0.0, p[k:] * p[:-k])
+        k *= 2
+    return p, s
+
+
+def _after(p: np.ndarray, s: np.ndarray, y: float) -> np.ndarray:
+    return np.where(p == 0, s, p * y + s)
+
+
+@dataclass
+class Linear:
+    """Terms in two columns. State: the value."""
+
+    a: str
+    b: str
+    name: str
+    width = 2
+
+    def summary(self, cols: dict[str, np.ndarray]) -> list[float]:
+        p, s = prefix(cols[self.a], cols[self.b])
+        return [p[-1], s[-1]]
+
+    def start(self) -> list[float]:
+        return [np.nan]
+
+    def fold(self, state: list[float], summary: list[float]) -> list[float]:
+        p, s = summary
+        return [s if p == 0 else p * state[0] + s]
+
+    def values(self, cols: dict[str, np.ndarray], state: list[float]) -> np.ndarray:
+        return _after(*prefix(cols[self.a], cols[self.b]), state[0])
+
+
+@dataclass
+class Mean:
+    """An exponential mean. State: the value, rows since the last observation, number of observations."""
+
+    x: str
+    alpha: float
+    least: int
+    name: str
+    width = 6
+
+    def _terms(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(places of observations, a, b), from the second observation on."""
+        at = np.flatnonzero(~np.isnan(x))
+        a, b = np.ones(len(x)), np.zeros(len(x))
+        old = (1 - self.alpha) ** np.diff(at)
+        a[at[1:]] = old / (old + self.alpha)
+        b[at[1:]] = self.alpha * x[at[1:]] / (old + self.alpha)
+        return at, a, b
+
+    def _first(self, state: list[float], at: int, x: float) -> float:
+        y, gap, n = state
+        old = (1 - self.alpha) ** (gap + at + 1)
+        return x if not n else (old * y + self.alpha * x) / (old + self.alpha)
+
+    def summary(self, cols: dict[str, np.ndarray]) -> list[float]:
+        x = cols[self.x]
+        at, a, b = self._terms(x)
+        if not len(at):
+            return [len(x), 0, 0, 0, 1, 0]
+        p, s = prefix(a[at[0] + 1 :], b[at[0] + 1 :])
+        return [len(x) - 1 - at[-1], len(at), at[0], x[at[0]], *((p[-1], s[-1]) if len(p) else (1, 0))]
+
+    def start(self) -> list[float]:
+        return [np.nan, 0, 0]
+
+    def fold(self, state: list[float], summary: list[float]) -> list[float]:
+        gap, n, at, x, p, s = summary
+        if not n:
+            return [state[0], state[1] + gap, state[2]]
+        return [p * self._first(state, int(at), x) + s, gap, state[2] + n]
+
+    def values(self, cols: dict[str, np.ndarray], state: list[float]) -> np.ndarray:
+        x = cols[self.x]
+        at, a, b = self._terms(x)
+        if len(at):
+            a[at[0]], b[at[0]] = 0.0, self._first(state, int(at[0]), x[at[0]])
+        y = _after(*prefix(a, b), state[0])
+        return np.where(state[2] + np.cumsum(~np.isnan(x)) >= self.least, y, np.nan)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """Rows that follow each other with the same values in the columns, as one batch each."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = [*starts(batch, names).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            own = tuple(batch.column(c)[a].as_py() for c in names)
+            if held and own != key:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            key = own
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _columns(block: pa.RecordBatch, reads: set[str]) -> dict[str, np.ndarray]:
+    return {c: to_numpy(block.column(c)) for c in reads}
+
+
+def _summaries(terms: list, reads: set[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in _blocks(batches, [*KEY, "__blk"]):
+        cols = _columns(block, reads)
+        row = [float(v) for t in terms for v in t.summary(cols)]
+        yield pa.RecordBatch.from_arrays([*(block.column(c).slice(0, 1) for c in (*KEY, "__blk")), pa.array([row], pa.list_(pa.float64()))], [*KEY, "__blk", "__state"])
+
+
+def _carries(terms: list, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states before each block, of summaries in order."""
+    last, states = None, []
+    for batch in batches:
+        rows = []
+        for *key, summary in zip(*(batch.column(c).to_pylist() for c in (*KEY, "__state")), strict=True):
+            if key != last:
+                last, states = key, [t.start() for t in terms]
+            rows.append([v for s in states for v in s])
+            at = 0
+            for i, t in enumerate(terms):
+                states[i] = t.fold(states[i], summary[at : at + t.width])
+                at += t.width
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*KEY, "__blk")), pa.array(rows, pa.list_(pa.float64()))], [*KEY, "__blk", "__carry"])
+
+
+def _values(terms: list, reads: set[str], keep: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in _blocks(batches, [*KEY, "__blk"]):
+        cols, carry, at, out = _columns(block, reads), block.column("__carry")[0].as_py(), 0, []
+        for t in terms:
+            n = len(t.start())
+            out.append(to_arrow(t.values(cols, carry[at : at + n])))
+            at += n
+        yield pa.RecordBatch.from_arrays([*(block.column(c) for c in keep), *out], [*keep, *(t.name for t in terms)])
+
+
+def _scan(df: DataFrame, terms: list, reads: set[str], keep: list[str], tf_ms: int) -> DataFrame:
+    block = [*KEY, "__blk"]
+    dealt = df.withColumn("__blk", F.floor(F.col("ts") / (BLOCK * tf_ms))).repartition(*block)
+    found = dealt.sortWithinPartitions(*block, "ts").mapInArrow(lambda b: _summaries(terms, reads, b), _typed(df, "__state"))
+    carry = found.repartition(*KEY).sortWithinPartitions(*block).mapInArrow(lambda b: _carries(terms, b), _typed(df, "__carry"))
+    ready = dealt.join(carry, block).sortWithinPartitions(*block, "ts")
+    schema = StructType([df.schema[c] for c in keep])
+    for t in terms:
+        schema = schema.add(t.name, DoubleType())
+    return ready.mapInArrow(lambda b: _values(terms, reads, keep, b), schema)
+
+
+def _typed(df: DataFrame, name: str) -> str:
+    return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in KEY) + f", __blk long, {name} array<double>"
 
 
 def scan(df: DataFrame, recurrences: dict[str, tuple[Column, Column]], tf_ms: int) -> DataFrame:
     """df with a column for each recurrence (name: a, b). df has KEY and ts, one row for each."""
-    names, columns = list(recurrences), df.columns
-    for n, (a, b) in recurrences.items():
-        df = df.withColumns({f"__a_{n}": a.cast("double"), f"__b_{n}": b.cast("double")})
-    wide = BLOCK * tf_ms
-    keyed = df.withColumn("__blk", F.floor(F.col("ts") / wide))
-    row = F.struct("ts", *[c for c in keyed.columns if c not in (*KEY, "ts", "__blk")])
-    blocks = keyed.groupBy(*KEY, "__blk").agg(F.array_sort(F.collect_list(row)).alias("__rows"))
-    pairs = blocks.select(*KEY, "__blk", F.struct(F.col("__blk").alias("blk"), *[_fold(F.col("__rows"), f"__a_{n}", f"__b_{n}").alias(n) for n in names]).alias("pair"))
-    supers = pairs.groupBy(*KEY, F.floor(F.col("__blk") / BLOCK).alias("__sup")).agg(F.array_sort(F.collect_list("pair")).alias("__pairs"))
-    flat = {n: F.col(f"__pairs.{n}") for n in names}
-    supers = supers.withColumns({f"__{n}": _fold(flat[n], "p", "s") for n in names})
-    before = Window.partitionBy(*KEY).orderBy("__sup").rowsBetween(Window.unboundedPreceding, -1)
-    carried = supers.withColumns({f"__y_{n}": F.aggregate(F.collect_list(f"__{n}").over(before), F.lit(None).cast("double"), lambda y, x: _apply(x["p"], x["s"], y)) for n in names})
-    carried = carried.withColumns({f"__y_{n}": _states(flat[n], "p", "s", F.col(f"__y_{n}")) for n in names})
-    each = carried.select(*KEY, F.explode(F.arrays_zip(F.col("__pairs.blk").alias("blk"), *[F.col(f"__y_{n}").alias(f"y_{n}") for n in names])).alias("x"))
-    carry = each.select(*KEY, F.col("x.blk").alias("__blk"), *[F.col(f"x.y_{n}").alias(f"__c_{n}") for n in names])
-    joined = blocks.join(carry, [*KEY, "__blk"])
-    states = {f"__s_{n}": _states(F.col("__rows"), f"__a_{n}", f"__b_{n}", F.col(f"__c_{n}")) for n in names}
-    rows = joined.withColumns(states).select(*KEY, F.explode(F.arrays_zip(F.col("__rows").alias("r"), *[F.col(s).alias(s) for s in states])).alias("x"))
-    values = {n: _apply(F.col(f"x.r.__a_{n}"), F.col(f"x.r.__b_{n}"), F.col(f"x.__s_{n}")) for n in names}
-    return rows.select(*[F.col(c) if c in KEY else F.col(f"x.r.{c}").alias(c) for c in columns], *[v.alias(n) for n, v in values.items()])
+    return ewm(df, {}, tf_ms, recurrences)
 
 
 def ewm(df: DataFrame, means: dict[str, tuple[str, float, int]], tf_ms: int, more: dict[str, tuple[Column, Column]] | None = None) -> DataFrame:
@@ -69,21 +198,9 @@ def ewm(df: DataFrame, means: dict[str, tuple[str, float, int]], tf_ms: int, mor
     The first observation starts a mean. A NULL leaves it as it is, but its weight keeps falling: after
     k NULLs it is (1 - alpha)**(k + 1) against alpha for the new value.
     """
-    columns = df.columns
-    by_time = Window.partitionBy(*KEY).orderBy("ts")
-    before, upto = by_time.rowsBetween(Window.unboundedPreceding, -1), by_time.rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("__n", F.row_number().over(by_time))
-    inputs = {x for x, _, _ in means.values()}
-    seen = {f"__p_{x}": F.last(F.when(F.col(x).isNotNull(), F.col("__n")), ignorenulls=True).over(before) for x in inputs}
-    df = df.withColumns(seen | {f"__k_{x}": F.count(x).over(upto) for x in inputs})
-    terms = dict(more or {})
-    for name, (x, alpha, _) in means.items():
-        value, last = F.col(x), F.col(f"__p_{x}")
-        old = F.pow(F.lit(1 - alpha), F.col("__n") - last)
-        terms[name] = (
-            F.when(value.isNull(), 1.0).when(last.isNull(), 0.0).otherwise(old / (old + alpha)),
-            F.when(value.isNull(), 0.0).when(last.isNull(), value).otherwise(alpha * value / (old + alpha)),
-        )
-    out = scan(df, terms, tf_ms)
-    known = {name: F.when(F.col(f"__k_{x}") >= n, F.col(name)) for name, (x, _, n) in means.items()}
-    return out.select(*columns, *[known.get(n, F.col(n)).alias(n) for n in terms])
+    columns, terms = df.columns, [Mean(x, alpha, least, name) for name, (x, alpha, least) in means.items()]
+    for name, (a, b) in (more or {}).items():
+        df = df.withColumns({f"__a_{name}": a.cast("double"), f"__b_{name}": b.cast("double")})
+        terms.append(Linear(f"__a_{name}", f"__b_{name}", name))
+    reads = {c for t in terms for c in ([t.x] if isinstance(t, Mean) else [t.a, t.b])}
+    return _scan(df, terms, reads, columns, tf_ms)

@@ -2,7 +2,9 @@
 
 Two variants are kept, because they differ in results: "A" is strict about warm-up (no threshold, no
 vote) and lets a neutral channel width inherit the sign before it; "B" fills thresholds backwards and
-takes a neutral width as a sign of its own.
+takes a neutral width as a sign of its own. What follows from row to row (rolling quantiles, run lengths,
+confirmation, vote, lock) is one pass of kernels over each series' rows (see series); B needs a second, since
+its thresholds are filled from rows to come.
 """
 
 from __future__ import annotations
@@ -15,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candleforge.functions.timegrid import DAY
-from candleforge.operators.islands import confirmed_sign, cooldown, run_length
+from candleforge.operators.islands import ConfirmedSign, Cooldown, Each, RollingQuantile, RunLength, filled
+from candleforge.operators.series import Kernel, by_series
 from candleforge.schema import KEY, by_time, iso, number, onward, so_far, whole_series, with_key
 
 OUTPUT = [
@@ -108,27 +111,83 @@ def _stream(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
     return df.withColumn("__x", x).drop("__own")
 
 
-def _quantile(x: str, q: float, n: int, least: int) -> Column:
-    w = by_time().rowsBetween(-(n - 1), 0)
-    return F.when(F.count(x).over(w) >= least, F.percentile(x, F.lit(q)).over(w))
+def _thresholds(cfg: RegimeConfig, variant: str) -> list[Kernel]:
+    """__thr, of increments."""
+    n, least = (cfg.bocpd_lambda, 10) if variant == "A" else (max(20, cfg.bocpd_lambda), 5)
+    return [RollingQuantile("__abs", 0.80, n, max(least, n // 5), "__thr")]
 
 
-def d3_run_length(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
-    """Adds d3, p_bocpd_trend, chgpt: how long increments have stayed under their rolling quantile."""
+def _calm_thresholds(cfg: RegimeConfig) -> list[Kernel]:
+    """__calm and __high, of days' deviations."""
+    n, least = cfg.N_hmm, max(10, cfg.N_hmm // 6)
+    return [RollingQuantile("__rv", q, n, least, name) for q, name in ((cfg.calm_threshold, "__calm"), (cfg.q_high_rv, "__high"))]
+
+
+def _increments(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
+    """Adds __x and __abs; B adds __thr, filled."""
     df = _stream(df, cfg, variant).withColumn("__abs", F.abs("__x"))
     if variant == "A":
-        n, sigma = cfg.bocpd_lambda, cfg.sigma_L
-        df = df.withColumn("__thr", _quantile("__abs", 0.80, n, max(10, n // 5)))
-    else:
-        n, sigma = max(20, cfg.bocpd_lambda), max(cfg.sigma_L, 1.0)
-        df = df.withColumn("__thr", _quantile("__abs", 0.80, n, max(5, n // 5)))
-        filled = F.coalesce(F.first("__thr", ignorenulls=True).over(onward()), F.last("__thr", ignorenulls=True).over(so_far()), F.percentile("__abs", F.lit(0.5)).over(whole_series()))
-        df = df.withColumn("__thr", filled)
-    df = run_length(df.withColumn("__below", F.coalesce(F.col("__abs") < F.col("__thr"), F.lit(False))), "__below", "__run")
-    p = 1 / (1 + F.exp(-(F.col("__run") - cfg.L_min) / sigma))
-    trend = _int(F.col("__run") >= cfg.L_min)
-    broken = _int((F.lag("__run").over(by_time()) >= cfg.L_min) & (F.col("__run") == 0))
-    return df.withColumns({"d3": 2 * trend - 1, "p_bocpd_trend": p, "chgpt": broken}).drop("__abs", "__thr", "__below", "__run")
+        return df
+    filled_ = F.coalesce(F.first("__thr", ignorenulls=True).over(onward()), F.last("__thr", ignorenulls=True).over(so_far()), F.percentile("__abs", F.lit(0.5)).over(whole_series()))
+    return by_series(df, _thresholds(cfg, variant)).withColumn("__thr", filled_)
+
+
+def _days(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
+    """Adds __rv, each row's day's deviation; B adds __calm and __high, filled."""
+    if variant == "A":
+        return df.withColumn("__rv", daily_rv(df))
+    given = _pick(df, "rv_daily", "ctx_rv_daily")
+    df = df.withColumn("__rv", daily_rv(df) if given is None else given)
+    df = df.withColumn("__rv", F.coalesce(F.last("__rv", ignorenulls=True).over(so_far()), F.lit(0.0)) if given is None else F.coalesce("__rv", F.lit(0.0)))
+    fill = lambda c, q: F.coalesce(F.first(c, ignorenulls=True).over(onward()), F.percentile("__rv", F.lit(q)).over(whole_series()))
+    return by_series(df, _calm_thresholds(cfg)).withColumns({"__calm": fill("__calm", cfg.calm_threshold), "__high": fill("__high", cfg.q_high_rv)})
+
+
+@dataclass
+class ChangePoint:
+    """Adds d3, p_bocpd_trend and chgpt: how long increments have stayed under their threshold."""
+
+    cfg: RegimeConfig
+    variant: str
+
+    def __post_init__(self):
+        self.reads, self.adds = ["__run"], ["d3", "p_bocpd_trend", "chgpt"]
+
+    def __call__(self, cols, state):
+        run, cfg = cols["__run"], self.cfg
+        before = np.concatenate([[0.0 if state is None else state], run[:-1]])
+        sigma = cfg.sigma_L if self.variant == "A" else max(cfg.sigma_L, 1.0)
+        long = run >= cfg.L_min
+        p = 1 / (1 + np.exp(-(run - cfg.L_min) / sigma))
+        return {"d3": 2.0 * long - 1, "p_bocpd_trend": p, "chgpt": 1.0 * ((before >= cfg.L_min) & (run == 0))}, run[-1]
+
+
+def _change_points(cfg: RegimeConfig, variant: str) -> list[Kernel]:
+    own = _thresholds(cfg, variant) if variant == "A" else []
+    return [*own, Each(["__abs", "__thr"], ["__below"], lambda x, t: (1.0 * (x < t),)), RunLength("__below", "__run"), ChangePoint(cfg, variant)]
+
+
+def _calm(cfg: RegimeConfig, variant: str) -> list[Kernel]:
+    """d4, s_hmm_rv (how far the day's volatility is under its calm quantile), high_rv."""
+
+    def judge(rv, calm, high):
+        score = np.clip((calm - rv) / np.where(calm == 0, np.nan, calm), 0, 1)
+        if variant != "A":
+            score = np.nan_to_num(score, nan=0.0)
+        return score, 2.0 * (score > 0.5) - 1, 1.0 * (rv > high)
+
+    return [*(_calm_thresholds(cfg) if variant == "A" else []), Each(["__rv", "__calm", "__high"], ["s_hmm_rv", "d4", "high_rv"], judge)]
+
+
+def _passed(df: DataFrame, kernels: list[Kernel]) -> DataFrame:
+    df = by_series(df, kernels)
+    ints = [c for c in ("d3", "d4", "chgpt", "high_rv", "votes_trend", "votes_flat") if any(c in k.adds for k in kernels)]
+    return df.withColumns({c: F.col(c).cast("int") for c in ints}).drop("__abs", "__thr", "__below", "__run", "__rv", "__calm", "__high")
+
+
+def d3_run_length(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
+    """Adds d3, p_bocpd_trend, chgpt: how long increments have stayed under their rolling quantile."""
+    return _passed(_increments(df, cfg, variant), _change_points(cfg, variant))
 
 
 def daily_rv(df: DataFrame, x: str = "__x") -> Column:
@@ -138,22 +197,7 @@ def daily_rv(df: DataFrame, x: str = "__x") -> Column:
 
 def d4_calm(df: DataFrame, cfg: RegimeConfig, variant: str) -> DataFrame:
     """Adds d4, s_hmm_rv (how far the day's volatility is under its calm quantile), high_rv."""
-    n, least = cfg.N_hmm, max(10, cfg.N_hmm // 6)
-    if variant == "A":
-        df = df.withColumn("__rv", daily_rv(df))
-        df = df.withColumns({"__calm": _quantile("__rv", cfg.calm_threshold, n, least), "__high": _quantile("__rv", cfg.q_high_rv, n, least)})
-    else:
-        given = _pick(df, "rv_daily", "ctx_rv_daily")
-        df = df.withColumn("__rv", daily_rv(df) if given is None else given)
-        df = df.withColumn("__rv", F.coalesce(F.last("__rv", ignorenulls=True).over(so_far()), F.lit(0.0)) if given is None else F.coalesce("__rv", F.lit(0.0)))
-        df = df.withColumns({"__calm": _quantile("__rv", cfg.calm_threshold, n, least), "__high": _quantile("__rv", cfg.q_high_rv, n, least)})
-        fill = lambda c, q: F.coalesce(F.first(c, ignorenulls=True).over(onward()), F.percentile("__rv", F.lit(q)).over(whole_series()))
-        df = df.withColumns({"__calm": fill("__calm", cfg.calm_threshold), "__high": fill("__high", cfg.q_high_rv)})
-    score = _clip((F.col("__calm") - F.col("__rv")) / F.nullif(F.col("__calm"), F.lit(0.0)))
-    if variant != "A":
-        score = F.coalesce(score, F.lit(0.0))
-    df = df.withColumns({"s_hmm_rv": score, "high_rv": _int(F.col("__rv") > F.col("__high"))})
-    return df.withColumn("d4", 2 * _int(F.col("s_hmm_rv") > 0.5) - 1).drop("__rv", "__calm", "__high")
+    return _passed(_days(df, cfg, variant), _calm(cfg, variant))
 
 
 def hmm_calm(rv: np.ndarray, n_iter: int = 100, tol: float = 1e-3) -> np.ndarray:
@@ -196,40 +240,67 @@ def d4_hmm(df: DataFrame, cfg: RegimeConfig) -> DataFrame:
 
     got = narrow.groupBy(*KEY).applyInPandas(fit, "symbol string, tf string, ts long, s_hmm_rv double")
     df = df.join(got, [*KEY, "ts"])
-    low = _quantile("s_hmm_rv", 1 - cfg.q_high_rv, cfg.N_hmm, max(10, cfg.N_hmm // 6))
-    df = df.withColumn("__low", low)
+    df = by_series(df, [RollingQuantile("s_hmm_rv", 1 - cfg.q_high_rv, cfg.N_hmm, max(10, cfg.N_hmm // 6), "__low")])
     low = F.coalesce(F.first("__low", ignorenulls=True).over(onward()), F.percentile("s_hmm_rv", F.lit(1 - cfg.q_high_rv)).over(whole_series()))
     df = df.withColumn("high_rv", _int(F.col("s_hmm_rv") < low))
     return df.withColumn("d4", 2 * _int(F.col("s_hmm_rv") > 0.5) - 1).drop("__rv", "__low")
 
 
-def detectors(features: DataFrame, tf: str, cfg: RegimeConfig = RegimeConfig(), variant: str = "A", hmm: bool = False) -> DataFrame:
+def _prepared(features: DataFrame, tf: str, cfg: RegimeConfig, variant: str, hmm: bool) -> tuple[DataFrame, list[Kernel]]:
+    """What the kernels of the detectors read, and no other column; and those kernels."""
     if variant not in ("A", "B"):
         raise ValueError(f"variant: {variant}")
-    df = d3_run_length(d2_donchian(d1_adx(regime_input(features, tf), cfg), cfg), cfg, variant)
-    return d4_hmm(df, cfg) if hmm else d4_calm(df, cfg, variant)
+    df = _increments(d2_donchian(d1_adx(regime_input(features, tf), cfg), cfg), cfg, variant)
+    df = d4_hmm(df, cfg) if hmm else _days(df, cfg, variant)
+    reads = {"__abs", "__thr", "__rv", "__calm", "__high", "d4", "s_hmm_rv", "high_rv"} & set(df.columns) - ({"__rv"} if hmm else set())
+    df = df.select(*KEY, "ts", "d1", "s_adx", "d2", "s_donch", *sorted(reads))
+    return df, [*_change_points(cfg, variant), *([] if hmm else _calm(cfg, variant))]
+
+
+def detectors(features: DataFrame, tf: str, cfg: RegimeConfig = RegimeConfig(), variant: str = "A", hmm: bool = False) -> DataFrame:
+    """KEY, ts, d1 to d4 and what they derive from."""
+    return _passed(*_prepared(features, tf, cfg, variant, hmm))
+
+
+def _confirming(tf: str, cfg: RegimeConfig, variant: str) -> list[Kernel]:
+    return [ConfirmedSign(f"d{k}", cfg.N_conf.get(tf, 5), f"v{k}", variant == "A") for k in "1234"]
+
+
+@dataclass
+class Vote:
+    """Adds votes_trend, votes_flat and signal (1, -1; the one before if neither has enough, 0 at first)."""
+
+    cfg: RegimeConfig
+
+    def __post_init__(self):
+        self.reads, self.adds = ["v1", "v2", "v3", "v4"], ["votes_trend", "votes_flat", "signal"]
+
+    def __call__(self, cols, state):
+        up, down = (sum(np.where(sign * cols[v] > 0, 1.0, 0.0) for v in self.reads) for sign in (1, -1))
+        raw = np.where(up >= self.cfg.vote_K, 1.0, np.where(down >= self.cfg.vote_K, -1.0, np.nan))
+        signal = filled(raw, 0.0 if state is None else state)
+        return {"votes_trend": up, "votes_flat": down, "signal": signal}, signal[-1]
 
 
 def confirm(df: DataFrame, tf: str, cfg: RegimeConfig, variant: str) -> DataFrame:
     """Adds v1 to v4: the detectors' signs that have held for the timeframe's number of rows."""
-    for k in "1234":
-        df = confirmed_sign(df, f"d{k}", cfg.N_conf.get(tf, 5), f"v{k}", carry_zero=variant == "A")
-    return df
+    return by_series(df, _confirming(tf, cfg, variant))
 
 
 def vote(df: DataFrame, cfg: RegimeConfig) -> DataFrame:
     """Adds votes_trend, votes_flat and signal (1, -1; the one before if neither has enough, 0 at first)."""
-    up = sum((_int(F.col(f"v{k}") > 0) for k in "234"), _int(F.col("v1") > 0))
-    down = sum((_int(F.col(f"v{k}") < 0) for k in "234"), _int(F.col("v1") < 0))
-    df = df.withColumns({"votes_trend": up, "votes_flat": down})
-    df = df.withColumn("__raw", F.when(F.col("votes_trend") >= cfg.vote_K, 1.0).when(F.col("votes_flat") >= cfg.vote_K, -1.0))
-    return df.withColumn("signal", F.coalesce(F.last("__raw", ignorenulls=True).over(so_far()), F.lit(0.0))).drop("__raw")
+    return _passed(df, [Vote(cfg)])
+
+
+def needed_features(cfg: RegimeConfig = RegimeConfig()) -> list[str]:
+    """The features that `infer_regime` reads, by the names that `compute_features` gives."""
+    return ["f_adx_14", "f_pdi_14", "f_mdi_14", f"f_donch_width_pct_{cfg.donch_window}", "f_logret1"]
 
 
 def infer_regime(features: DataFrame, tf: str, cfg: RegimeConfig = RegimeConfig(), variant: str = "A", hmm: bool = False) -> DataFrame:
-    """A row a bar with the columns of OUTPUT. features: what compute_features returns, or the like."""
-    voted = vote(confirm(detectors(features, tf, cfg, variant, hmm), tf, cfg, variant), cfg)
-    df = cooldown(voted, "signal", cfg.N_cooldown.get(tf, 5), "hysteresis_state")
+    """A row a bar with the columns of OUTPUT. features: what compute_features returns, or the like; `needed_features` are enough."""
+    df, kernels = _prepared(features, tf, cfg, variant, hmm)
+    df = _passed(df, [*kernels, *_confirming(tf, cfg, variant), Vote(cfg), Cooldown("signal", cfg.N_cooldown.get(tf, 5), "hysteresis_state")])
     return df.select(
         F.col("ts").alias("timestamp_ms"), iso("ts").alias("start_time_iso"), "symbol", "tf",
         F.when(F.col("hysteresis_state") > 0, "trend").otherwise("flat").alias("regime"), F.col("high_rv").cast("byte").alias("high_rv"),

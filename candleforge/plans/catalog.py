@@ -189,7 +189,7 @@ def content_digest(spark, sf):
   ASOF LEFT JOIN (SELECT symbol, ts - ts % 86400000 AS day, stddev_samp(lr) AS rv FROM x GROUP BY 1, 2) r ON l.symbol = r.symbol AND l.day >= r.day"""))
 def asof_rv(spark, sf):
     """The last known daily deviation at each bar: union, then the last value over time."""
-    x = FT.basic(hourly(spark, sf), FT.FeatureConfig())
+    x = FT.basic(hourly(spark, sf), FT.FeatureConfig(), {"f_logret1"})
     day = G.floor_ts("ts", G.DAY)
     daily = x.groupBy("symbol", day.alias("at")).agg(F.stddev_samp("f_logret1").alias("rv")).withColumns({"ts": F.lit(None).cast("long"), "side": F.lit(0)})
     left = event_bars(spark, sf).select("symbol", "ts", day.alias("at"), F.lit(None).cast("double").alias("rv"), F.lit(1).alias("side"))
@@ -307,17 +307,12 @@ def latency_check(spark, sf):
 # Features
 
 
-def _windowed(spark, sf):
-    cfg = FT.FeatureConfig()
-    return FT.windowed(FT.basic(hourly(spark, sf), cfg), cfg)
+def _full(spark, sf, columns=None):
+    return FT.compute_features(hourly(spark, sf), "1h", columns=columns)
 
 
-def _full(spark, sf):
-    return FT.compute_features(hourly(spark, sf), "1h")
-
-
-def _features(name: str, columns: dict[str, str], source: str, build=_windowed):
-    f = lambda spark, sf: build(spark, sf).select("symbol", "ts", *columns)
+def _features(name: str, columns: dict[str, str], source: str):
+    f = lambda spark, sf: _full(spark, sf, list(columns)).select("symbol", "ts", *columns)
     f.__name__ = name
     query(sql("SELECT symbol, ts, " + ", ".join(f"round({e}, 6) AS {c}" for c, e in columns.items()) + f" FROM {source} WINDOW w AS (PARTITION BY symbol ORDER BY ts)"))(f)
 
@@ -349,11 +344,11 @@ _features("f_vwap_roll", {"f_vwap_roll_96": _VWAP, "f_vwap_dev_pct_96": f"(c - {
 _DAY = "sum((h + l + c) / 3 * v) OVER s / nullif(sum(v) OVER s, 0)".replace("OVER s", "OVER (PARTITION BY symbol, ts // 86400000 ORDER BY ts ROWS UNBOUNDED PRECEDING)")
 _features("f_vwap_session", {"f_vwap_session": _DAY, "f_vwap_session_dev_pct": f"(c - {_DAY}) / ({_DAY})"}, "x")
 _features("f_liquidity", {"f_liq_proxy": "t", "f_spread_proxy": f"({_over('max(h)', 20)} - {_over('min(l)', 20)}) / c"}, "x")
-_features("f_atr", {"f_atr_14": "atr", "f_atr_pct_14": "atr / c", "f_atr_z_14": _z("atr", 14).replace("rn >= 14", "rn >= 27")}, "m", _full)
-_features("f_ema", {k: e for n in (20, 50) for k, e in ((f"f_ema_close_{n}", f"e{n}"), (f"f_ema_slope_{n}", f"(e{n} - lag(e{n}) OVER w) / lag(e{n}) OVER w"))}, "m", _full)
-_features("f_rsi", {"f_rsi_14": "100 - 100 / (1 + wu / nullif(wd, 0))"}, "m", _full)
-_features("f_adx", {"f_pdi_14": "pdi", "f_mdi_14": "mdi", "f_adx_14": "adx"}, "f", _full)
-_features("f_kama", {"f_kama_10": "k"}, "er JOIN (SELECT symbol AS sy, rn AS r, k FROM ka) q ON symbol = sy AND rn = r", _full)
+_features("f_atr", {"f_atr_14": "atr", "f_atr_pct_14": "atr / c", "f_atr_z_14": _z("atr", 14).replace("rn >= 14", "rn >= 27")}, "m")
+_features("f_ema", {k: e for n in (20, 50) for k, e in ((f"f_ema_close_{n}", f"e{n}"), (f"f_ema_slope_{n}", f"(e{n} - lag(e{n}) OVER w) / lag(e{n}) OVER w"))}, "m")
+_features("f_rsi", {"f_rsi_14": "100 - 100 / (1 + wu / nullif(wd, 0))"}, "m")
+_features("f_adx", {"f_pdi_14": "pdi", "f_mdi_14": "mdi", "f_adx_14": "adx"}, "f")
+_features("f_kama", {"f_kama_10": "k"}, "er JOIN (SELECT symbol AS sy, rn AS r, k FROM ka) q ON symbol = sy AND rn = r")
 
 
 _MOVED = "sum(CASE WHEN step <> 0 THEN v ELSE 0 END) OVER a <> 0"
@@ -378,9 +373,9 @@ def feature_input_wide(spark, sf):
 @query(sql("SELECT symbol, ts, " + ", ".join(f"round({e}, 6) AS {c}" for c, e in {"f_close_z_60": _z("c", 60), "f_rv_20": "CASE WHEN rn >= 21 THEN stddev_samp(lr) OVER (PARTITION BY symbol ORDER BY ts ROWS 19 PRECEDING) END", "f_vwap_roll_96": _VWAP, "f_mom_100": "c / nullif(lag(c, 100) OVER w, 0) - 1"}.items()) + " FROM x WINDOW w AS (PARTITION BY symbol ORDER BY ts)"))
 def f_rolling_sharded(spark, sf):
     """Rolling features by shards of ten days with a halo."""
-    cfg = FT.FeatureConfig()
-    out = by_shards(hourly(spark, sf), lambda b: FT.windowed(FT.basic(b, cfg), cfg), "1h", 102, days=10)
-    return out.select("symbol", "ts", "f_close_z_60", "f_rv_20", "f_vwap_roll_96", "f_mom_100")
+    columns = ["f_close_z_60", "f_rv_20", "f_vwap_roll_96", "f_mom_100"]
+    out = by_shards(hourly(spark, sf), lambda b: FT.compute_features(b, "1h", columns=columns), "1h", 102, days=10)
+    return out.select("symbol", "ts", *columns)
 
 
 @query(None)
@@ -392,7 +387,7 @@ def features_all(spark, sf):
 
 
 def _regime_input(spark, sf):
-    return _full(spark, sf)
+    return _full(spark, sf, R.needed_features())
 
 
 @query(sql("SELECT symbol, ts, d1, round(s_adx, 6) AS s_adx FROM r1"))
@@ -402,16 +397,16 @@ def d1_adx(spark, sf):
 
 @query(sql("SELECT symbol, ts, d2, round(s_donch, 6) AS s_donch FROM r2"))
 def d2_donchian(spark, sf):
-    return R.d2_donchian(R.regime_input(_windowed(spark, sf), "1h"), R.RegimeConfig()).select("symbol", "ts", "d2", "s_donch")
+    return R.d2_donchian(R.regime_input(_full(spark, sf, ["f_donch_width_pct_20"]), "1h"), R.RegimeConfig()).select("symbol", "ts", "d2", "s_donch")
 
 
 def _detector(v: str):
     def d3(spark, sf):
-        df = FT.basic(hourly(spark, sf), FT.FeatureConfig())
+        df = FT.basic(hourly(spark, sf), FT.FeatureConfig(), {"f_logret1"})
         return R.d3_run_length(R.regime_input(df, "1h"), R.RegimeConfig(), v.upper()).select("symbol", "ts", "d3", "p_bocpd_trend", "chgpt")
 
     def d4(spark, sf):
-        df = FT.basic(hourly(spark, sf), FT.FeatureConfig()).withColumn("__x", F.col("f_logret1"))
+        df = FT.basic(hourly(spark, sf), FT.FeatureConfig(), {"f_logret1"}).withColumn("__x", F.col("f_logret1"))
         return R.d4_calm(R.regime_input(df, "1h"), R.RegimeConfig(), v.upper()).select("symbol", "ts", "d4", "s_hmm_rv", "high_rv")
 
     d3.__name__, d4.__name__ = f"d3_run_length_{v}", f"d4_calm_{v}"
@@ -465,5 +460,5 @@ SELECT s.symbol, s.ts, s.sig, z.now::DOUBLE AS locked FROM s JOIN z ON s.symbol
 def regime_cooldown(spark, sf):
     from candleforge.operators.islands import cooldown
 
-    df = FT.basic(hourly(spark, sf), FT.FeatureConfig()).select("symbol", "tf", "ts", F.when(F.col("__step") > 0, 1).otherwise(-1).alias("sig"))
+    df = FT.basic(hourly(spark, sf), FT.FeatureConfig(), {"__step"}).select("symbol", "tf", "ts", F.when(F.col("__step") > 0, 1).otherwise(-1).alias("sig"))
     return cooldown(df, "sig", 5, "locked").select("symbol", "ts", "sig", "locked")
