@@ -163,7 +163,8 @@ def _carries(terms: list, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 def _values(terms: list, reads: set[str], keep: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in _blocks(batches, [*KEY, "__blk"]):
-        cols, carry, at, out = _columns(block, reads), block.column("__carry")[0].as_py(), 0, []
+        carry = block.column("__carry")[0].as_py() or [v for t in terms for v in t.start()]  # rows without a key start anew
+        cols, at, out = _columns(block, reads), 0, []
         for t in terms:
             n = len(t.start())
             out.append(to_arrow(t.values(cols, carry[at : at + n])))
@@ -176,7 +177,8 @@ def _scan(df: DataFrame, terms: list, reads: set[str], keep: list[str], tf_ms: i
     dealt = df.withColumn("__blk", F.floor(F.col("ts") / (BLOCK * tf_ms))).repartition(*block)
     found = dealt.sortWithinPartitions(*block, "ts").mapInArrow(lambda b: _summaries(terms, reads, b), _typed(df, "__state"))
     carry = found.repartition(*KEY).sortWithinPartitions(*block).mapInArrow(lambda b: _carries(terms, b), _typed(df, "__carry"))
-    ready = dealt.join(carry, block).sortWithinPartitions(*block, "ts")
+    # an inner join would filter its side by keys that aren't null, and the shuffle would be done twice
+    ready = dealt.join(carry, block, "left").sortWithinPartitions(*block, "ts")
     schema = StructType([df.schema[c] for c in keep])
     for t in terms:
         schema = schema.add(t.name, DoubleType())
