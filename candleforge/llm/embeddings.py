@@ -1,6 +1,8 @@
 """Embedding near-dedup: random-hyperplane sign hashing, exact cosines, connected components.
 
-Two vectors of one label link when their cosine, in double precision, is at least `threshold`. Equal
+Two vectors of one label link when their cosine, in double precision, is at least `threshold`. Components
+are float or double, as in the input: other types are taken as doubles. Vectors are divided by their greatest
+component first, so no square of a very large or small one gets lost. Equal
 vectors of a label are one class and travel as one row. Each class gets a signature of `bits` signs
 in each of several tables; classes that share a signature in some table are compared. At the
 threshold, a pair shares one with probability p**bits a table, p = 1 - acos(threshold) / pi, so the
@@ -15,8 +17,9 @@ to different tasks, so that the largest group meets in pieces and still no pair
 
 Nulls, ties and odd rows: vectors that are null, empty, zero or hold a null or non-finite component,
 and rows with a null label, link with nothing. Vectors of different lengths don't link. Rows that
-repeat a vec_id are one node with the links of all its rows. Rows without vec_id link with nothing;
-their component is null. Only vec_id, embedding and label are read. Empty in, empty out.
+repeat a vec_id are one node of the components; each row's links are counted by its own vector. Rows without vec_id link with nothing;
+their component is null. Rows that link with nothing by rule are not shuffled to find their class; classes with
+over 1/HOT of the rows are found by a broadcast. Only vec_id, embedding and label are read. Empty in, empty out.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.llm.graph import components
-from candleforge.llm.shared import Spilled, grouped, local_roots, parts
+from candleforge.llm.shared import Spilled, grouped, join_hot, local_roots, parts
 from candleforge.llm.text import U, mix
 
 THRESHOLD, MISS, BLOCK, SEED = 0.93, 1e-3, 1024, 11
@@ -51,40 +54,40 @@ def signatures(v: np.ndarray, bits: int, tables: int) -> np.ndarray:
     return signs @ (1 << np.arange(bits, dtype=np.int64))
 
 
-def _vectors(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<f4").astype(np.float64) for x in column.to_pylist()]
+def _unit(v: np.ndarray) -> np.ndarray:
+    v = v / np.abs(v).max(axis=1)[:, None]
+    return v / np.sqrt((v * v).sum(axis=1))[:, None]
 
 
-def _signed(bits: int, tables: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signed(bits: int, tables: int, wire: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each class and table: bucket, nth table, class, copies, vector, all signatures."""
     for whole in batches:
         for batch in (whole.slice(a, _ROWS) for a in range(0, whole.num_rows, _ROWS)):
-            lists = [np.array(x, np.float32) for x in batch.column(3).to_pylist()]
+            lists = [np.array(x, wire) for x in batch.column(3).to_pylist()]
             sizes = np.array([len(x) for x in lists])
             sig = np.zeros((len(lists), tables), np.int64)
             for d in np.unique(sizes):
                 own = np.flatnonzero(sizes == d)
-                sig[own] = signatures(np.stack([lists[i] for i in own]).astype(np.float64), bits, tables)
+                sig[own] = signatures(_unit(np.stack([lists[i] for i in own]).astype(np.float64)), bits, tables)
             label = batch.column(1).to_numpy().astype(np.int64)
             key = mix(mix(label.astype(U) * U(0x9E3779B97F4A7C15) + sizes.astype(U))[:, None] + (np.arange(tables).astype(U) << U(32)) + sig.astype(U))
             each = np.repeat(np.arange(len(lists)), tables)
-            vec = pa.array([x.astype("<f4").tobytes() for x in lists], pa.binary())
+            vec = pa.array([x.tobytes() for x in lists], pa.binary())
             raw = pa.array([x.astype("<i4").tobytes() for x in sig], pa.binary())
             take = pa.array(each)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(lists))), batch.column(0).take(take), batch.column(2).take(take), vec.take(take), raw.take(take)],
-                ["bucket", "nth", "cls", "copies", "vec", "sigs"],
+                [pa.array(key.ravel().view(np.int64)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(lists))), batch.column(0).take(take), batch.column(2).take(take), vec.take(take), raw.take(take), batch.column(4).take(take)],
+                ["bucket", "nth", "cls", "copies", "vec", "sigs", "sub"],
             )
 
 
-def _compare(threshold: float, rows: list[tuple]) -> list[tuple[int, int, int]]:
-    """(class, links, an id of its component) of one bucket, or of two blocks of one."""
+def _compare(threshold: float, wire: str, rows: list[tuple]) -> list[tuple[int, int, int, int]]:
+    """(class's id and hash, links, an id of its component) of one bucket, or of two blocks of one."""
     nth, first = rows[0][1], rows[0][2]
     ids = np.array([r[4] for r in rows], np.int64)
     copies = np.array([r[5] for r in rows], np.int64)
-    v = np.stack([np.frombuffer(r[6], "<f4") for r in rows]).astype(np.float64)
+    v = _unit(np.stack([np.frombuffer(r[6], wire) for r in rows]).astype(np.float64))
     sigs = np.stack([np.frombuffer(r[7], "<i4") for r in rows])
-    v /= np.sqrt((v * v).sum(axis=1))[:, None]
     if first == rows[0][3]:  # within one block
         i, j = np.nonzero(np.triu(v @ v.T >= threshold, 1))
     else:
@@ -98,29 +101,31 @@ def _compare(threshold: float, rows: list[tuple]) -> list[tuple[int, int, int]]:
         return []
     n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
     root = local_roots(ids, i, j)
-    return [(int(c), int(k), int(r)) for c, k, r in zip(ids, n, root, strict=True) if k]
+    return [(int(c), row[9], int(k), int(r)) for row, c, k, r in zip(rows, ids, n, root, strict=True) if k]
 
 
-def _buckets(threshold: float, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _buckets(threshold: float, wire: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     out: list[tuple] = []
     for rows in grouped(batches, 4):
-        out += _compare(threshold, rows)
+        out += _compare(threshold, wire, rows)
         if len(out) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "links", "root"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "sub", "links", "root"])
             out = []
     if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "links", "root"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "sub", "links", "root"])
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of vectors(vec_id, embedding, label)."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"), F.col("label").cast("long").alias("label"))
+    float_ = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    kind, wire = ("array<float>", "<f4") if float_ else ("array<double>", "<f8")
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"), F.col("label").cast("long").alias("label"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     sound = F.coalesce(F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     valid = rows.where(sound)
-    classes = Spilled(valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies")).select("cls", "label", "copies", "embedding"), "vector-classes")
+    classes = Spilled(valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies")).select("cls", "label", "copies", "embedding", F.xxhash64("embedding").alias("sub")), "vector-classes")
     bits, tables = plan_tables(classes.df.count(), threshold)
-    signed = classes.df.mapInArrow(lambda b: _signed(bits, tables, b), "bucket long, nth int, cls long, copies long, vec binary, sigs binary")
+    signed = classes.df.mapInArrow(lambda b: _signed(bits, tables, wire, b), "bucket long, nth int, cls long, copies long, vec binary, sigs binary, sub long")
     large = Spilled(signed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large-buckets")
     n_large = large.df.count()
     if n_large:
@@ -131,17 +136,20 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         dealt = dealt.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
     else:
         dealt = signed.withColumns({"own": F.lit(0), "a": F.lit(0), "b": F.lit(0)})
-    dealt = dealt.select("bucket", "nth", "a", "b", "cls", "copies", "vec", "sigs", "own")
+    dealt = dealt.select("bucket", "nth", "a", "b", "cls", "copies", "vec", "sigs", "own", "sub")
     met = dealt.repartition(parts(rows.sparkSession), "bucket", "a", "b").sortWithinPartitions("bucket", "nth", "a", "b")
-    found = Spilled(met.mapInArrow(lambda b: _buckets(threshold, b), "cls long, links long, root long"), "links")
-    linked = found.df.groupBy("cls").agg(F.sum("links").alias("links"))
+    found = Spilled(met.mapInArrow(lambda b: _buckets(threshold, wire, b), "cls long, sub long, links long, root long"), "links")
+    linked = found.df.groupBy("cls", "sub").agg(F.sum("links").alias("links"))
     groups = components(found.df.select(F.col("cls").alias("a"), F.col("root").alias("b")))
-    per_class = classes.df.select("cls", "label", "embedding", "copies").join(linked, "cls", "left").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
+    per_class = classes.df.join(linked, ["cls", "sub"], "left").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
+    per_class = Spilled(per_class, "vector-groups")
     # a row finds its class by the vector itself
-    out = rows.withColumn("sound", sound).join(per_class.withColumn("sound", F.lit(True)), ["sound", "label", "embedding"], "left")
-    n_links = F.coalesce(F.col("links"), F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
-    component = F.coalesce("component", "cls", "vec_id")
-    return out.select("vec_id", n_links.cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
+    out = join_hot(valid, per_class.df, ["label", "embedding"], "copies")
+    n_links = F.coalesce(F.col("links"), F.lit(0)) + F.col("copies") - 1
+    component = F.coalesce("component", "cls")
+    out = out.select("vec_id", n_links.cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept"))
+    alone = rows.where(~sound).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    return out.unionByName(alone)
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
