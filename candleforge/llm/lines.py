@@ -9,6 +9,8 @@ there belong to their old owners, the others (the anti-join) become a run of lev
 has `fanout` runs, they are merged into one sorted run of the next level, so that n batches leave
 O(fanout * log n) runs and each key is rewritten O(log n) times.
 
+A line in over 1/HOT of a batch's documents meets them by a broadcast.
+
 Nulls, ties and odd rows: a null or empty text is one empty line. Rows without an id own no line
 and lose none. Rows that repeat an id are one document. Other columns are passed over, so their
 names can't clash. An empty table gives an empty table.
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleforge.llm.shared import Spilled, new_folder, read_text, write_text
+from candleforge.llm.shared import Spilled, join_hot, new_folder, read_text, write_text
 from candleforge.llm.text import SPACE, shards
 
 MIN_CHARS = 10
@@ -98,13 +100,13 @@ class LineRuns:
         """Take in a batch of (doc_id, text); return (doc_id, drops: its documents' lost lines' hashes), written."""
         keys = Spilled(docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_keys, "h1 long, h2 long, doc_id long"), "line-keys")
         seen = [n for level in self.levels for n in level]
-        first = keys.df.groupBy("h1", "h2").agg(F.min("doc_id").alias("mine"), (F.min("doc_id") < F.max("doc_id")).alias("several"))
+        first = keys.df.groupBy("h1", "h2").agg(F.min("doc_id").alias("mine"), (F.min("doc_id") < F.max("doc_id")).alias("several"), F.count("*").alias("n"))
         if seen:
             old = first.join(self._read(seen).hint("merge"), ["h1", "h2"], "left")
         else:
             old = first.withColumn("owner", F.lit(None).cast("long"))
-        owners = Spilled(old.select("h1", "h2", F.col("owner").isNull().alias("fresh"), F.coalesce("owner", "mine").alias("owner"), "several"), "line-owners")
-        lost = keys.df.join(owners.df.where("several or not fresh"), ["h1", "h2"]).where("owner <> doc_id")
+        owners = Spilled(old.select("h1", "h2", F.col("owner").isNull().alias("fresh"), F.coalesce("owner", "mine").alias("owner"), "several", "n"), "line-owners")
+        lost = join_hot(keys.df, owners.df.where("several or not fresh").select("h1", "h2", "owner", "n"), ["h1", "h2"], "n").where("owner <> doc_id")
         drops = Spilled(lost.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops")), "line-drops")
         self._write(owners.df.where("fresh"), 0)
         self._compact()
