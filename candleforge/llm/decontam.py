@@ -12,8 +12,9 @@ windows at once, and suffix positions sampled at each run's first word and every
 which the occurrences walk back. No shuffle; the index lives in one task's memory, in proportion to
 the shard.
 
-The benchmark is the stated query set. It goes to the tasks in blocks of at most BLOCK_BYTES of text,
-one pass over the documents for each block.
+The benchmark is the stated query set. It goes to the tasks in blocks of at most BLOCK_BYTES of text (or
+one item), broadcast up to PASS_BYTES at a time: one pass over the documents handles that much, and the driver and
+each executor hold no more. Before a further pass, what was found is written.
 
 Nulls, ties and odd rows: a null or empty text has no words. Items without an id or words are left
 out; rows that repeat an item_id add to the same item. Each document row is handled by itself, so
@@ -31,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from candleforge.llm.shared import Spilled
 from candleforge.llm.text import U, buffers, shards, word_bounds, words
 
 WINDOW = 10
 SAMPLE = 8
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES, PASS_BYTES = 16 << 20, 64 << 20
 _SHARD, _SLICE = 8 << 20, 1 << 20
 _FILTER = (1 << 20) - 1
 SPANS = "array<struct<a: int, b: int, from: int, to: int>>"
@@ -255,6 +257,24 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), *batch.columns[2:]], batch.schema.names)
 
 
+def _passes(benchmark: DataFrame) -> Iterator[list[list[tuple[int, str]]]]:
+    held, size = [], 0
+    for block in _blocks(benchmark):
+        held.append(block)
+        size += sum(len(t.encode()) for _, t in block)
+        if size >= PASS_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _pass(blocks: list[Windows], cut: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for block in blocks:
+        batches = _scan(block, batches)
+    return _cut(batches) if cut else batches
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), cut: bool = False) -> DataFrame:
     """docs' columns `keep` and its text, with n_words, spans and items.
 
@@ -262,12 +282,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("
     of the text. items: the sorted ids of the items with a window in the text. cut: the text is
     returned without its spans.
     """
+    context = docs.sparkSession.sparkContext
     out = docs.select(F.struct(*keep).alias("key"), "text", F.lit(0).cast("long").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<long>").alias("items"))
-    schema = out.schema
-    blocks = [Windows(x) for x in _blocks(benchmark)] or [Windows([])]
-    for k, block in enumerate(blocks):
-        last = cut and k == len(blocks) - 1
-        out = out.mapInArrow(lambda batches, block=block, last=last: _cut(_scan(block, batches)) if last else _scan(block, batches), schema)
+    schema, passes, written = out.schema, _passes(benchmark), None
+    now = next(passes, [[]])
+    while now is not None:
+        after = next(passes, None)
+        blocks = context.broadcast([Windows(x) for x in now])
+        out = out.mapInArrow(lambda b, blocks=blocks, last=cut and after is None: _pass(blocks.value, last, b), schema)
+        if after is not None:
+            before, written = written, Spilled(out, "leaks")
+            out = written.df
+            blocks.destroy()
+            if before:
+                before.drop()
+        now = after
     return out.select("key.*", "text", "n_words", "spans", "items")
 
 

@@ -67,6 +67,7 @@ def test_against_brute_force(spark):
 def test_blocks_change_nothing(spark, monkeypatch):
     docs, items = cases()
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 40)
+    monkeypatch.setattr(decontam, "PASS_BYTES", 160)
     found = find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     got = [(r.doc_id, r.n_words, sum(s.b - s.a for s in r.spans), r.items) for r in found.collect()]
     assert sorted(got, key=repr) == brute(docs, items)
