@@ -29,6 +29,24 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     assert set(seen["packing"]) == {1, 3, 4, 6}
 
 
+def _run(spark, path, rows):
+    pytest.importorskip("public_tokenizers")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, None), (None, "a passage of the benchmark that nobody has")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return corpus_pipeline.run(spark, str(path))
+
+
+def test_pipeline_with_null_and_repeated_ids(spark, tmp_path):
+    text = lambda k: " ".join(f"word{k} thing{j} other{k}{j}" for j in range(12))
+    rows = [(1, text(1), "en", "s", 1), (2, text(1), "en", "s", 1), (2, text(2), "en", "s", 1), (3, text(3), "en", None, None), (3, text(3), "en", None, None), (None, text(1), "en", "s", 1), (None, None, None, None, None), (4, "", "en", "s", 0)]
+    got = sorted((r.doc_id or 0, r.doc_tokens) for r in _run(spark, tmp_path, rows).collect())
+    assert [i for i, _ in got] == [0, 1, 2, 3, 3]
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    assert _run(spark, tmp_path, []).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_equal_their_sql(spark, name):
     c = duckdb.connect()
