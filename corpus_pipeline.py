@@ -4,6 +4,11 @@ Each stage takes what the one before has kept; all but the last return the colum
 order: language ID (documents without letters go), line dedup (lines held by an earlier document
 go), n-gram Jaccard join (the smallest id of each group of near duplicates stays), benchmark
 decontamination (hit passages are cut out), packing.
+
+In all stages: rows with a null id stay, but for null texts; such rows share no lines and no near duplicates with
+others. Rows that repeat an id are one document: they stay or go together where ids decide (lines,
+near duplicates), else row by row; so equal rows with one id all stay. A null or empty text goes in the first stage, as it has no
+letter. Columns besides those of documents go with the first stage. An empty table goes through as an empty table.
 """
 
 from __future__ import annotations
@@ -76,7 +81,10 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each one's result is written to the shared folder and read again."""
     from candleforge.llm.shared import Spilled
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = Spilled(stage(spark, docs, sf_dir), name.replace(" ", "-")).df
+        before, written = written, Spilled(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:
+            before.drop()
+        docs = written.df
     return STAGES[-1][1](spark, docs, sf_dir)
