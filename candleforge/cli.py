@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from candleforge.functions.timegrid import parse_tf
 from candleforge.operators import regime as R
 from candleforge.operators import report
-from candleforge.operators.align import align_gaps, missing_report
+from candleforge.operators.align import align_gaps, missing_report, range_gaps
 from candleforge.operators.features import FeatureConfig, compute_features, validate_features
 from candleforge.operators.quality import QualityConfig, validate
 from candleforge.operators.resample import resample
@@ -71,10 +71,19 @@ def do_missing(a, spark) -> int:
 
 
 def do_report_missing(a, spark) -> int:
+    """Minutes that the store lacks in [since, until), its edges included; gap_pct is percent."""
     bars = store.series(spark, a.store, a.symbol, "1m").drop("ver")
-    rows = missing_report(align_gaps(bars)).collect()
-    print(json.dumps([r.asDict() for r in rows]))
-    return 0
+    row = range_gaps(bars, a.since_ms, a.until_ms).first()
+    print(json.dumps({"symbol": a.symbol, **row.asDict()}))
+    return 2 if a.fail_gap_pct is not None and row.gap_pct > a.fail_gap_pct else 0
+
+
+def do_threshold(a, spark) -> int:
+    """The rows of a CSV report whose missing_rate is over the threshold."""
+    rows = load(spark, a.src)
+    bad = rows.where(F.col("missing_rate").try_cast("double") > a.threshold).collect()
+    print(json.dumps([r.asDict() for r in bad], default=str))
+    return 2 if bad else 0
 
 
 def do_backfill(a, spark) -> int:
@@ -100,6 +109,8 @@ def do_validate(a, spark) -> int:
     out = a.out_dir.rstrip("/")
     dump(clean, f"{out}/clean.parquet")
     dump(log, f"{out}/clean.issues.parquet")
+    if a.write_inplace:  # from what is written, since a path that is read can't be overwritten
+        dump(spark.read.parquet(f"{out}/clean.parquet"), a.src)
     if a.quality_json:
         with open(a.quality_json, "w") as f:
             f.write(report.as_json(spark.read.parquet(f"{out}/clean.parquet"), spark.read.parquet(f"{out}/clean.issues.parquet")))
@@ -145,14 +156,17 @@ def parser() -> argparse.ArgumentParser:
         for k, (kind, default) in options.items():
             c.add_argument("--" + k.replace("_", "-"), type=kind, default=default)
         c.set_defaults(run=run)
+        return c
 
     now, symbol = (int, None), (str, "?")
     command("resample", do_resample, "src", dst_tf=(str, "5m"), out=(str, "out.parquet"), compression=(str, "zstd"), symbol=symbol)
     command("missing-report", do_missing, "src", since_ms=(int, None), until_ms=(int, None), fail_gap_pct=(float, 1.0), symbol=symbol)
-    command("report-missing", do_report_missing, symbol=symbol, store=(str, "store"))
+    command("report-missing", do_report_missing, symbol=symbol, store=(str, "store"), since_ms=(int, None), until_ms=(int, None), fail_gap_pct=(float, None))
+    command("missing-threshold", do_threshold, "src", threshold=(float, 1e-4))
     command("backfill", do_backfill, "symbol", store=(str, "store"), since_ms=(int, 0), until_ms=(int, 0), page_size=(int, 1000), base_url=(str, ""), now_ms=now)
     command("update", do_update, "src", symbol=symbol, store=(str, "store"), now_ms=now)
-    command("validate", do_validate, "src", tf=(str, None), symbol=symbol, ref_1m=(str, None), out_dir=(str, "."), quality_json=(str, None), cfg=(str, None), now_ms=now)
+    check = command("validate", do_validate, "src", tf=(str, None), symbol=symbol, ref_1m=(str, None), out_dir=(str, "."), quality_json=(str, None), cfg=(str, None), now_ms=now)
+    check.add_argument("--write-inplace", action="store_true")
     command("features", do_features, "src", "out", symbol=symbol, tf=(str, None), config=(str, None), build_version=(str, None))
     command("regime", do_regime, features=(str, ""), out=(str, "regime.parquet"), tf=(str, "1h"), config=(str, None), variant=(str, "A"))
     command("quality-report", do_report, "src", issues=(str, ""), out_json=(str, None), out_md=(str, None))

@@ -9,7 +9,6 @@ from candleforge.functions.timegrid import MINUTE, floor_ts
 from candleforge.schema import KEY, by_time, coerce, last_wins, with_key
 
 
-
 def align_gaps(bars: DataFrame, step: int = MINUTE) -> DataFrame:
     """Bars on the grid from each series' first to its last ts; missing ones are flagged.
 
@@ -62,3 +61,20 @@ def missing_report(aligned: DataFrame, since_ms: int | None = None, until_ms: in
         aligned = aligned.where(F.col("ts") < until_ms)
     gaps = F.count_if(F.coalesce("is_gap", F.lit(False)))
     return aligned.groupBy(*KEY).agg(F.count("*").alias("total"), gaps.alias("gaps"), (gaps / F.count("*")).alias("gap_pct"))
+
+
+def range_gaps(bars: DataFrame, since_ms: int | None = None, until_ms: int | None = None) -> DataFrame:
+    """One row: total_minutes, gaps, gap_pct (percent) of one series' half-open range, its edges included.
+
+    A side that isn't given is the first bar, or the end of the last one. Rows flagged as gaps are gaps. Nothing
+    is filled: minutes that are there are counted.
+    """
+    low, high = (F.min("ts") if since_ms is None else F.lit(since_ms + -since_ms % MINUTE)), (F.max("ts") + MINUTE if until_ms is None else F.lit(until_ms + -until_ms % MINUTE))
+    if since_ms is not None:
+        bars = bars.where(F.col("ts") >= since_ms)
+    if until_ms is not None:
+        bars = bars.where(F.col("ts") < until_ms)
+    have = F.when(~F.coalesce("is_gap", F.lit(False)), floor_ts("ts", MINUTE)) if "is_gap" in bars.columns else floor_ts("ts", MINUTE)
+    out = bars.agg(F.greatest(F.coalesce((high - low) / MINUTE, F.lit(0)), F.lit(0)).cast("long").alias("total_minutes"), F.count_distinct(have).alias("n"))
+    gaps = F.col("total_minutes") - F.col("n")
+    return out.select("total_minutes", gaps.alias("gaps"), F.when(F.col("total_minutes") > 0, gaps / F.col("total_minutes") * 100).otherwise(0.0).alias("gap_pct"))

@@ -143,7 +143,18 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert cli.main(["check-latency", src, "--now-ms", str(NOW)]) == 2
     root = f"file://{tmp_path}/store"
     assert cli.main(["update", src, "--symbol", "S", "--store", root, "--now-ms", str(NOW)]) == 0
-    assert cli.main(["report-missing", "--symbol", "S", "--store", root]) == 0
+    span = ["report-missing", "--symbol", "S", "--store", root, "--since-ms", str(T0 - 12 * M), "--until-ms", str(T0 + 108 * M)]
+    capsys.readouterr()
+    assert cli.main(span) == 0
+    got = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (got["symbol"], got["total_minutes"], got["gaps"], round(got["gap_pct"], 9)) == ("S", 120, 24, 20.0)
+    assert cli.main([*span, "--fail-gap-pct", "5"]) == 2 and cli.main([*span, "--fail-gap-pct", "25"]) == 0
+    assert cli.main(["report-missing", "--symbol", "none", "--store", root, "--fail-gap-pct", "5"]) == 0
+    (tmp_path / "rates.csv").write_text("symbol,missing_rate\nA,0.00001\nB,0.5\n")
+    assert cli.main(["missing-threshold", f"{tmp_path}/rates.csv"]) == 2 and cli.main(["missing-threshold", f"{tmp_path}/rates.csv", "--threshold", "0.9"]) == 0
+    before = spark.read.parquet(f"{tmp_path}/S_5m.parquet").columns
+    assert cli.main(["validate", f"{tmp_path}/S_5m.parquet", "--out-dir", f"{tmp_path}/dq2", "--now-ms", str(NOW), "--write-inplace"]) == 0
+    assert "dq_flags" in spark.read.parquet(f"{tmp_path}/S_5m.parquet").columns and "dq_flags" not in before
     pages(tmp_path, 10)
     assert cli.main(["backfill", "S", "--store", root, "--since-ms", str(T0), "--until-ms", str(T0 + 10 * M), "--page-size", "4", "--base-url", f"file://{tmp_path}", "--now-ms", str(NOW)]) == 0
     assert cli.main(["backfill", "S", "--store", root, "--since-ms", "0", "--until-ms", "0"]) == 1
