@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.llm.decontam import find_leaks
-from candleforge.llm.jaccard import near_duplicates
+from candleforge.llm.jaccard import MOST_BROADCAST, near_duplicates
 from candleforge.llm.langid import identify
 from candleforge.llm.lines import dedup_lines
 from candleforge.llm.packing import pack_documents, word_bpe
@@ -51,8 +51,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near duplicates."""
+    """One document, that with the smallest id, of each group of near duplicates.
+
+    Up to MOST_BROADCAST ids that go are broadcast, by their count; beyond it the texts are shuffled.
+    """
     gone = near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    gone = F.broadcast(gone) if gone.count() <= MOST_BROADCAST else gone
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
