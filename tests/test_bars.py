@@ -143,3 +143,31 @@ def test_cooldown_equals_the_loop(spark):
                 left = max(0, left - 1)
             want.append(now)
         assert [r.y for r in cooldown(frame(spark, s), "x", rows, "y").orderBy("ts").collect()] == want
+
+
+def test_small_blocks_and_batches_change_nothing(spark, monkeypatch):
+    from candleforge.operators import recurrence
+
+    monkeypatch.setattr(recurrence, "BLOCK", 50)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        test_scan_restarts(spark)
+        test_runs(spark)
+        test_confirmed_sign(spark)
+        test_cooldown_equals_the_loop(spark)
+        rng = np.random.default_rng(6)
+        x = np.where(rng.random(600) < 0.6, np.nan, rng.standard_normal(600))
+        x[100:270] = np.nan  # whole blocks without an observation
+        rows = spark.createDataFrame(pd.DataFrame({"symbol": "S", "tf": "1m", "ts": T0 + M * np.arange(600), "x": x})).withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+        got = ewm(rows, {"y": ("x", 0.2, 5)}, M).orderBy("ts").toPandas()["y"].to_numpy(float)
+        want = pd.Series(x).ewm(alpha=0.2, adjust=False, min_periods=5).mean().to_numpy()
+        assert (np.isnan(got) == np.isnan(want)).all() and np.nanmax(np.abs(got - want)) < 1e-12
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_long_alternating_signal_is_linear():
+    from candleforge.operators.islands import Cooldown
+
+    out, _ = Cooldown("s", 1, "y")({"s": np.tile([1.0, -1.0], 500_000)}, None)
+    assert len(out["y"]) == 1_000_000 and set(out["y"][:4]) == {1.0, -1.0}
