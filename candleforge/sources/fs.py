@@ -3,10 +3,39 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_OWN: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, else the context's checkpoint folder, else one that all can reach.
+
+    That is a temporary one where driver and executors are one process (master local), and one in the
+    warehouse on a cluster if that isn't on a local file system. Without any, an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    context = spark.sparkContext
+    if at := context.getCheckpointDir():
+        return at.rstrip("/")
+    if context.master.startswith("local"):
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="candleforge-")
+        return _OWN[context.applicationId]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if "://" in warehouse and not warehouse.startswith("file:"):
+        return f"{warehouse.rstrip('/')}/_candleforge"
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
 
 def _at(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -18,6 +47,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
+    fs, at = _at(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, at = _at(spark, path)
     fs.delete(at, True)

@@ -1,7 +1,8 @@
 """The bar store: Parquet by symbol and tf, written so that the last write wins and repeats do no harm.
 
-root/symbol=S/tf=T/*.parquet hold the bars (partition pruning finds a series, statistics of the sorted
-ts find a range); root/_meta and root/_tail hold small JSON files by series.
+root/symbol=S/tf=T/month=YYYYMM/*.parquet hold the bars: partition pruning finds a series and the months of a
+range, statistics of the sorted ts find the rest. root/_meta/symbol=S/tf=T holds a row a month of the series,
+root/_tail a small JSON file a series.
 """
 
 from __future__ import annotations
@@ -11,14 +12,14 @@ import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.functions.timegrid import DAY, MINUTE, day_bounds, parse_tf
 from candleforge.operators.align import align_gaps, normalize_bars
 from candleforge.operators.resample import resample
 from candleforge.schema import KEY, STORED, coerce, empty, last_wins, with_key
-from candleforge.sources.fs import delete, exists, read_json, write_json
+from candleforge.sources.fs import children, delete, exists, read_json, write_json
 
 COLUMNS = ["ts", "o", "h", "l", "c", "v", "t", "ver", "is_gap"]
 READ = ["ts", "o", "h", "l", "c", "v", "t", "is_gap"]
@@ -31,24 +32,61 @@ class ReadStats:
     max_ts: int | None
 
 
-def _all(spark: SparkSession, root: str) -> DataFrame:
+def month_of(ts: str = "ts") -> Column:
+    """The UTC month as YYYYMM, whatever the session's time zone."""
+    day = F.date_from_unix_date(((F.col(ts) - F.pmod(ts, F.lit(DAY).cast("long"))) / DAY).cast("int"))
+    return F.year(day) * 100 + F.month(day)
+
+
+def _month(ms: int) -> int | None:
+    """month_of a constant; None where calendars end."""
+    try:
+        at = datetime.fromtimestamp(ms // 1000, UTC)
+    except (OverflowError, OSError, ValueError):
+        return None
+    return at.year * 100 + at.month
+
+
+def _months(spark: SparkSession, root: str) -> DataFrame:
+    """All bars with their month."""
     if not exists(spark, root):
-        return empty(spark, STORED)
-    files = spark.read.schema(STORED).option("basePath", root).parquet(root)
-    return files.select(*KEY, *COLUMNS)
+        return empty(spark, f"{STORED}, month int")
+    files = spark.read.schema(f"{STORED}, month int").option("basePath", root).parquet(root)
+    return files.select(*KEY, "month", *COLUMNS)
 
 
-def series(spark: SparkSession, root: str, symbol: str, tf: str) -> DataFrame:
-    return _all(spark, root).where((F.col("symbol") == symbol) & (F.col("tf") == tf))
+def _in_months(df: DataFrame, low: int | None, high: int | None) -> DataFrame:
+    """Only the months that may hold a ts from low to high."""
+    if low is not None and (month := _month(low)) is not None:
+        df = df.where(F.col("month") >= month)
+    if high is not None and (month := _month(high)) is not None:
+        df = df.where(F.col("month") <= month)
+    return df.drop("month")
 
 
-def read(spark: SparkSession, root: str, symbol: str, tf: str, columns: list[str] | None = None) -> DataFrame:
-    """A series in canonical order; columns that are asked for and missing are NULL (is_gap: false)."""
-    df = series(spark, root, symbol, tf).withColumn("is_gap", F.coalesce("is_gap", F.lit(False)))
+def stored(spark: SparkSession, root: str) -> DataFrame:
+    """All series."""
+    return _months(spark, root).drop("month")
+
+
+def series(spark: SparkSession, root: str, symbol: str, tf: str, low: int | None = None, high: int | None = None) -> DataFrame:
+    """One series; with low or high only the months that may hold such ts are read, whole."""
+    own = _months(spark, root).where((F.col("symbol") == symbol) & (F.col("tf") == tf))
+    return _in_months(own, low, high)
+
+
+def _shaped(df: DataFrame, columns: list[str] | None) -> DataFrame:
+    """Columns that are asked for and missing are NULL (is_gap: false)."""
+    df = df.withColumn("is_gap", F.coalesce("is_gap", F.lit(False)))
     have = {c: F.col(c) for c in df.columns}
     return df.select(*[have.get(c, F.lit(None).cast("double")).alias(c) for c in columns or READ])
 
 
+def read(spark: SparkSession, root: str, symbol: str, tf: str, columns: list[str] | None = None) -> DataFrame:
+    """A series in canonical order; columns that are asked for and missing are NULL (is_gap: false)."""
+    return _shaped(series(spark, root, symbol, tf), columns)
+
+
 def half_open(df: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     return df.where((F.col("ts") >= start_ms) & (F.col("ts") < end_ms))
 
@@ -61,15 +99,12 @@ def inclusive(df: DataFrame, ts_from: int | None = None, ts_to: int | None = Non
 
 def read_range(spark: SparkSession, root: str, symbol: str, tf: str, start_ms: int, end_ms: int, columns: list[str] | None = None) -> DataFrame:
     """ts in [start, end)."""
-    df = half_open(series(spark, root, symbol, tf), start_ms, end_ms)
-    df = df.withColumn("is_gap", F.coalesce("is_gap", F.lit(False)))
-    have = {c: F.col(c) for c in df.columns}
-    return df.select(*[have.get(c, F.lit(None).cast("double")).alias(c) for c in columns or READ])
+    return _shaped(half_open(series(spark, root, symbol, tf, start_ms, end_ms), start_ms, end_ms), columns)
 
 
 def read_between(spark: SparkSession, root: str, symbol: str, tf: str, ts_from: int | None = None, ts_to: int | None = None) -> DataFrame:
     """ts in [from, to], both inclusive and optional."""
-    return inclusive(read(spark, root, symbol, tf), ts_from, ts_to)
+    return _shaped(inclusive(series(spark, root, symbol, tf, ts_from, ts_to), ts_from, ts_to), None)
 
 
 def read_stats(df: DataFrame) -> ReadStats:
@@ -101,12 +136,24 @@ def latest_ts(spark: SparkSession, root: str, symbol: str, tf: str) -> int | Non
     return series(spark, root, symbol, tf).agg(F.max("ts")).first()[0]
 
 
+def _named(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of a partition column, by the folders' names."""
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return sorted(names.unescapePathName(x.removeprefix(f"{key}=")) for x in children(spark, path) if x.startswith(f"{key}="))
+
+
+def _path(spark: SparkSession, root: str, symbol: str, tf: str | None = None) -> str:
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    path = f"{root}/symbol={names.escapePathName(symbol)}"
+    return path if tf is None else f"{path}/tf={names.escapePathName(tf)}"
+
+
 def list_symbols(spark: SparkSession, root: str) -> list[str]:
-    return sorted(r[0] for r in _all(spark, root).select("symbol").distinct().collect())
+    return _named(spark, root, "symbol")
 
 
 def list_tfs(spark: SparkSession, root: str, symbol: str) -> list[str]:
-    return sorted(r[0] for r in _all(spark, root).where(F.col("symbol") == symbol).select("tf").distinct().collect())
+    return _named(spark, _path(spark, root, symbol), "tf")
 
 
 def digest(df: DataFrame, columns: list[str] | None = None) -> str:
@@ -137,35 +184,58 @@ def closed_only(df: DataFrame, now_ms: int) -> DataFrame:
     return df.where(F.col("ts") <= now_ms - now_ms % MINUTE - MINUTE)
 
 
+def _named_key(df: DataFrame) -> DataFrame:
+    """No partition can hold a NULL or empty name: such ones are `?`."""
+    return df.withColumns({k: F.when(F.length(k) > 0, F.col(k)).otherwise("?") for k in KEY})
+
+
 def write_idempotent(spark: SparkSession, root: str, new: DataFrame, seq: str, now_ms: int, source: str = "", compression: str = "zstd", level: int = 7) -> DataFrame:
     """Upsert bars (any number of series) into the store; returns a row per series with its new meta.
 
-    The result is staged beside the store, then put in place by partitions, so that the path which is
-    read is never the one that is written. Series without new rows aren't touched.
+    Only months with new rows are read and written. New rows are staged once, as they are used three times. The
+    write stages its files, and takes the place of a month only when all of them are there, so the path that is
+    read may be written; a write that dies in between can be repeated. Without new rows nothing is written.
+    A series' meta is put together from its months', so unchanged ones aren't read. Only tails are a driver's loop, a
+    small file for each series of the write.
     """
-    new = closed_only(with_key(new), now_ms)
+    new = _named_key(closed_only(with_key(new), now_ms))
     if "is_gap" not in new.columns:
         new = new.withColumn("is_gap", F.lit(False))
-    touched = new.select(*KEY).distinct()
-    if touched.isEmpty():
-        return meta_of(empty(spark, STORED), source)
-    old = _all(spark, root).join(F.broadcast(touched), KEY, "left_semi") if touched.count() <= 100_000 else _all(spark, root).join(touched, KEY, "left_semi")
+    new = new.select(*KEY, *[c for c in COLUMNS if c in new.columns], F.col(seq).cast("long").alias("__seq_in"))
     staging = f"{root.rstrip('/')}_staging_{uuid.uuid4().hex}"
-    merged = upsert(old, new, seq)
-    options = {"compression": compression} | ({"parquet.compression.codec.zstd.level": str(level)} if compression == "zstd" else {})
-    merged.repartition(*KEY).sortWithinPartitions(*KEY, "ts").write.partitionBy(*KEY).parquet(staging)
-    staged = spark.read.schema(STORED).option("basePath", staging).parquet(staging)
-    rows = staged.repartition(*KEY).sortWithinPartitions(*KEY, "ts")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*KEY).parquet(root)
-    meta = spark.createDataFrame(meta_of(staged, source).collect(), META)  # a row per series of this write
+    new.write.parquet(staging)
+    try:
+        new = spark.read.schema(new.schema).parquet(staging)
+        touched = new.select(*KEY, month_of().alias("month")).distinct()
+        n = touched.count()
+        if not n:
+            return series_meta(empty(spark, META))
+        touched = F.broadcast(touched) if n <= 100_000 else touched
+        merged = upsert(_months(spark, root).join(touched, [*KEY, "month"], "left_semi").drop("month"), new, "__seq_in")
+        options = {"compression": compression} | ({"parquet.compression.codec.zstd.level": str(level)} if compression == "zstd" else {})
+        _replace(merged.withColumn("month", month_of()), root, [*KEY, "month"], "ts", options)
+        now = months_meta(_months(spark, root).join(touched, [*KEY, "month"], "left_semi"), source)
+        names = touched.select(*KEY).distinct()
+        names = F.broadcast(names) if n <= 100_000 else names
+        marks = {"source": F.lit(source), "build_signature": F.lit(build_signature())}
+        kept = _metas(spark, root).join(names, KEY, "left_semi").join(touched, [*KEY, "month"], "left_anti").withColumns(marks)
+        _replace(kept.unionByName(now), f"{root}/_meta", KEY, "month", {})
+        found = series_meta(_metas(spark, root).join(names, KEY, "left_semi"))
+        meta = spark.createDataFrame(found.collect(), found.schema)  # a row per series of this write
+    finally:
+        delete(spark, staging)
     for r in meta.collect():
-        write_json(spark, f"{root}/_meta/{r.symbol}/{r.tf}.meta.json", r.asDict())
         tail_update(spark, root, r.symbol, r.tf, r.max_ts)
-    delete(spark, staging)
     return meta
 
 
-META = "symbol string, tf string, source string, rows long, min_ts long, max_ts long, data_hash string, build_signature string"
+def _replace(rows: DataFrame, path: str, by: list[str], order: str, options: dict[str, str]) -> None:
+    """Write the partitions that rows has; the others stay."""
+    rows = rows.repartition(*by).sortWithinPartitions(*by, order)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**options).partitionBy(*by).parquet(path)
+
+
+META = "symbol string, tf string, month int, source string, rows long, min_ts long, max_ts long, hash long, build_signature string"
 
 
 def build_signature() -> str:
@@ -173,20 +243,42 @@ def build_signature() -> str:
     return "|".join(os.environ.get(k, "") for k in ("BUILD_VERSION", "GIT_COMMIT")) or "local"
 
 
-def meta_of(df: DataFrame, source: str) -> DataFrame:
+def months_meta(df: DataFrame, source: str) -> DataFrame:
+    """A row a month of a series; hash is of its rows in any order."""
     cols = [c for c in COLUMNS if c != "ver"]
-    mark = F.concat_ws("-", F.hex(F.count("*")), F.hex(F.bit_xor(F.xxhash64(*cols))))
-    return df.groupBy(*KEY).agg(
-        F.lit(source).alias("source"), F.count("*").alias("rows"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), mark.alias("data_hash"), F.lit(build_signature()).alias("build_signature")
-    )
+    return df.groupBy(*KEY, "month").agg(
+        F.lit(source).alias("source"), F.count("*").alias("rows"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"),
+        F.bit_xor(F.xxhash64(*cols)).alias("hash"), F.lit(build_signature()).alias("build_signature"),
+    )
+
+
+def series_meta(months: DataFrame) -> DataFrame:
+    """A row a series, from its months'."""
+    mark = F.concat_ws("-", F.hex(F.sum("rows")), F.hex(F.bit_xor("hash")))
+    return months.groupBy(*KEY).agg(
+        F.max("source").alias("source"), F.sum("rows").alias("rows"), F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"),
+        mark.alias("data_hash"), F.max("build_signature").alias("build_signature"),
+    )
+
+
+def _metas(spark: SparkSession, root: str) -> DataFrame:
+    path = f"{root}/_meta"
+    if not exists(spark, path):
+        return empty(spark, META)
+    return spark.read.schema(META).option("basePath", path).parquet(path).select(*empty(spark, META).columns)
+
+
+def all_meta(spark: SparkSession, root: str) -> DataFrame:
+    return series_meta(_metas(spark, root))
 
 
 def read_meta(spark: SparkSession, root: str, symbol: str, tf: str) -> dict:
-    return read_json(spark, f"{root}/_meta/{symbol}/{tf}.meta.json") or {}
+    row = series_meta(_metas(spark, root).where((F.col("symbol") == symbol) & (F.col("tf") == tf))).first()
+    return row.asDict() if row else {}
 
 
 def manifest(spark: SparkSession, root: str, symbol: str, tf: str) -> dict:
-    path = f"{root}/symbol={symbol}/tf={tf}"
+    path = _path(spark, root, symbol, tf)
     there = exists(spark, path)
     stats = read_stats(series(spark, root, symbol, tf).select("ts")) if there else ReadStats(0, None, None)
     meta = read_meta(spark, root, symbol, tf)

@@ -48,6 +48,28 @@ def test_open_bars_stay_out(spark, tmp_path):
     assert store.write_idempotent(spark, root, bars(spark, line(3, start=NOW)), "seq", T0).count() == 0
 
 
+def test_months(spark, tmp_path):
+    """A write touches only months with new rows; its meta counts all; no month is lost for odd names."""
+    root, day = f"file://{tmp_path}/store", 24 * 60 * M
+    store.write_idempotent(spark, root, bars(spark, line(60, step=day), "A/B"), "seq", NOW * 2)
+    folder = tmp_path / "store" / "symbol=A%2FB" / "tf=1m"
+    assert sorted(x.name for x in folder.glob("month=*")) == ["month=202401", "month=202402"]
+    first = sorted(x.name for x in (folder / "month=202401").glob("*.parquet"))
+    meta = store.write_idempotent(spark, root, bars(spark, line(3, start=T0 + 40 * day, step=day), "A/B"), "seq", NOW * 2, "again").first()
+    assert sorted(x.name for x in (folder / "month=202401").glob("*.parquet")) == first
+    assert (meta.rows, meta.min_ts, meta.max_ts, meta.source) == (60, T0, T0 + 59 * day, "again")
+    whole = store.series_meta(store.months_meta(store._months(spark, root), "again")).first()
+    assert whole.data_hash == meta.data_hash == store.read_meta(spark, root, "A/B", "1m")["data_hash"]
+    assert store.list_symbols(spark, root) == ["A/B"] and store.manifest(spark, root, "A/B", "1m")["exists"]
+    plan = store.read_range(spark, root, "A/B", "1m", T0 + 40 * day, T0 + 41 * day)._jdf.queryExecution().toString()
+    assert "(month#" in plan and "202402" in plan
+    odd = bars(spark, line(2)).withColumn("symbol", F.when(F.col("ts") == T0, F.lit("")))
+    store.write_idempotent(spark, root, odd, "seq", NOW)
+    store.write_idempotent(spark, root, odd.where(F.col("ts") == T0), "seq", NOW)
+    assert sorted(r.ver for r in store.series(spark, root, "?", "1m").collect()) == [0, 1]
+    assert store.read_between(spark, root, "A/B", "1m", -(1 << 60), 1 << 60).count() == 60
+
+
 def test_reads(spark, tmp_path):
     root = f"file://{tmp_path}/store"
     assert store.read(spark, root, "S", "1m").count() == 0
