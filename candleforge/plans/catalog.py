@@ -5,52 +5,26 @@ Floats are rounded to six places on both sides, so that the order of sums doesn'
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candleforge.functions import timegrid as G
 from candleforge.operators import features as FT
 from candleforge.operators import regime as R
 from candleforge.operators.align import gap_stats, missing_report, normalize_bars
+from candleforge.operators.asof import asof_backward
 from candleforge.operators.issues import canonical_code, merge_issues, registry, summarize_issues
 from candleforge.operators.quality import QualityConfig, validate
 from candleforge.operators.report import daily_flagged, issues_by_code, late_series, over_threshold, quality_summary
 from candleforge.operators.resample import resample, resample_closed_right
 from candleforge.operators.sharded import by_shards
+from candleforge.plans import storage  # noqa: F401 - lists its queries, too
+from candleforge.plans.registry import END, NOW, OHLCV, QUERIES, SQL, START, query
+from candleforge.plans.registry import rounded_sql as _r
 from candleforge.plans.sql import sql
 from candleforge.plans.tables import HOUR, dirty, event_bars, hourly, lineitem_bars, table
 from candleforge.schema import iso, last_wins
 from candleforge.sources.store import days_of, digest, half_open, inclusive, tail_window, upsert
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-NOW = 1_706_572_800_000  # 2024-01-30T00:00Z
-START, END = 1_704_412_800_000, 1_705_017_600_000  # 2024-01-05 and 2024-01-12
-
-
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[(F.round(c, 6) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
-
-def query(oracle: str | None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = lambda spark, sf_dir: _rounded(f(spark, sf_dir))
-        if oracle:
-            SQL[f.__name__] = oracle
-        return f
-
-    return add
-
-
-def _r(*columns: str, alias: str = "") -> str:
-    return ", ".join(f"round({alias}{c}, 6) AS {c}" for c in columns)
-
-
-OHLCV = ("o", "h", "l", "c", "v", "t")
-
-
 # Scans, grids, stores
 
 
@@ -132,11 +106,6 @@ def iterate_days(spark, sf):
     return days_of(event_bars(spark, sf), "2023-12-31", "2024-02-02").groupBy("day_ms").agg(F.count("ts").alias("bars"), F.sum("v").alias("v"))
 
 
-@query(sql("SELECT symbol, count(*) AS rows, min(ts) AS min_ts, max(ts) AS max_ts FROM bars GROUP BY symbol"))
-def manifest_stats(spark, sf):
-    return event_bars(spark, sf).groupBy("symbol").agg(F.count("*").alias("rows"), F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"))
-
-
 @query(sql(f"""SELECT symbol, ts, {_r('c')}, ver FROM (
   SELECT coalesce(a.symbol, b.symbol) AS symbol, coalesce(a.ts, b.ts) AS ts, coalesce(b.c2, a.c) AS c, CASE WHEN a.ts IS NOT NULL AND b.ts IS NOT NULL THEN 1 ELSE 0 END AS ver
   FROM (SELECT * FROM bars WHERE ts < {END}) a FULL JOIN (SELECT *, c + 1 AS c2 FROM bars WHERE ts >= {START}) b ON a.symbol = b.symbol AND a.ts = b.ts)"""))
@@ -190,15 +159,11 @@ def content_digest(spark, sf):
 @query(sql("""SELECT l.symbol, l.ts, round(r.rv, 6) AS rv FROM (SELECT symbol, ts, ts - ts % 86400000 AS day FROM bars) l
   ASOF LEFT JOIN (SELECT symbol, ts - ts % 86400000 AS day, stddev_samp(lr) AS rv FROM x GROUP BY 1, 2) r ON l.symbol = r.symbol AND l.day >= r.day"""))
 def asof_rv(spark, sf):
-    """The last known daily deviation at each bar: union, then the last value over time."""
+    """The last known daily deviation at each bar."""
     x = FT.basic(hourly(spark, sf), FT.FeatureConfig(), {"f_logret1"})
     day = G.floor_ts("ts", G.DAY)
-    daily = x.groupBy("symbol", day.alias("at")).agg(F.stddev_samp("f_logret1").alias("rv")).withColumns({"ts": F.lit(None).cast("long"), "side": F.lit(0)})
-    left = event_bars(spark, sf).select("symbol", "ts", day.alias("at"), F.lit(None).cast("double").alias("rv"), F.lit(1).alias("side"))
-    # the day's own row stands for it even if its value is NULL
-    both = left.unionByName(daily.select(*left.columns)).withColumn("s", F.when(F.col("side") == 0, F.struct("rv")))
-    w = Window.partitionBy("symbol").orderBy("at", "side", "ts").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("s", F.last("s", ignorenulls=True).over(w)).where("side = 1").select("symbol", "ts", F.col("s.rv").alias("rv"))
+    daily = x.groupBy("symbol", day.alias("day")).agg(F.stddev_samp("f_logret1").alias("rv"))
+    return asof_backward(event_bars(spark, sf).select("symbol", "ts", day.alias("day")), daily, "day", ["symbol"], ["rv"]).select("symbol", "ts", "rv")
 
 
 # Data quality
