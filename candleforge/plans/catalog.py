@@ -345,7 +345,12 @@ def f_rolling_sharded(spark, sf):
     return out.select("symbol", "ts", *columns)
 
 
-@query(None)
+_ALL = ("returns", "rv", "candle", "mom", "donch", "zscore", "updownvol", "obv", "vwap_roll", "vwap_session", "liquidity", "atr", "ema", "rsi", "adx", "kama")
+_BASE = sql("""SELECT symbol, ts, ts AS timestamp_ms, strftime(make_timestamp(ts * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS start_time_iso, '1h' AS tf,
+  round(o, 6) AS open, round(h, 6) AS high, round(l, 6) AS low, round(c, 6) AS close, round(v, 6) AS volume, round(t, 6) AS turnover FROM al""")
+
+
+@query(f"SELECT * EXCLUDE (n) FROM ({_BASE}) " + " ".join(f"JOIN ({SQL['f_' + x]}) USING (symbol, ts)" for x in _ALL) + f" JOIN ({SQL['f_valid_from']}) USING (symbol)")
 def features_all(spark, sf):
     return FT.validate_features(_full(spark, sf))
 

@@ -256,7 +256,7 @@ def quality_markdown(spark, sf):
 # Time
 
 
-@query("""SELECT s, e, tf, ms, ms || ' milliseconds' AS step, ms % 60000 = 0 AS whole, s // ms * ms AS low, CASE WHEN e <= s THEN s // ms * ms ELSE (e + ms - 1) // ms * ms END AS high, s // 86400000 * 86400000 AS day, s // 86400000 * 86400000 + 86400000 AS next_day
+@query("""SELECT s, e, tf, ms::BIGINT AS ms, ms || ' milliseconds' AS step, ms % 60000 = 0 AS whole, s // ms * ms AS low, CASE WHEN e <= s THEN s // ms * ms ELSE (e + ms - 1) // ms * ms END AS high, s // 86400000 * 86400000 AS day, s // 86400000 * 86400000 + 86400000 AS next_day
 FROM (SELECT i * 7777777 + 1700000000001 AS s, i * 7777777 + 1700000000001 + (i % 5) * 1000000 AS e, tf, ms FROM (SELECT unnest(range(0, 200)) AS i), (VALUES ('30s', 30000), ('1m', 60000), ('5min', 300000), ('4h', 14400000)) AS x(tf, ms))""")
 def time_ranges(spark, sf):
     out = []
@@ -283,7 +283,7 @@ def cli_missing_report(spark, sf):
     return _rows(spark, "symbol string, total long, gaps long, gap_pct double, code int", [(r["symbol"], r["total"], r["gaps"], r["gap_pct"], code) for r in printed[-1]])
 
 
-@query(sql(f"""SELECT symbol, n AS total, n - have AS gaps, round((n - have) / n * 100, 6) AS gap_pct, 2 AS code FROM (
+@query(sql(f"""SELECT symbol, n::BIGINT AS total, n - have AS gaps, round((n - have) / n * 100, 6) AS gap_pct, 2 AS code FROM (
   SELECT symbol, {(END - START) // 60000} AS n, count(*) FILTER (ts >= {START} AND ts < {END}) AS have FROM mins GROUP BY symbol)"""))
 def cli_report_missing(spark, sf):
     """Minutes of a week that the store lacks."""
