@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,34 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HOT = 1000
-_OWN: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, else the context's checkpoint folder, else one that all can reach.
+from candleforge.sources.fs import delete, new_folder, shared_root  # noqa: F401 - for the operators
 
-    That is a temporary one where driver and executors are one process (master local), and one in the
-    warehouse on a cluster if that isn't on a local file system. Without any, an error.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    context = spark.sparkContext
-    if at := context.getCheckpointDir():
-        return at.rstrip("/")
-    if context.master.startswith("local"):
-        if context.applicationId not in _OWN:
-            _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="candleforge-")
-        return _OWN[context.applicationId]
-    warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    if "://" in warehouse and not warehouse.startswith("file:"):
-        return f"{warehouse.rstrip('/')}/_candleforge"
-    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-
-
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+HOT = 1000
 
 
 class Spilled:
@@ -53,12 +27,6 @@ class Spilled:
         delete(self.spark, self.path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
