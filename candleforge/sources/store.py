@@ -192,43 +192,62 @@ def _named_key(df: DataFrame) -> DataFrame:
 def write_idempotent(spark: SparkSession, root: str, new: DataFrame, seq: str, now_ms: int, source: str = "", compression: str = "zstd", level: int = 7) -> DataFrame:
     """Upsert bars (any number of series) into the store; returns a row per series with its new meta.
 
-    Only months with new rows are read and written. New rows are staged once, as they are used three times. The
-    write stages its files, and takes the place of a month only when all of them are there, so the path that is
-    read may be written; a write that dies in between can be repeated. Without new rows nothing is written.
-    A series' meta is put together from its months', so unchanged ones aren't read. Only tails are a driver's loop, a
-    small file for each series of the write.
+    Only months with new rows are read and written. New rows are staged once, as they are used three times; then the
+    merged months are, whole, and only when all of them are there do they take the place of the old ones. A write that
+    died in between is finished by the next one, so no row is lost. One writer at a time. Without new rows nothing is
+    written. A series' meta is put together from its months', so unchanged ones aren't read. Only tails are a driver's
+    loop, a small file for each series of the write.
     """
+    _recover(spark, root)
     new = _named_key(closed_only(with_key(new), now_ms))
     if "is_gap" not in new.columns:
         new = new.withColumn("is_gap", F.lit(False))
     new = new.select(*KEY, *[c for c in COLUMNS if c in new.columns], F.col(seq).cast("long").alias("__seq_in"))
-    staging = f"{root.rstrip('/')}_staging_{uuid.uuid4().hex}"
-    new.write.parquet(staging)
-    try:
-        new = spark.read.schema(new.schema).parquet(staging)
-        touched = new.select(*KEY, month_of().alias("month")).distinct()
-        n = touched.count()
-        if not n:
-            return series_meta(empty(spark, META))
-        touched = F.broadcast(touched) if n <= 100_000 else touched
-        merged = upsert(_months(spark, root).join(touched, [*KEY, "month"], "left_semi").drop("month"), new, "__seq_in")
-        options = {"compression": compression} | ({"parquet.compression.codec.zstd.level": str(level)} if compression == "zstd" else {})
-        _replace(merged.withColumn("month", month_of()), root, [*KEY, "month"], "ts", options)
-        now = months_meta(_months(spark, root).join(touched, [*KEY, "month"], "left_semi"), source)
-        names = touched.select(*KEY).distinct()
-        names = F.broadcast(names) if n <= 100_000 else names
-        marks = {"source": F.lit(source), "build_signature": F.lit(build_signature())}
-        kept = _metas(spark, root).join(names, KEY, "left_semi").join(touched, [*KEY, "month"], "left_anti").withColumns(marks)
-        _replace(kept.unionByName(now), f"{root}/_meta", KEY, "month", {})
-        found = series_meta(_metas(spark, root).join(names, KEY, "left_semi"))
-        meta = spark.createDataFrame(found.collect(), found.schema)  # a row per series of this write
-    finally:
+    staging = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    new.write.parquet(f"{staging}/new")
+    new = spark.read.schema(new.schema).parquet(f"{staging}/new")
+    touched = new.select(*KEY, month_of().alias("month")).distinct()
+    n = touched.count()
+    if not n:
         delete(spark, staging)
+        return series_meta(empty(spark, META))
+    touched = F.broadcast(touched) if n <= 100_000 else touched
+    merged = upsert(_months(spark, root).join(touched, [*KEY, "month"], "left_semi").drop("month"), new, "__seq_in")
+    merged.withColumn("month", month_of()).write.parquet(f"{staging}/merged")
+    options = {"compression": compression} | ({"parquet.compression.codec.zstd.level": str(level)} if compression == "zstd" else {})
+    ready = {"n": n, "source": source, "options": options}
+    write_json(spark, f"{staging}/ready.json", ready)
+    meta = _put(spark, root, staging, ready)
+    delete(spark, staging)
+    return meta
+
+
+def _put(spark: SparkSession, root: str, staging: str, ready: dict) -> DataFrame:
+    """Put staged months in place, then their meta and tails. It can be repeated."""
+    merged = spark.read.schema(f"{STORED}, month int").parquet(f"{staging}/merged")
+    _replace(merged, root, [*KEY, "month"], "ts", ready["options"])
+    near = F.broadcast if ready["n"] <= 100_000 else lambda df: df
+    touched = near(merged.select(*KEY, "month").distinct())
+    names = near(merged.select(*KEY).distinct())
+    marks = {"source": F.lit(ready["source"]), "build_signature": F.lit(build_signature())}
+    kept = _metas(spark, root).join(names, KEY, "left_semi").join(touched, [*KEY, "month"], "left_anti").withColumns(marks)
+    _replace(kept.unionByName(months_meta(merged, ready["source"])), f"{root}/_meta", KEY, "month", {})
+    found = series_meta(_metas(spark, root).join(names, KEY, "left_semi"))
+    meta = spark.createDataFrame(found.collect(), found.schema)  # a row per series of this write
     for r in meta.collect():
         tail_update(spark, root, r.symbol, r.tf, r.max_ts)
     return meta
 
 
+def _recover(spark: SparkSession, root: str) -> None:
+    """Finish writes that died after their months were staged; drop what others have left."""
+    base = f"{root.rstrip('/')}/_staging"
+    for name in children(spark, base):
+        if ready := read_json(spark, f"{base}/{name}/ready.json"):
+            _put(spark, root, f"{base}/{name}", ready)
+        delete(spark, f"{base}/{name}")
+
+
 def _replace(rows: DataFrame, path: str, by: list[str], order: str, options: dict[str, str]) -> None:
     """Write the partitions that rows has; the others stay."""
     rows = rows.repartition(*by).sortWithinPartitions(*by, order)

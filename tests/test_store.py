@@ -70,6 +70,25 @@ def test_months(spark, tmp_path):
     assert store.read_between(spark, root, "A/B", "1m", -(1 << 60), 1 << 60).count() == 60
 
 
+def test_a_dead_write_is_finished(spark, tmp_path, monkeypatch):
+    """A write that dies while months are put in place, some of them gone already, loses no row."""
+    import shutil
+
+    root = f"file://{tmp_path}/store"
+    store.write_idempotent(spark, root, bars(spark, line(10)), "seq", NOW)
+
+    def die(*_):
+        shutil.rmtree(tmp_path / "store" / "symbol=S")
+        raise OSError
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(store, "_put", die)
+        store.write_idempotent(spark, root, bars(spark, line(2, start=T0 + 9 * M)), "seq", NOW)
+    store.write_idempotent(spark, root, bars(spark, line(1, start=T0 + 20 * M)), "seq", NOW)
+    assert sorted((r.ts - T0) // M for r in store.series(spark, root, "S", "1m").collect()) == [*range(11), 20]
+    assert store.read_meta(spark, root, "S", "1m")["rows"] == 12 and not list((tmp_path / "store" / "_staging").iterdir())
+
+
 def test_reads(spark, tmp_path):
     root = f"file://{tmp_path}/store"
     assert store.read(spark, root, "S", "1m").count() == 0
