@@ -7,8 +7,8 @@ vectors of a label are one class and travel as one row. Each class gets a signat
 in each of several tables; classes that share a signature in some table are compared. At the
 threshold, a pair shares one with probability p**bits a table, p = 1 - acos(threshold) / pi, so the
 number of tables is the least that misses at most MISS of such pairs; closer pairs are missed less.
-bits grows with the logarithm of the number of rows, so that buckets stay small, and the number of
-tables with it: the recall is the same at every size.
+bits grows with the logarithm of the largest label's classes, so that a bucket holds MEAN of them if they lie
+evenly, and the number of tables with it: the recall is the same at every size.
 
 Pairs are never rows: a task compares a bucket by one matrix product, counts a pair only in the first
 table where its signatures agree, and emits each class's count with one edge towards its bucket's
@@ -33,16 +33,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candleforge.llm.graph import components
-from candleforge.llm.shared import Spilled, grouped, join_hot, local_roots, parts
+from candleforge.llm.shared import Spilled, join_hot, local_roots, parts
 from candleforge.llm.text import U, mix
 
-THRESHOLD, MISS, BLOCK, SEED = 0.93, 1e-3, 1024, 11
-_ROWS = 512
+THRESHOLD, MISS, BLOCK, SEED = 0.93, 1e-3, 2048, 11
+#: Classes that a bucket holds on average, if vectors lie evenly: more of them need fewer tables.
+MEAN = 256
+_ROWS, _SLICE = 512, 256
 
 
 def plan_tables(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
-    """(bits, tables) for so many rows."""
-    bits = min(30, max(8, math.ceil(math.log2(max(1, n) / 64))))
+    """(bits, tables) for so many classes of the largest label."""
+    bits = min(30, max(4, math.ceil(math.log2(max(1, n) / MEAN))))
     p = 1 - math.acos(threshold) / math.pi
     return bits, math.ceil(math.log(MISS) / math.log(1 - p**bits))
 
@@ -60,59 +62,74 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 
 def _signed(bits: int, tables: int, wire: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each class and table: bucket, nth table, class, copies, vector, all signatures."""
+    """A row for each class: its id, copies, label, vector, hash, signatures, and its bucket in each table."""
+    small = np.min_scalar_type((1 << bits) - 1)
     for whole in batches:
         for batch in (whole.slice(a, _ROWS) for a in range(0, whole.num_rows, _ROWS)):
-            lists = [np.array(x, wire) for x in batch.column(3).to_pylist()]
-            sizes = np.array([len(x) for x in lists])
-            sig = np.zeros((len(lists), tables), np.int64)
+            sizes = batch.column(3).value_lengths().to_numpy()
+            starts = np.cumsum(sizes) - sizes
+            values = batch.column(3).flatten().to_numpy().astype(wire)
+            sig = np.zeros((len(sizes), tables), np.int64)
             for d in np.unique(sizes):
                 own = np.flatnonzero(sizes == d)
-                sig[own] = signatures(_unit(np.stack([lists[i] for i in own]).astype(np.float64)), bits, tables)
-            label = batch.column(1).to_numpy().astype(np.int64)
-            key = mix(mix(label.astype(U) * U(0x9E3779B97F4A7C15) + sizes.astype(U))[:, None] + (np.arange(tables).astype(U) << U(32)) + sig.astype(U))
-            each = np.repeat(np.arange(len(lists)), tables)
-            vec = pa.array([x.tobytes() for x in lists], pa.binary())
-            raw = pa.array([x.astype("<i4").tobytes() for x in sig], pa.binary())
-            take = pa.array(each)
+                sig[own] = signatures(_unit(values[starts[own][:, None] + np.arange(d)].astype(np.float64)), bits, tables)
+            label = batch.column(1).to_numpy().astype(U)
+            key = mix(mix(label * U(0x9E3779B97F4A7C15) + sizes.astype(U))[:, None] + (np.arange(tables).astype(U) << U(32)) + sig.astype(U))
+            buckets = pa.ListArray.from_arrays(np.arange(0, len(sizes) * tables + 1, tables, dtype=np.int32), pa.array(key.ravel().view(np.int64)))
+            vec = pa.array([values[a : a + d].tobytes() for a, d in zip(starts, sizes, strict=True)], pa.binary())
+            raw = pa.array([x.tobytes() for x in sig.astype(small)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key.ravel().view(np.int64)), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(lists))), batch.column(0).take(take), batch.column(2).take(take), vec.take(take), raw.take(take), batch.column(4).take(take)],
-                ["bucket", "nth", "cls", "copies", "vec", "sigs", "sub"],
+                [batch.column(0), batch.column(2), batch.column(1), vec, batch.column(4), raw, buckets], ["cls", "copies", "label", "vec", "sub", "sigs", "buckets"]
             )
 
 
-def _compare(threshold: float, wire: str, rows: list[tuple]) -> list[tuple[int, int, int, int]]:
-    """(class's id and hash, links, an id of its component) of one bucket, or of two blocks of one."""
-    nth, first = rows[0][1], rows[0][2]
-    ids = np.array([r[4] for r in rows], np.int64)
-    copies = np.array([r[5] for r in rows], np.int64)
-    v = _unit(np.stack([np.frombuffer(r[6], wire) for r in rows]).astype(np.float64))
-    sigs = np.stack([np.frombuffer(r[7], "<i4") for r in rows])
-    if first == rows[0][3]:  # within one block
-        i, j = np.nonzero(np.triu(v @ v.T >= threshold, 1))
-    else:
-        block = np.array([r[8] for r in rows])
-        a, b = np.flatnonzero(block == first), np.flatnonzero(block != first)
-        i, j = np.nonzero(v[a] @ v[b].T >= threshold)
-        i, j = a[i], b[j]
-    new = (ids[i] != ids[j]) & ~(sigs[i, :nth] == sigs[j, :nth]).any(axis=1)
-    i, j = i[new], j[new]
-    if not len(i):
-        return []
+def _groups(batches: Iterator[pa.RecordBatch], n_key: int) -> Iterator[pa.Table]:
+    """Rows that follow each other with the same first columns; groups of one row are left out."""
+    last, held = None, []
+    for batch in batches:
+        keys = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns[:n_key]], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if last is not None and (keys[a] != last).any():
+                if sum(h.num_rows for h in held) > 1:
+                    yield pa.Table.from_batches(held)
+                held = []
+            last = keys[a]
+            held.append(batch.slice(a, b - a))
+    if sum(h.num_rows for h in held) > 1:
+        yield pa.Table.from_batches(held)
+
+
+def _compare(threshold: float, wire: str, small: np.dtype, rows: pa.Table) -> list[np.ndarray] | None:
+    """Classes' ids and hashes, links, an id of their component, of one bucket or of two blocks of one."""
+    nth, first, second = (rows.column(k)[0].as_py() for k in ("nth", "a", "b"))
+    ids, copies, label, own, sub = (rows.column(k).to_numpy() for k in ("cls", "copies", "label", "own", "sub"))
+    v = _unit(np.frombuffer(b"".join(rows.column("vec").to_pylist()), wire).reshape(len(ids), -1).astype(np.float64))
+    sigs = np.frombuffer(b"".join(rows.column("sigs").to_pylist()), small).reshape(len(ids), -1)[:, :nth]
+    left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+    ends = []
+    for a in range(0, len(left), _SLICE):
+        i, j = np.nonzero(v[left[a : a + _SLICE]] @ v[right].T >= threshold)
+        i, j = left[a : a + _SLICE][i], right[j]
+        if first == second:
+            i, j = i[i < j], j[i < j]
+        new = (ids[i] != ids[j]) & (label[i] == label[j]) & ~(sigs[i] == sigs[j]).any(axis=1)
+        ends.append((i[new], j[new]))
+    i, j = (np.concatenate(e) for e in zip(*ends, strict=True)) if ends else (left, left)
+    if not len(i) or not ends:
+        return None
     n = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
-    root = local_roots(ids, i, j)
-    return [(int(c), row[9], int(k), int(r)) for row, c, k, r in zip(rows, ids, n, root, strict=True) if k]
+    met = n > 0
+    return [ids[met], sub[met], n[met].astype(np.int64), local_roots(ids, i, j)[met]]
 
 
-def _buckets(threshold: float, wire: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out: list[tuple] = []
-    for rows in grouped(batches, 4):
-        out += _compare(threshold, wire, rows)
-        if len(out) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "sub", "links", "root"])
-            out = []
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["cls", "sub", "links", "root"])
+def _buckets(threshold: float, wire: str, bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    small = np.min_scalar_type((1 << bits) - 1)
+    for rows in _groups(batches, 5):
+        if found := _compare(threshold, wire, small, rows):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], ["cls", "sub", "links", "root"])
 
 
 def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -124,9 +141,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sound = F.coalesce(F.col("label").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False)) & F.col("vec_id").isNotNull()
     valid = rows.where(sound)
     classes = Spilled(valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies")).select("cls", "label", "copies", "embedding", F.xxhash64("embedding").alias("sub")), "vector-classes")
-    bits, tables = plan_tables(classes.df.count(), threshold)
-    signed = classes.df.mapInArrow(lambda b: _signed(bits, tables, wire, b), "bucket long, nth int, cls long, copies long, vec binary, sigs binary, sub long")
-    large = Spilled(signed.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large-buckets")
+    most = classes.df.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    bits, tables = plan_tables(most, threshold)
+    signed = classes.df.mapInArrow(lambda b: _signed(bits, tables, wire, b), "cls long, copies long, label long, vec binary, sub long, sigs binary, buckets array<long>")
+    sizes = signed.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    large = Spilled(sizes.where(F.col("n") > BLOCK).select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "large-buckets")
+    signed = signed.select("cls", "copies", "label", "vec", "sub", "sigs", F.posexplode("buckets").alias("nth", "bucket")).withColumn("dim", F.octet_length("vec"))
     n_large = large.df.count()
     if n_large:
         size = F.broadcast(large.df) if n_large <= 10_000 else large.df
@@ -136,9 +156,9 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         dealt = dealt.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")})
     else:
         dealt = signed.withColumns({"own": F.lit(0), "a": F.lit(0), "b": F.lit(0)})
-    dealt = dealt.select("bucket", "nth", "a", "b", "cls", "copies", "vec", "sigs", "own", "sub")
-    met = dealt.repartition(parts(rows.sparkSession), "bucket", "a", "b").sortWithinPartitions("bucket", "nth", "a", "b")
-    found = Spilled(met.mapInArrow(lambda b: _buckets(threshold, wire, b), "cls long, sub long, links long, root long"), "links")
+    dealt = dealt.select("bucket", "nth", "dim", "a", "b", "cls", "copies", "label", "vec", "sigs", "own", "sub")
+    met = dealt.repartition(parts(rows.sparkSession), "bucket", "a", "b").sortWithinPartitions("bucket", "nth", "dim", "a", "b")
+    found = Spilled(met.mapInArrow(lambda b: _buckets(threshold, wire, bits, b), "cls long, sub long, links long, root long"), "links")
     linked = found.df.groupBy("cls", "sub").agg(F.sum("links").alias("links"))
     groups = components(found.df.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     per_class = classes.df.join(linked, ["cls", "sub"], "left").join(groups.withColumnRenamed("node", "cls"), "cls", "left")
