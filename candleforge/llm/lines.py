@@ -4,11 +4,15 @@ A line's key is the line without ASCII white space at both ends, A-Z lower-cased
 10 code points that occur in several documents keep their lines only in the document that owns the
 key: the one whose batch came first and, within a batch, the smallest id.
 
-Seen keys lie in sorted runs (128-bit hash, owner). A new batch merge-joins the runs: keys found
-there belong to their old owners, the others (the anti-join) become a run of level 0. When a level
+Seen keys lie in sorted runs (128-bit hash, owner). A new batch merge-joins the runs one after the other:
+keys found there belong to their old owners, the others (the anti-join) are a run of level 0. When a level
 has `fanout` runs, they are merged into one sorted run of the next level, so that n batches leave
 O(fanout * log n) runs and each key is rewritten O(log n) times.
 
+A run is a table bucketed and sorted by hash, so only a batch's own keys are shuffled: earlier runs are neither
+when a batch meets them nor when they are merged. Tables need a catalog; the manifest has what it takes to name
+them anew in another session.
+
 A line in over 1/HOT of a batch's documents meets them by a broadcast.
 
 Nulls, ties and odd rows: a null or empty text is one empty line. Rows without an id own no line
@@ -19,7 +23,9 @@ names can't clash. An empty table gives an empty table.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,11 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candleforge.llm.shared import Spilled, join_hot, new_folder, read_text, write_text
+from candleforge.llm.shared import Spilled, delete, join_hot, new_folder, parts, read_text, write_text
 from candleforge.llm.text import SPACE, shards
 
 MIN_CHARS = 10
 _SLICE = 4 << 20
+#: A run's columns: fresh rows are its keys; the others, found in earlier runs, serve its own batch only.
+_RUN = "h1 BIGINT, h2 BIGINT, owner BIGINT, fresh BOOLEAN, several BOOLEAN, n BIGINT"
 
 
 def _key(line: bytes) -> bytes | None:
@@ -76,53 +84,82 @@ def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class LineRuns:
-    """The runs in one folder. A manifest names those that count, so a batch that failed leaves no trace."""
+    """The runs in one folder. A manifest names those that count, so a batch that failed leaves no trace.
+
+    The number of buckets is that of shuffle partitions when the folder is new.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, fanout: int = 4):
         self.spark, self.fanout = spark, fanout
         self.folder = folder or new_folder(spark, "line-runs")
-        self.levels: list[list[str]] = json.loads(read_text(spark, f"{self.folder}/manifest.json") or "[]")
+        manifest = json.loads(read_text(spark, f"{self.folder}/manifest.json") or "{}")
+        self.levels: list[list[str]] = manifest.get("levels", [])
+        self.buckets: int = manifest.get("buckets", parts(spark))
 
     def _commit(self) -> None:
-        write_text(self.spark, f"{self.folder}/manifest.json", json.dumps(self.levels))
+        write_text(self.spark, f"{self.folder}/manifest.json", json.dumps({"buckets": self.buckets, "levels": self.levels}))
+
+    def _table(self, name: str) -> DataFrame:
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({_RUN}) USING parquet CLUSTERED BY (h1, h2) SORTED BY (h1, h2) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'"
+        )
+        return self.spark.table(name)
 
-    def _read(self, names: list[str]) -> DataFrame:
-        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*(f"{self.folder}/{n}" for n in names))
+    def _run(self, name: str) -> DataFrame:
+        return self._table(name).where("fresh").select("h1", "h2", "owner")
 
-    def _write(self, run: DataFrame, level: int) -> None:
+    def _write(self, rows: DataFrame) -> str:
+        name = f"line_run_{uuid.uuid4().hex}"
+        to = rows.select("h1", "h2", "owner", "fresh", "several", "n").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
+        to.format("parquet").option("path", f"{self.folder}/{name}").saveAsTable(name)
+        return name
+
+    def _push(self, name: str, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        name = f"L{level}-{new_folder(self.spark, 'run').rpartition('-')[2]}"
-        run.select("h1", "h2", "owner").sort("h1", "h2").write.parquet(f"{self.folder}/{name}")
         self.levels[level].append(name)
 
+    def _forget(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def close(self) -> None:
+        """Take the runs' names out of the catalog; the files stay."""
+        self._forget([n for level in self.levels for n in level])
+
     def add(self, docs: DataFrame) -> DataFrame:
         """Take in a batch of (doc_id, text); return (doc_id, drops: its documents' lost lines' hashes), written."""
         keys = Spilled(docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(_keys, "h1 long, h2 long, doc_id long"), "line-keys")
-        seen = [n for level in self.levels for n in level]
-        first = keys.df.groupBy("h1", "h2").agg(F.min("doc_id").alias("mine"), (F.min("doc_id") < F.max("doc_id")).alias("several"), F.count("*").alias("n"))
-        if seen:
-            old = first.join(self._read(seen).hint("merge"), ["h1", "h2"], "left")
-        else:
-            old = first.withColumn("owner", F.lit(None).cast("long"))
-        owners = Spilled(old.select("h1", "h2", F.col("owner").isNull().alias("fresh"), F.coalesce("owner", "mine").alias("owner"), "several", "n"), "line-owners")
-        lost = join_hot(keys.df, owners.df.where("several or not fresh").select("h1", "h2", "owner", "n"), ["h1", "h2"], "n").where("owner <> doc_id")
+        met = keys.df.groupBy("h1", "h2").agg(F.min("doc_id").alias("mine"), (F.min("doc_id") < F.max("doc_id")).alias("several"), F.count("*").alias("n"))
+        met = met.withColumn("owner", F.lit(None).cast("long"))
+        for name in [n for level in self.levels for n in level]:
+            met = met.join(self._run(name).withColumnRenamed("owner", "theirs").hint("merge"), ["h1", "h2"], "left")
+            met = met.withColumn("owner", F.coalesce("owner", "theirs")).drop("theirs")
+        run = self._write(met.withColumn("fresh", F.col("owner").isNull()).withColumn("owner", F.coalesce("owner", "mine")))
+        owners = self._table(run).where("several or not fresh").select("h1", "h2", "owner", "n")
+        lost = join_hot(keys.df, owners, ["h1", "h2"], "n").where("owner <> doc_id")
         drops = Spilled(lost.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2")).alias("drops")), "line-drops")
-        self._write(owners.df.where("fresh"), 0)
+        self._push(run, 0)
         self._compact()
         keys.drop()
-        owners.drop()
         return drops.df
 
+    def _merged(self, names: list[str]) -> DataFrame:
+        """The runs' keys; no key is fresh in two. A filter below the union would cost its partitioning."""
+        union = reduce(DataFrame.unionByName, [self._table(n).select("h1", "h2", "owner", "fresh") for n in names])
+        return union.groupBy("h1", "h2").agg(F.min("owner").alias("owner"), F.max("fresh").alias("fresh")).where("fresh")
+
     def _compact(self) -> None:
         level, old = 0, []
         while level < len(self.levels):
             if len(self.levels[level]) >= self.fanout:
                 merged, self.levels[level] = self.levels[level], []
-                self._write(self._read(merged), level + 1)
+                one = self._merged(merged).withColumns({"several": F.lit(False), "n": F.lit(0).cast("long")})
+                self._push(self._write(one), level + 1)
                 old += merged
             level += 1
-        self._commit()  # the old runs' files stay: a reader may have listed them
+        self._commit()
+        self._forget(old)  # their files stay: a reader may have listed them
 
 
 def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, folder: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -140,6 +177,9 @@ def dedup_lines(docs: DataFrame, batches: int = 4, fanout: int = 2, folder: str
         for a in range(low, high + 1, span):
             one = runs.add(docs.where(F.col("doc_id").between(a, a + span - 1)))
             drops = one if drops is None else drops.unionByName(one)
+        runs.close()
+        if folder is None:
+            delete(spark, runs.folder)
     if drops is None:
         drops = spark.createDataFrame([], "doc_id long, drops array<struct<h1: long, h2: long>>")
     joined = docs.join(drops, "doc_id", "left").select("key", "text", "drops")

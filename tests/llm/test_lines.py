@@ -45,6 +45,23 @@ def test_runs_compact_and_reopen(spark):
     for i in range(4):
         runs.add(spark.createDataFrame([(i, f"line number {i} of its own\nthe line they all share")], "doc_id long, text string"))
     assert [len(x) for x in runs.levels] == [0, 0, 1]
+    runs.close()  # as in another session: the manifest alone names the runs
     again = LineRuns(spark, runs.folder, fanout=2)
     drops = again.add(spark.createDataFrame([(9, "the line they all share\nline number 2 of its own\nnew and long enough")], "doc_id long, text string"))
     assert [len(r.drops) for r in drops.collect()] == [2]
+    again.close()
+
+
+def test_runs_are_not_shuffled(spark):
+    """Merging runs, and a batch that meets one, exchange no row of a run."""
+    runs = LineRuns(spark, fanout=9)
+    for i in range(2):
+        runs.add(spark.createDataFrame([(i, f"line number {i} of its own\nthe line they all share")], "doc_id long, text string"))
+    a, b = (runs._run(n) for n in runs.levels[0])
+    merged = runs._merged(runs.levels[0])
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    new = spark.range(50).selectExpr("id AS h1", "id AS h2").distinct()
+    plan = new.join(a.hint("merge"), ["h1", "h2"], "left").join(b.select("h1", "h2").hint("merge"), ["h1", "h2"], "left")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("SortMergeJoin") == 2
+    assert merged.count() == 3
+    runs.close()
