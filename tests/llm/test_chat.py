@@ -36,3 +36,12 @@ def test_empty_table(spark, tmp_path):
     path = str(tmp_path)
     spark.createDataFrame([], "conv_id long, turn long, role string, text string").write.parquet(f"{path}/conversations.parquet")
     assert [r.conv_id for r in op5_chat_formatting(spark, path).collect()] == [-1]
+
+
+def test_ties_repeats_and_clashing_columns(spark):
+    rows = [(1, 0, "user", "b", 7, "x"), (1, 0, "user", "a", 7, "x"), (1, 0, "assistant", "z", 8, "y"), (1, 1, "assistant", "again", 9, "q"), (1, 1, "assistant", "again", 9, "q"), (2, 0, None, None, 1, None)]
+    chats = format_chats(text_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, block long, segment string")))
+    got = {r.conv_id: r for r in read_chats(chats).collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [("assistant", "z"), ("user", "a"), ("user", "b"), ("assistant", "again"), ("assistant", "again")]
+    assert got[1].loss == ["z", "again", "again"]
+    assert [(t.role, t.text) for t in got[2].turns] == [("", "")] and got[2].loss == []

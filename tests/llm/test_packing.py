@@ -63,3 +63,12 @@ def test_round_trip(spark):
 def test_empty(spark):
     pytest.importorskip("public_tokenizers")
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string"), word_bpe()).count() == 0
+
+
+def test_clashing_columns(spark):
+    pytest.importorskip("public_tokenizers")
+    rows = [(i, "the zebra " * i, -1, "x", -2, -3) for i in (1, 2, 2, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, part long, length string, offset long, sequence_id long")
+    got = pack_documents(df, word_bpe(), 64)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pack_documents(df.select("doc_id", "text"), word_bpe(), 64).collect()))
+    assert len(got.columns) == len(set(got.columns))

@@ -56,3 +56,10 @@ def test_queries_equal_their_sql(spark, name):
     got = queries.QUERIES[name](spark, SF).select(*cols).collect()
     want = c.execute(f"select {', '.join(cols)} from ({queries.SQL[name]})").fetchall()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+def test_language_stage_at_its_threshold(spark, monkeypatch):
+    rows = [(1, "a", "en", "s", 1, 0.4), (2, "b", "en", "s", 1, 0.3999), (3, "c", "und", "s", 1, 0.9), (4, "d", "fr", None, None, 1.0)]
+    found = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, source string, n_chars long, score double")
+    monkeypatch.setattr(corpus_pipeline, "identify", lambda docs, keep: found)
+    assert [(r.doc_id, r.lang) for r in corpus_pipeline.language_id(spark, found, "").collect()] == [(1, "en"), (4, "fr")]
